@@ -1,0 +1,11 @@
+"""Lists of records as JSON text (only at the sinks; arrays stay typed inside plans)."""
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Null fields are written as ``null`` rather than dropped; an empty list is ``[]``.
+_JSON_OPTIONS = {"ignoreNullFields": "false"}
+
+
+def records_json(c: Column) -> Column:
+    return F.to_json(F.coalesce(c, F.array()), _JSON_OPTIONS)

@@ -1,0 +1,6 @@
+"""Streaming.
+
+The analysed pipeline is a single batch run over two tables: it has no streams,
+watermarks, windows over event time or state. Nothing is built here; the batch
+pipeline in ``edflux.plans`` covers every operator.
+"""
