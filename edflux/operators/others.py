@@ -123,7 +123,8 @@ def other_ticket_level(flagged: DataFrame, bucketed: DataFrame, span: WindowSpan
         .groupBy(*TARGET, "tp2", "ns2", "en_cierre", "numero_boleto")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.min(F.struct("clave_detalle_compra", "clave_edicion_producto")).alias("first_row"),
+            F.min("clave_detalle_compra").alias("first_cdc"),
+            F.min_by("clave_edicion_producto", F.col("clave_detalle_compra")).alias("first_cep"),
         )
     )
 
@@ -136,13 +137,13 @@ def other_edition_stats(tickets: DataFrame) -> DataFrame:
         F.count(F.when(c, F.col("numero_boleto"))).alias("closing_tickets"),
         F.sum(F.when(~c, F.col("n_rows"))).alias("outside_rows"),
         F.count(F.when(~c, F.col("numero_boleto"))).alias("outside_tickets"),
-        F.min("first_row").alias("first_row"),
+        F.min_by("first_cep", F.col("first_cdc")).alias("cep2"),
     )
     return agg.select(
         *TARGET,
         "tp2",
         "ns2",
-        F.col("first_row.clave_edicion_producto").alias("cep2"),
+        "cep2",
         ticket_count(F.col("closing_tickets"), F.col("closing_rows")).alias("en_cierre"),
         ticket_count(F.col("outside_tickets"), F.col("outside_rows")).alias("fuera_cierre"),
     )

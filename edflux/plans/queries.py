@@ -117,13 +117,14 @@ def _pairs(a: SwitchingAnalysis) -> DataFrame:
 
 def q_window_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _analysis(spark, sf_dir)
+    a.core.span  # windows' row bound
     return window_spine(_pairs(a), a.windows).select(
         *SPINE_KEYS, "numero_sorteo_ultima", "clave_edicion_producto_ultima"
     )
 
 
 def _own_rows(core: SwitchingCore) -> DataFrame:
-    spine = core.own_pairs.join(F.broadcast(core.windows), "tipo_producto")
+    spine = core.own_pairs.join(core.broadcast_windows, "tipo_producto")
     own = history.own_columns(F.col("ed"), F.col("numero_sorteo_ultima"), F.col("tipo_producto"))
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in own.items()])
 
@@ -145,7 +146,7 @@ def q_other_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _analysis(spark, sf_dir)
     core = a.core
     pairs = _pairs(a).join(core.other_pairs, ["clave_persona", "tipo_producto"], "left")
-    spine = pairs.join(F.broadcast(a.windows), "tipo_producto")
+    spine = pairs.join(core.broadcast_windows, "tipo_producto")
     oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
     oth.pop("otros_detail")
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in oth.items()])

@@ -1,6 +1,6 @@
 """The rollup pipelines: many windows per type, the recurrent filter, one window per type.
 
-Plan shape (one lazy plan; the only actions are two size checks on edition-sized tables):
+Plan shape (one lazy plan; the only actions are size checks on edition-sized tables):
 
     purchases --(broadcast recent editions)--> flagged purchases
         |-- own:    ticket level -> edition stats -> per-pair array   (keyed customer, type)
@@ -30,7 +30,7 @@ from edflux.operators.prepare import (
     purchases_flagged,
 )
 from edflux.operators.windows import edition_windows, last_edition
-from edflux.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, is_bounded
+from edflux.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from edflux.plans.lineage import reliable_checkpoint
 from edflux.schemas import ROLLUP_COLUMNS
 
@@ -50,6 +50,7 @@ class SwitchingCore:
     windows: DataFrame
     closing_days: int = CLOSING_DAYS
     checkpoint: bool = False
+    max_windows: int = DEFAULT_MAX_BROADCAST_ROWS
     _span: others.WindowSpan | None = field(default=None, repr=False)
 
     # ---- own history
@@ -70,8 +71,18 @@ class SwitchingCore:
     def span(self) -> others.WindowSpan:
         if self._span is None:
             self._span = others.window_span(self.windows)
+            if self._span.n_windows > self.max_windows:
+                raise ValueError(
+                    f"{self._span.n_windows} windows exceed the broadcast bound {self.max_windows}"
+                )
         return self._span
 
+    @property
+    def broadcast_windows(self) -> DataFrame:
+        """The windows hinted for broadcast, after their row bound is checked."""
+        self.span
+        return F.broadcast(self.windows)
+
     @cached_property
     def other_tickets(self) -> DataFrame:
         bucketed = others.bucketed_windows(self.windows, self.span.width_days, self.closing_days)
@@ -95,7 +106,7 @@ class SwitchingCore:
     @cached_property
     def rows(self) -> DataFrame:
         """One row per (pair, window of the pair's type) with typed measures and detail arrays."""
-        spine = self.pairs.join(F.broadcast(self.windows), "tipo_producto", "inner")
+        spine = self.pairs.join(self.broadcast_windows, "tipo_producto", "inner")
         w = F.col("numero_sorteo_ultima")
         own = history.own_columns(F.col("ed"), w, F.col("tipo_producto"))
         oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
@@ -151,7 +162,9 @@ class SwitchingAnalysis:
 
     @cached_property
     def recent(self) -> DataFrame:
-        return editions_recent(self.editions, self.as_of, self.lookback_days)
+        # Edition-sized and used by the enrichment, the windows and the size checks:
+        # cached once rather than recomputed per use.
+        return editions_recent(self.editions, self.as_of, self.lookback_days).cache()
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -163,14 +176,14 @@ class SwitchingAnalysis:
 
     @cached_property
     def windows(self) -> DataFrame:
-        wins = edition_windows(self.recent, self.as_of, self.window_days, self.strict)
-        if not is_bounded(wins, self.max_broadcast_rows):
-            raise ValueError("more edition windows than the broadcast bound; raise max_broadcast_rows")
-        return wins
+        # Edition-sized; its row bound is checked by SwitchingCore.span before any broadcast.
+        return edition_windows(self.recent, self.as_of, self.window_days, self.strict).cache()
 
     @cached_property
     def core(self) -> SwitchingCore:
-        return SwitchingCore(self.flagged, self.windows, self.closing_days, self.checkpoint)
+        return SwitchingCore(
+            self.flagged, self.windows, self.closing_days, self.checkpoint, self.max_broadcast_rows
+        )
 
     @property
     def rollup(self) -> DataFrame:
@@ -209,11 +222,11 @@ class SingleWindowAnalysis:
 
     @cached_property
     def last(self) -> DataFrame:
-        return last_edition(self.editions)
+        return last_edition(self.editions).cache()
 
     @cached_property
     def windows(self) -> DataFrame:
-        wins = self.last.select(
+        return self.last.select(
             "tipo_producto",
             F.lit(0).alias("ventana_numero"),
             "numero_sorteo_ultima",
@@ -221,9 +234,6 @@ class SingleWindowAnalysis:
             "ultima_fecha_inicio",
             "ultima_fecha_fin",
         )
-        if not is_bounded(wins, self.max_broadcast_rows):
-            raise ValueError("more product types than the broadcast bound")
-        return wins
 
     @cached_property
     def flagged(self) -> DataFrame:
@@ -232,7 +242,9 @@ class SingleWindowAnalysis:
 
     @cached_property
     def core(self) -> SwitchingCore:
-        return SwitchingCore(self.flagged, self.windows, self.closing_days)
+        return SwitchingCore(
+            self.flagged, self.windows, self.closing_days, max_windows=self.max_broadcast_rows
+        )
 
     @property
     def rollup(self) -> DataFrame:

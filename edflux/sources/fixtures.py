@@ -17,7 +17,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edflux.plans.broadcast import bounded_broadcast
 
 FIXTURE_AS_OF = datetime(2001, 8, 2, 12, 0, 0)
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -45,9 +44,9 @@ def fixture_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = _read(spark, sf_dir, "part").select("p_partkey", _type_code(F.col("p_type")).alias("tp"))
-    base = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-        bounded_broadcast(part), li.l_partkey == part.p_partkey
-    )
+    # Join strategies are left to the planner: it broadcasts a side only when its file
+    # statistics are under spark.sql.autoBroadcastJoinThreshold, else sort-merge joins.
+    base = li.join(orders, li.l_orderkey == orders.o_orderkey).join(part, li.l_partkey == part.p_partkey)
     dia = F.datediff(F.col("o_orderdate").cast("date"), F.lit(EPOCH).cast("date")) + F.lit(7) * (
         F.col("l_linenumber") % 4
     )
