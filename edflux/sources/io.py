@@ -65,7 +65,8 @@ def read_rollup(spark: SparkSession, location: str, fmt: str = "parquet", option
 def write(df: DataFrame, location: str, fmt: str = "parquet", mode: str = "overwrite", **options) -> None:
     """Write ``df`` replacing what is there (``mode='overwrite'``).
 
-    ``fmt='csv'`` writes a header and ``yyyy-MM-dd`` dates; ``fmt='table'`` replaces a
+    ``fmt='csv'`` writes a header, ``yyyy-MM-dd`` dates and ``yyyy-MM-dd HH:mm:ss.ffffff``
+    timestamps; ``fmt='table'`` replaces a
     catalog table (``saveAsTable``). Partitioning columns can be passed as
     ``partitionBy=[...]``.
     """
@@ -78,7 +79,14 @@ def write(df: DataFrame, location: str, fmt: str = "parquet", mode: str = "overw
     if fmt == "parquet":
         writer.parquet(location)
     elif fmt == "csv":
-        writer.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(location)
+        # Timestamps in the extract's text form, which the purchase-time parser accepts.
+        (
+            writer.option("header", True)
+            .option("dateFormat", "yyyy-MM-dd")
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            .csv(location)
+        )
     elif fmt == "table":
         writer.saveAsTable(location)
     else:
