@@ -7,19 +7,15 @@ so per edition we keep how many tickets appear there for the first time; the run
 distinct count is then a prefix sum over a per-(customer, type) array whose length is
 bounded by the number of recent editions of the type, not by the number of tickets.
 
-Every aggregation below carries the ticket number in its first shuffle key and uses
-only algebraic aggregates (count, sum, min, min_by), so Spark combines map-side and a
-customer holding a third of all rows spreads over all tasks. The branch is one linear
-chain over the purchases (one scan): ticket level -> first edition per ticket (window)
--> edition level -> pair array.
+The aggregation chain that builds the array lives in ``switching`` (shared with the
+other-product measures); this module turns the array into the per-window columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from edflux.constants import FLAG_CLOSING, FLAG_NONE, FLAG_PRE
 from edflux.functions.dates import day_text
 from edflux.functions.labels import sorteo_id
 from edflux.functions.tickets import ticket_count
@@ -32,85 +28,6 @@ EDITION = PAIR + ["numero_sorteo"]
 def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
-def ticket_level(flagged: DataFrame) -> DataFrame:
-    """One row per (customer, type, number, flag, ticket) with its row count and first row.
-
-    Purchases without a customer are dropped (they form no group). The first row is the
-    one with the lowest purchase key; ``min_by`` on primitive columns keeps the
-    aggregation hash-based.
-    """
-    cdc = F.col("clave_detalle_compra")
-    return (
-        flagged.where(F.col("clave_persona").isNotNull())
-        .groupBy(*EDITION, "flag", "numero_boleto")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.min(cdc).alias("first_cdc"),
-            F.min_by("clave_edicion_producto", cdc).alias("first_cep"),
-            F.min_by("fecha_fin", cdc).alias("first_fin"),
-        )
-    )
-
-
-def edition_stats(tickets: DataFrame) -> DataFrame:
-    """Per (customer, type, number): rows and distinct tickets per flag, new tickets per flag.
-
-    ``pre`` / ``closing`` apply the ticket rule to the edition's own rows; ``new_pre`` /
-    ``new_closing`` count tickets whose first edition (per flag) is this one. The first
-    edition of a ticket comes from a window over the ticket-level rows, where null
-    tickets are already collapsed to one row per edition, so no partition is hot.
-    """
-    flag = F.col("flag")
-    first_ns = F.min("numero_sorteo").over(Window.partitionBy(*PAIR, "flag", "numero_boleto"))
-    is_new = F.col("numero_boleto").isNotNull() & (F.col("numero_sorteo") == F.col("first_ns"))
-    agg = (
-        tickets.withColumn("first_ns", first_ns)
-        .groupBy(*EDITION)
-        .agg(
-            F.sum(F.when(flag == FLAG_PRE, F.col("n_rows"))).alias("pre_rows"),
-            F.count(F.when(flag == FLAG_PRE, F.col("numero_boleto"))).alias("pre_tickets"),
-            F.sum(F.when(flag == FLAG_CLOSING, F.col("n_rows"))).alias("closing_rows"),
-            F.count(F.when(flag == FLAG_CLOSING, F.col("numero_boleto"))).alias("closing_tickets"),
-            F.count(F.when((flag == FLAG_PRE) & is_new, F.lit(1))).alias("new_pre"),
-            F.count(F.when((flag == FLAG_CLOSING) & is_new, F.lit(1))).alias("new_closing"),
-            F.min_by("first_cep", F.col("first_cdc")).alias("clave_edicion_producto"),
-            F.min_by("first_fin", F.col("first_cdc")).alias("fecha_fin"),
-        )
-    )
-    return agg.select(
-        *EDITION,
-        F.coalesce("pre_rows", _zero()).alias("pre_rows"),
-        F.coalesce("closing_rows", _zero()).alias("closing_rows"),
-        ticket_count(F.col("pre_tickets"), F.col("pre_rows")).alias("pre"),
-        ticket_count(F.col("closing_tickets"), F.col("closing_rows")).alias("closing"),
-        F.col("new_pre").cast("bigint").alias("new_pre"),
-        F.col("new_closing").cast("bigint").alias("new_closing"),
-        "clave_edicion_producto",
-        "fecha_fin",
-    )
-
-
-def pair_history(stats: DataFrame) -> DataFrame:
-    """Per (customer, type): the edition statistics as an array sorted by number."""
-    return stats.groupBy(*PAIR).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    F.col("numero_sorteo").alias("ns"),
-                    "pre_rows",
-                    "closing_rows",
-                    "pre",
-                    "closing",
-                    "new_pre",
-                    "new_closing",
-                    F.col("clave_edicion_producto").alias("cep"),
-                    F.col("fecha_fin").alias("fin"),
-                )
-            )
-        ).alias("ed")
-    )
-
-
 def _total(arr: Column, field: str) -> Column:
     return F.aggregate(arr, _zero(), lambda acc, x: acc + x[field])
 

@@ -2,10 +2,11 @@
 
 This is an interval join (purchase time inside ``[ini, fin]`` of a window of another
 type). Instead of a self join of purchases on the customer, the windows -- an
-edition-sized table -- are expanded to time buckets and broadcast; each purchase then
-meets only the few windows whose span covers its bucket, with the exact bounds as the
-join's residual condition. The bucket width is chosen from the windows' total span so
-the expanded table stays under a fixed row bound (one day when that fits).
+edition-sized table -- are expanded to time buckets and broadcast (see
+``switching.role_rows``); each purchase then meets only the few windows whose span
+covers its bucket, with the exact bounds tested afterwards. The bucket width is chosen
+from the windows' total span so the expanded table stays under a fixed row bound (one
+day when that fits).
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ MAX_BUCKET_ROWS = 4_000_000
 TARGET = ["clave_persona", "objetivo_tipo", "objetivo_ventana"]
 
 
-def _bucket(t: Column, width_days: int) -> Column:
+def bucket_of(t: Column, width_days: int) -> Column:
     day = F.datediff(t.cast("date"), _epoch_day()).cast("bigint")
     return day if width_days == 1 else F.floor(day / F.lit(width_days)).cast("bigint")
 
@@ -75,7 +76,7 @@ def window_span(windows: DataFrame, max_rows: int = MAX_BUCKET_ROWS) -> WindowSp
 def bucketed_windows(windows: DataFrame, width_days: int, closing_days: int = CLOSING_DAYS) -> DataFrame:
     """One row per (window, bucket the window's span touches); null or reversed spans give none."""
     ini, fin = F.col("ultima_fecha_inicio"), F.col("ultima_fecha_fin")
-    buckets = F.when(fin >= ini, F.sequence(_bucket(ini, width_days), _bucket(fin, width_days)))
+    buckets = F.when(fin >= ini, F.sequence(bucket_of(ini, width_days), bucket_of(fin, width_days)))
     return windows.select(
         F.col("tipo_producto").alias("objetivo_tipo"),
         F.col("ventana_numero").alias("objetivo_ventana"),
@@ -86,90 +87,6 @@ def bucketed_windows(windows: DataFrame, width_days: int, closing_days: int = CL
     )
 
 
-def other_ticket_level(flagged: DataFrame, bucketed: DataFrame, span: WindowSpan) -> DataFrame:
-    """One row per (customer, target window, other type, other number, in closing, ticket).
-
-    ``bucketed`` is broadcast (its size is bounded by :func:`window_span`). Purchases
-    outside the windows' overall time range are filtered before the join.
-    """
-    t = F.col("fecha_rotulacion_finalizacion")
-    width_days = span.width_days
-    live = F.col("clave_persona").isNotNull()
-    if span.lo is not None and span.hi is not None:
-        live = live & (t >= as_timestamp_ntz(span.lo)) & (t <= as_timestamp_ntz(span.hi))
-    else:
-        live = live & F.lit(False)
-    facts = flagged.where(live).select(
-        "clave_persona",
-        F.col("tipo_producto").alias("tp2"),
-        F.col("numero_sorteo").alias("ns2"),
-        t,
-        "numero_boleto",
-        "clave_detalle_compra",
-        "clave_edicion_producto",
-        _bucket(t, width_days).alias("bucket"),
-    )
-    bw = F.broadcast(bucketed)
-    cond = (
-        (facts["bucket"] == bw["bucket"])
-        & (t >= bw["w_ini"])
-        & (t <= bw["w_fin"])
-        & (facts["tp2"] != bw["objetivo_tipo"])
-    )
-    joined = facts.join(bw, cond, "inner")
-    in_closing = (t >= F.col("w_cierre_ini")) & (t <= F.col("w_fin"))
-    return (
-        joined.withColumn("en_cierre", in_closing)
-        .groupBy(*TARGET, "tp2", "ns2", "en_cierre", "numero_boleto")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.min("clave_detalle_compra").alias("first_cdc"),
-            F.min_by("clave_edicion_producto", F.col("clave_detalle_compra")).alias("first_cep"),
-        )
-    )
-
-
-def other_edition_stats(tickets: DataFrame) -> DataFrame:
-    """Per (customer, target window, other type, other number): tickets in / outside closing."""
-    c = F.col("en_cierre")
-    agg = tickets.groupBy(*TARGET, "tp2", "ns2").agg(
-        F.sum(F.when(c, F.col("n_rows"))).alias("closing_rows"),
-        F.count(F.when(c, F.col("numero_boleto"))).alias("closing_tickets"),
-        F.sum(F.when(~c, F.col("n_rows"))).alias("outside_rows"),
-        F.count(F.when(~c, F.col("numero_boleto"))).alias("outside_tickets"),
-        F.min_by("first_cep", F.col("first_cdc")).alias("cep2"),
-    )
-    return agg.select(
-        *TARGET,
-        "tp2",
-        "ns2",
-        "cep2",
-        ticket_count(F.col("closing_tickets"), F.col("closing_rows")).alias("en_cierre"),
-        ticket_count(F.col("outside_tickets"), F.col("outside_rows")).alias("fuera_cierre"),
-    )
-
-
-def pair_others(stats: DataFrame) -> DataFrame:
-    """Per (customer, target type): every window's other-edition statistics in one array.
-
-    Its length is bounded by windows x overlapping editions, independent of ticket volume.
-    """
-    return stats.groupBy(
-        "clave_persona", F.col("objetivo_tipo").alias("tipo_producto")
-    ).agg(
-        F.collect_list(
-            F.struct(
-                F.col("objetivo_ventana").alias("w"),
-                "tp2",
-                "ns2",
-                "cep2",
-                "en_cierre",
-                "fuera_cierre",
-            )
-        ).alias("od")
-    )
-
-
 def other_columns(od: Column, window_number: Column) -> dict[str, Column]:
     """Other-product columns of one spine row (``window_number`` is ``ventana_numero``)."""
     mine = F.array_sort(F.filter(F.coalesce(od, F.array()), lambda x: x["w"] == window_number))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from edflux.functions.dates import parse_purchase_time
 from edflux.operators import history, others
+from edflux.operators.switching import OWN_ONLY
 from edflux.operators.flow import migration_flow
 from edflux.operators.prepare import edition_labels, purchases_recent
 from edflux.operators.quality import quality_counters
@@ -123,30 +124,30 @@ def q_window_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _own_rows(core: SwitchingCore) -> DataFrame:
-    spine = core.own_pairs.join(core.broadcast_windows, "tipo_producto")
+def _own_rows(a: SwitchingAnalysis) -> DataFrame:
+    """Own measures through the chain restricted to the own role (no lookup join)."""
+    core = SwitchingCore(a.flagged, a.windows, a.closing_days, roles=OWN_ONLY)
+    spine = core.pairs.join(core.broadcast_windows, "tipo_producto")
     own = history.own_columns(F.col("ed"), F.col("numero_sorteo_ultima"), F.col("tipo_producto"))
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in own.items()])
 
 
 def q_own_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own-history measures only (no other-product branch)."""
-    return _own_rows(_analysis(spark, sf_dir).core).drop("hist_detail")
+    return _own_rows(_analysis(spark, sf_dir)).drop("hist_detail")
 
 
 def q_history_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     from edflux.functions.records import records_json
 
-    rows = _own_rows(_analysis(spark, sf_dir).core)
+    rows = _own_rows(_analysis(spark, sf_dir))
     return rows.select(*SPINE_KEYS, records_json(F.col("hist_detail")).alias("hist_detalle_por_edicion_json"))
 
 
 def q_other_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Other-product measures only, for every spine row (zero when nothing was bought)."""
-    a = _analysis(spark, sf_dir)
-    core = a.core
-    pairs = _pairs(a).join(core.other_pairs, ["clave_persona", "tipo_producto"], "left")
-    spine = pairs.join(core.broadcast_windows, "tipo_producto")
+    core = _analysis(spark, sf_dir).core
+    spine = core.pairs.join(core.broadcast_windows, "tipo_producto")
     oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
     oth.pop("otros_detail")
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in oth.items()])

@@ -2,11 +2,11 @@
 
 Plan shape (one lazy plan; the only actions are size checks on edition-sized tables):
 
-    purchases --(broadcast recent editions)--> flagged purchases
-        |-- own:    ticket level -> edition stats -> per-pair array   (keyed customer, type)
-        |-- others: (broadcast bucketed windows) -> ticket level -> edition stats -> per-pair array
-    pairs = own LEFT JOIN others on (customer, type)     # both sides already hash-partitioned alike
-    rows  = pairs JOIN broadcast(windows) on type        # narrow; output-sized data never shuffles
+    purchases --(broadcast recent editions)--> flagged purchases           (one scan)
+      --(broadcast bucket -> windows lookup)--> one row per purchase role  (explode)
+      --> ticket level --> first edition per ticket (window) --> edition level
+      --> pair level: arrays ``ed`` (own) and ``od`` (others) per (customer, type)
+    rows = pairs JOIN broadcast(windows) on type     # narrow; output-sized data never shuffles
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from edflux.constants import CLOSING_DAYS, LOOKBACK_DAYS, MIN_EDITIONS, WINDOW_D
 from edflux.functions.dates import minus_days, normalize_as_of
 from edflux.functions.labels import canibalization_class
 from edflux.functions.records import records_json
-from edflux.operators import history, others
+from edflux.operators import history, others, switching
 from edflux.operators.prepare import (
     dedup_editions,
     editions_recent,
@@ -43,7 +43,8 @@ class SwitchingCore:
 
     ``windows`` has ``tipo_producto, ventana_numero, numero_sorteo_ultima,
     clave_edicion_producto_ultima, ultima_fecha_inicio, ultima_fecha_fin`` and must be
-    edition-sized (it is broadcast; callers check its bound).
+    edition-sized: it is broadcast after :attr:`span` checks its row count. ``roles``
+    restricts the chain to the own measures (``"own"``) when the others are not needed.
     """
 
     flagged: DataFrame
@@ -51,22 +52,9 @@ class SwitchingCore:
     closing_days: int = CLOSING_DAYS
     checkpoint: bool = False
     max_windows: int = DEFAULT_MAX_BROADCAST_ROWS
+    roles: str = switching.BOTH
     _span: others.WindowSpan | None = field(default=None, repr=False)
 
-    # ---- own history
-    @cached_property
-    def own_tickets(self) -> DataFrame:
-        return history.ticket_level(self.flagged)
-
-    @cached_property
-    def own_edition_stats(self) -> DataFrame:
-        return history.edition_stats(self.own_tickets)
-
-    @cached_property
-    def own_pairs(self) -> DataFrame:
-        return history.pair_history(self.own_edition_stats)
-
-    # ---- other products
     @property
     def span(self) -> others.WindowSpan:
         if self._span is None:
@@ -84,24 +72,50 @@ class SwitchingCore:
         return F.broadcast(self.windows)
 
     @cached_property
-    def other_tickets(self) -> DataFrame:
+    def lookup(self) -> DataFrame:
+        """``bucket -> windows`` (bounded by ``others.MAX_BUCKET_ROWS`` window-buckets)."""
         bucketed = others.bucketed_windows(self.windows, self.span.width_days, self.closing_days)
-        return others.other_ticket_level(self.flagged, bucketed, self.span)
+        return switching.window_lookup(bucketed)
 
     @cached_property
-    def other_edition_stats(self) -> DataFrame:
-        return others.other_edition_stats(self.other_tickets)
+    def role_rows(self) -> DataFrame:
+        if self.roles == switching.OWN_ONLY:
+            return switching.role_rows(self.flagged, None, None, self.roles)
+        return switching.role_rows(self.flagged, self.lookup, self.span, self.roles)
 
     @cached_property
-    def other_pairs(self) -> DataFrame:
-        return others.pair_others(self.other_edition_stats)
+    def tickets(self) -> DataFrame:
+        return switching.ticket_level(self.role_rows)
+
+    @cached_property
+    def editions(self) -> DataFrame:
+        return switching.edition_level(self.tickets)
+
+    @cached_property
+    def own_tickets(self) -> DataFrame:
+        """Ticket level of the own role: (customer, type, number, flag, ticket)."""
+        return self.tickets.where(F.col("objetivo_ventana").isNull()).select(
+            "clave_persona",
+            "tipo_producto",
+            "numero_sorteo",
+            F.col("code").alias("flag"),
+            "numero_boleto",
+            "n_rows",
+        )
+
+    @cached_property
+    def own_edition_stats(self) -> DataFrame:
+        return switching.own_editions(self.editions)
+
+    @cached_property
+    def other_edition_stats(self) -> DataFrame:
+        return switching.other_editions(self.editions)
 
     # ---- assembly
     @cached_property
     def pairs(self) -> DataFrame:
         """Per (customer, type) with purchases: own array ``ed`` and others array ``od``."""
-        joined = self.own_pairs.join(self.other_pairs, PAIR, "left")
-        return reliable_checkpoint(joined, self.checkpoint)
+        return reliable_checkpoint(switching.pair_level(self.editions), self.checkpoint)
 
     @cached_property
     def rows(self) -> DataFrame:
