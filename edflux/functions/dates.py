@@ -13,9 +13,12 @@ from edflux.constants import DATE_TEXT_PATTERN, PURCHASE_TIME_PATTERN
 def parse_purchase_time(c: Column) -> Column:
     """Text with or without a fraction of a second to ``timestamp_ntz``; anything else is null.
 
-    Date-only text, a ``T`` separator, a zone suffix or an empty string give null.
+    Date-only text, a ``T`` separator, a zone suffix or an empty string give null. The
+    lenient ``try_to_timestamp`` only decides validity; the value comes from the
+    zone-free ``to_timestamp_ntz``, so the session time zone never shifts it.
     """
-    return F.try_to_timestamp(c, F.lit(PURCHASE_TIME_PATTERN)).cast("timestamp_ntz")
+    fmt = F.lit(PURCHASE_TIME_PATTERN)
+    return F.when(F.try_to_timestamp(c, fmt).isNotNull(), F.to_timestamp_ntz(c, fmt))
 
 
 def parse_strict_timestamp(c: Column) -> Column:

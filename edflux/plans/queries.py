@@ -21,7 +21,6 @@ from edflux.operators.windows import last_edition, window_spine
 from edflux.plans.rollup import SingleWindowAnalysis, SwitchingAnalysis, SwitchingCore, recurrent
 from edflux.functions.tickets import ticket_count
 from edflux.constants import FLAG_CLOSING, FLAG_PRE
-from edflux.session import apply_required_conf
 from edflux.sources.fixtures import (
     FIXTURE_AS_OF,
     fixture_editions,
@@ -33,7 +32,6 @@ SPINE_KEYS = ["clave_persona", "tipo_producto", "ventana_numero"]
 
 
 def _analysis(spark: SparkSession, sf_dir: str) -> SwitchingAnalysis:
-    apply_required_conf(spark)
     return SwitchingAnalysis(fixture_purchases(spark, sf_dir), fixture_editions(spark, sf_dir), FIXTURE_AS_OF)
 
 
@@ -76,7 +74,6 @@ def q_purchases_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_purchase_dates_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_required_conf(spark)
     raw = fixture_purchase_time_text(spark, sf_dir)
     return raw.select("event_id", "t", parse_purchase_time(F.col("t")).alias("fecha_rotulacion_finalizacion"))
 
@@ -197,7 +194,6 @@ def q_migration_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_last_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_required_conf(spark)
     return last_edition(fixture_editions(spark, sf_dir))
 
 

@@ -38,14 +38,15 @@ def build_session(
     for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    apply_required_conf(spark)
+    apply_required_conf(spark, skip=set(extra_conf or ()))
     return spark
 
 
-def apply_required_conf(spark: SparkSession) -> None:
+def apply_required_conf(spark: SparkSession, skip: set[str] | None = None) -> None:
     """Set the runtime SQL settings on an existing session (e.g. the driver's)."""
     for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
+        if key not in (skip or ()):
+            spark.conf.set(key, value)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
