@@ -14,8 +14,16 @@ from edflux.schemas import OTHER_DETAIL
 
 def lost_destinations(rollup: DataFrame, lost_class: str = CLASS_LOST_CLOSING) -> DataFrame:
     """(customer, origin edition, destination edition) for every destination bought in the
-    target's closing week by a customer classed ``lost_class``; empty lists give no row."""
-    details = F.from_json(F.col("otros_detalle_en_ventana_ultima_json"), T.ArrayType(OTHER_DETAIL))
+    target's closing week by a customer classed ``lost_class``; empty lists give no row.
+
+    ``rollup`` is either a stored rollup (detail list as JSON text, parsed here) or the
+    typed rows of ``SwitchingCore.rows`` (column ``otros_detail``), which skips the text
+    round trip and lets Catalyst prune every column the flow does not use.
+    """
+    if "otros_detail" in rollup.columns:
+        details = F.col("otros_detail")
+    else:
+        details = F.from_json(F.col("otros_detalle_en_ventana_ultima_json"), T.ArrayType(OTHER_DETAIL))
     return (
         rollup.where(F.col("canibalizacion_clase") == F.lit(lost_class))
         .select(

@@ -1,7 +1,7 @@
 """Named queries over the driver's tables (fixture mapping), one per inventory operator.
 
 Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose column names
-and types match the DuckDB oracle in ``oracle/duckdb_sql.py``.
+and types match the DuckDB oracle in ``duck_oracle/duckdb_sql.py``.
 """
 
 from __future__ import annotations
@@ -190,7 +190,7 @@ def q_class_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_migration_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _analysis(spark, sf_dir)
-    return migration_flow(a.rollup, a.editions)
+    return migration_flow(a.core.rows, a.editions)
 
 
 def q_last_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
