@@ -39,7 +39,7 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app_name="edflux-bench",
-        shuffle_partitions=cpus,
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
         extra_conf={
             "spark.driver.memory": "8g",
             "spark.local.dir": scratch,

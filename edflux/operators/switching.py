@@ -8,10 +8,10 @@ Every purchase plays one or more *roles*:
   time (``target_w`` = that window's number, ``code`` = 1 inside the window's closing
   week, else 0).
 
-The other roles come from an edition-sized lookup ``bucket -> windows`` joined by a
-broadcast hash join on the purchase's time bucket, with the exact bounds tested by a
-higher-order ``filter``; one ``explode`` then emits every role. The purchases are thus
-read once, and a single chain of map-side-combined aggregations serves both measures:
+The roles come from one broadcast hash join of the purchases with an edition-sized
+table of (time bucket, window) rows plus one *own* sentinel row per bucket; the exact
+window bounds are the join's residual condition. The purchases are thus read once, and
+a single chain of map-side-combined aggregations serves both measures:
 
 1. ticket level   (customer, target type, target window, type, number, code, ticket)
 2. first edition of each ticket per (customer, target type, code) -- a window over
@@ -39,26 +39,39 @@ TICKET = EDITION + ["code", "numero_boleto"]
 
 OWN_ONLY, OTHERS_ONLY, BOTH = "own", "others", "both"
 
-_CAND = "struct<t:int,w:int,ini:timestamp_ntz,fin:timestamp_ntz,sci:timestamp_ntz>"
-
 
 def window_lookup(bucketed: DataFrame) -> DataFrame:
-    """``bucket -> array of windows`` from the bucketed windows (edition-sized)."""
-    return bucketed.groupBy("bucket").agg(
-        F.collect_list(
-            F.struct(
-                F.col("objetivo_tipo").alias("t"),
-                F.col("objetivo_ventana").alias("w"),
-                F.col("w_ini").alias("ini"),
-                F.col("w_fin").alias("fin"),
-                F.col("w_cierre_ini").alias("sci"),
-            )
-        ).alias("cands")
+    """Bucketed windows plus one *own* sentinel per bucket (null window), edition-sized.
+
+    Joined on the purchase's bucket, every purchase meets its bucket's sentinel (its own
+    role) and the windows of that bucket (candidate other roles).
+    """
+    windows = bucketed.select(
+        "bucket",
+        F.col("objetivo_tipo").alias("t"),
+        F.col("objetivo_ventana").alias("w"),
+        F.col("w_ini").alias("ini"),
+        F.col("w_fin").alias("fin"),
+        F.col("w_cierre_ini").alias("sci"),
     )
+    sentinels = windows.select("bucket").distinct().select(
+        "bucket",
+        F.lit(None).cast("int").alias("t"),
+        F.lit(None).cast("int").alias("w"),
+        F.lit(None).cast("timestamp_ntz").alias("ini"),
+        F.lit(None).cast("timestamp_ntz").alias("fin"),
+        F.lit(None).cast("timestamp_ntz").alias("sci"),
+    )
+    return windows.unionByName(sentinels)
 
 
 def role_rows(flagged: DataFrame, lookup: DataFrame | None, span: WindowSpan | None, roles: str = BOTH) -> DataFrame:
-    """Every purchase once per role (see module doc); purchases without a customer drop."""
+    """Every purchase once per role (see module doc); purchases without a customer drop.
+
+    The roles come from one broadcast hash join with a residual condition (codegen'd, no
+    higher-order functions): the bucket's sentinel row or, outside every window's span,
+    the outer join's null row gives the own role; matching windows give the others.
+    """
     t = F.col("fecha_rotulacion_finalizacion")
     facts = flagged.where(F.col("clave_persona").isNotNull()).select(
         "clave_persona",
@@ -71,46 +84,38 @@ def role_rows(flagged: DataFrame, lookup: DataFrame | None, span: WindowSpan | N
         "fecha_fin",
         t,
     )
-    role = "struct<objetivo_tipo:int,objetivo_ventana:int,code:int>"
-    own = F.array(
-        F.struct(
+    keep = [c for c in facts.columns if c != "fecha_rotulacion_finalizacion"]
+    if roles == OWN_ONLY or lookup is None or span is None or span.lo is None:
+        if roles == OTHERS_ONLY:
+            facts = facts.where(F.lit(False))
+        return facts.select(
+            *keep,
             F.col("tipo_producto").alias("objetivo_tipo"),
             F.lit(None).cast("int").alias("objetivo_ventana"),
             F.col("flag").cast("int").alias("code"),
         )
+    in_range = (t >= F.lit(span.lo.isoformat(sep=" ")).cast("timestamp_ntz")) & (
+        t <= F.lit(span.hi.isoformat(sep=" ")).cast("timestamp_ntz")
     )
-    if roles == OWN_ONLY or lookup is None or span is None or span.lo is None:
-        if roles == OTHERS_ONLY:
-            return facts.where(F.lit(False)).select(*facts.columns, F.lit(None).cast(role).alias("r"))
-        tagged = facts.withColumn("r", F.explode(own))
-    else:
-        in_range = (t >= F.lit(span.lo.isoformat(sep=" ")).cast("timestamp_ntz")) & (
-            t <= F.lit(span.hi.isoformat(sep=" ")).cast("timestamp_ntz")
-        )
-        keyed = facts.withColumn(
-            "bucket", F.when(in_range, bucket_of(t, span.width_days))
-        )
-        joined = keyed.join(F.broadcast(lookup), "bucket", "left")
-        matches = F.filter(
-            F.coalesce(F.col("cands"), F.array().cast(f"array<{_CAND}>")),
-            lambda c: (c["t"] != F.col("tipo_producto")) & (t >= c["ini"]) & (t <= c["fin"]),
-        )
-        other = F.transform(
-            matches,
-            lambda c: F.struct(
-                c["t"].alias("objetivo_tipo"),
-                c["w"].alias("objetivo_ventana"),
-                F.when((t >= c["sci"]) & (t <= c["fin"]), F.lit(1)).otherwise(F.lit(0)).alias("code"),
-            ),
-        )
-        every = other if roles == OTHERS_ONLY else F.concat(own, other)
-        tagged = joined.withColumn("r", F.explode(every)).drop("bucket", "cands")
-    return tagged.select(
-        *[c for c in facts.columns if c != "fecha_rotulacion_finalizacion"],
-        F.col("r.objetivo_tipo").alias("objetivo_tipo"),
-        F.col("r.objetivo_ventana").alias("objetivo_ventana"),
-        F.col("r.code").alias("code"),
+    keyed = facts.withColumn("bucket", F.when(in_range, bucket_of(t, span.width_days)))
+    lk = F.broadcast(lookup.withColumnRenamed("bucket", "lk_bucket"))
+    own_row = lk["w"].isNull()
+    other_row = (lk["t"] != keyed["tipo_producto"]) & (t >= lk["ini"]) & (t <= lk["fin"])
+    cond = (keyed["bucket"] == lk["lk_bucket"]) & (own_row | other_row)
+    joined = keyed.join(lk, cond, "left")
+    is_own = F.col("w").isNull()
+    out = joined.select(
+        *keep,
+        F.when(is_own, F.col("tipo_producto")).otherwise(F.col("t")).alias("objetivo_tipo"),
+        F.col("w").alias("objetivo_ventana"),
+        F.when(is_own, F.col("flag").cast("int"))
+        .when((t >= F.col("sci")) & (t <= F.col("fin")), F.lit(1))
+        .otherwise(F.lit(0))
+        .alias("code"),
     )
+    if roles == OTHERS_ONLY:
+        out = out.where(F.col("objetivo_ventana").isNotNull())
+    return out
 
 
 def ticket_level(roles: DataFrame) -> DataFrame:
