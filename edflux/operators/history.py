@@ -21,33 +21,42 @@ from edflux.functions.labels import sorteo_id
 from edflux.functions.tickets import ticket_count
 
 
-PAIR = ["clave_persona", "tipo_producto"]
-EDITION = PAIR + ["numero_sorteo"]
-
-
 def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
-def _total(arr: Column, field: str) -> Column:
-    return F.aggregate(arr, _zero(), lambda acc, x: acc + x[field])
 
+_CUM = "struct<new_pre:bigint,pre_rows:bigint,new_closing:bigint,closing_rows:bigint>"
+_JSON_OPTIONS = {"ignoreNullFields": "false"}
 
-def own_columns(ed: Column, window_number: Column, tipo: Column) -> dict[str, Column]:
-    """Own-history columns of one spine row from its pair array ``ed``.
 
-    History is every edition numbered below the window's number (tickets distinct over
-    all of them together); the last edition is the one with the window's number.
+def pair_prefix(ed: Column, tipo: Column) -> dict[str, Column]:
+    """Per (customer, type), computed once: the arrays each window row reads by position.
+
+    ``ed`` is sorted by number. ``ed_ns`` holds the numbers, ``ed_cum`` running totals of
+    new tickets and rows per flag (so a window's history is one element lookup),
+    ``ed_last`` the per-edition ticket counts and ``ed_json`` each edition's record as
+    JSON text (a window's list is a slice of it, byte-identical to ``to_json``).
     """
-    hist = F.filter(F.coalesce(ed, F.array()), lambda x: x["ns"] < window_number)
-    last = F.filter(F.coalesce(ed, F.array()), lambda x: x["ns"] == window_number)
-    hist_pre = ticket_count(_total(hist, "new_pre"), _total(hist, "pre_rows"))
-    hist_closing = ticket_count(_total(hist, "new_closing"), _total(hist, "closing_rows"))
-    last_pre = _total(last, "pre")
-    last_closing = _total(last, "closing")
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(
+        F.array().cast(f"array<{_CUM}>").alias("a"),
+        F.struct(
+            zero.alias("new_pre"), zero.alias("pre_rows"), zero.alias("new_closing"), zero.alias("closing_rows")
+        ).alias("s"),
+    )
+
+    def step(acc, x):
+        s = F.struct(
+            (acc["s"]["new_pre"] + x["new_pre"]).alias("new_pre"),
+            (acc["s"]["pre_rows"] + x["pre_rows"]).alias("pre_rows"),
+            (acc["s"]["new_closing"] + x["new_closing"]).alias("new_closing"),
+            (acc["s"]["closing_rows"] + x["closing_rows"]).alias("closing_rows"),
+        )
+        return F.struct(F.array_append(acc["a"], s).alias("a"), s.alias("s"))
+
     tipo_text = tipo.cast("string")
-    detail = F.transform(
-        hist,
-        lambda x: F.struct(
+    record = lambda x: F.to_json(
+        F.struct(
             x["ns"].alias("numero_sorteo"),
             tipo_text.alias("tipo_producto"),
             sorteo_id(tipo, x["ns"]).alias("id_sorteo"),
@@ -56,13 +65,36 @@ def own_columns(ed: Column, window_number: Column, tipo: Column) -> dict[str, Co
             x["closing"].alias("boletos_semana_cierre"),
             day_text(x["fin"]).alias("fecha_fin_edicion"),
         ),
+        _JSON_OPTIONS,
     )
     return {
-        "hist_boletos_pre_cierre": hist_pre,
-        "hist_boletos_semana_cierre": hist_closing,
-        "hist_ediciones_distintas": F.size(hist).cast("bigint"),
+        "ed_ns": F.transform(ed, lambda x: x["ns"]),
+        "ed_cum": F.aggregate(ed, start, step, lambda acc: acc["a"]),
+        "ed_last": F.transform(ed, lambda x: F.struct(x["pre"].alias("pre"), x["closing"].alias("closing"))),
+        "ed_json": F.transform(ed, record),
+    }
+
+
+def own_columns(window_number: Column) -> dict[str, Column]:
+    """Own-history columns of one spine row from its pair's prefix arrays.
+
+    History is every edition numbered below the window's number (tickets distinct over
+    all of them together); the last edition is the one with the window's number.
+    """
+    k = F.size(F.filter(F.col("ed_ns"), lambda x: x < window_number))
+    cum = F.when(k > 0, F.element_at(F.col("ed_cum"), k))
+    pos = F.array_position(F.col("ed_ns"), window_number).cast("int")
+    last = F.when(pos > 0, F.element_at(F.col("ed_last"), pos))
+    last_pre = F.coalesce(last["pre"], _zero())
+    last_closing = F.coalesce(last["closing"], _zero())
+    return {
+        "hist_boletos_pre_cierre": ticket_count(cum["new_pre"], cum["pre_rows"]),
+        "hist_boletos_semana_cierre": ticket_count(cum["new_closing"], cum["closing_rows"]),
+        "hist_ediciones_distintas": k.cast("bigint"),
         "ultima_boletos_pre_cierre": last_pre,
         "ultima_boletos_semana_cierre": last_closing,
         "compro_ultima_edicion": (last_pre + last_closing) > 0,
-        "hist_detail": detail,
+        "hist_detalle_por_edicion_json": F.concat(
+            F.lit("["), F.array_join(F.slice(F.col("ed_json"), 1, k), ","), F.lit("]")
+        ),
     }

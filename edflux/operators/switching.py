@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from edflux.constants import FLAG_CLOSING, FLAG_PRE
 from edflux.functions.tickets import ticket_count
+from edflux.operators.history import pair_prefix
 from edflux.operators.others import WindowSpan, bucket_of
 
 PAIR = ["clave_persona", "objetivo_tipo"]
@@ -211,7 +212,11 @@ def other_editions(editions: DataFrame) -> DataFrame:
 
 
 def pair_level(editions: DataFrame) -> DataFrame:
-    """Per (customer, type) *that the customer bought*: arrays ``ed`` (own) and ``od`` (others)."""
+    """Per (customer, type) *that the customer bought*: own prefix arrays and ``od`` (others).
+
+    The own editions are collected sorted by number and turned into the arrays of
+    ``history.pair_prefix`` once per pair, before the rows are multiplied by windows.
+    """
     own = F.col("objetivo_ventana").isNull()
     ed = F.struct(
         F.col("numero_sorteo").alias("ns"),
@@ -232,7 +237,7 @@ def pair_level(editions: DataFrame) -> DataFrame:
         F.col("count1").alias("en_cierre"),
         F.col("count0").alias("fuera_cierre"),
     )
-    return (
+    pairs = (
         editions.groupBy(*PAIR)
         .agg(
             F.array_sort(F.collect_list(F.when(own, ed))).alias("ed"),
@@ -241,3 +246,5 @@ def pair_level(editions: DataFrame) -> DataFrame:
         .where(F.size("ed") > 0)
         .withColumnRenamed("objetivo_tipo", "tipo_producto")
     )
+    prefix = pair_prefix(F.col("ed"), F.col("tipo_producto"))
+    return pairs.select("clave_persona", "tipo_producto", *[c.alias(k) for k, c in prefix.items()], "od")

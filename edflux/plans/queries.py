@@ -125,20 +125,18 @@ def _own_rows(a: SwitchingAnalysis) -> DataFrame:
     """Own measures through the chain restricted to the own role (no lookup join)."""
     core = SwitchingCore(a.flagged, a.windows, a.closing_days, roles=OWN_ONLY)
     spine = core.pairs.join(core.broadcast_windows, "tipo_producto")
-    own = history.own_columns(F.col("ed"), F.col("numero_sorteo_ultima"), F.col("tipo_producto"))
+    own = history.own_columns(F.col("numero_sorteo_ultima"))
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in own.items()])
 
 
 def q_own_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own-history measures only (no other-product branch)."""
-    return _own_rows(_analysis(spark, sf_dir)).drop("hist_detail")
+    return _own_rows(_analysis(spark, sf_dir)).drop("hist_detalle_por_edicion_json")
 
 
 def q_history_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from edflux.functions.records import records_json
-
     rows = _own_rows(_analysis(spark, sf_dir))
-    return rows.select(*SPINE_KEYS, records_json(F.col("hist_detail")).alias("hist_detalle_por_edicion_json"))
+    return rows.select(*SPINE_KEYS, "hist_detalle_por_edicion_json")
 
 
 def q_other_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,7 +122,7 @@ class SwitchingCore:
         """One row per (pair, window of the pair's type) with typed measures and detail arrays."""
         spine = self.pairs.join(self.broadcast_windows, "tipo_producto", "inner")
         w = F.col("numero_sorteo_ultima")
-        own = history.own_columns(F.col("ed"), w, F.col("tipo_producto"))
+        own = history.own_columns(w)
         oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
         fin = F.col("ultima_fecha_fin")
         measures = spine.select(
@@ -151,8 +151,7 @@ class SwitchingCore:
     def rollup(self) -> DataFrame:
         """The 21 output columns, detail lists as JSON text."""
         return self.rows.select(
-            *[c for c in ROLLUP_COLUMNS if not c.endswith("_json")],
-            records_json(F.col("hist_detail")).alias("hist_detalle_por_edicion_json"),
+            *[c for c in ROLLUP_COLUMNS if c != "otros_detalle_en_ventana_ultima_json"],
             records_json(F.col("otros_detail")).alias("otros_detalle_en_ventana_ultima_json"),
         )
 
