@@ -159,13 +159,38 @@ _EDITION_ATTRS = [
 ]
 
 
-def purchases_enriched(purchases: DataFrame, editions: DataFrame) -> DataFrame:
+# Up to this many edition keys are also pushed into the purchase scan as an IN filter.
+MAX_SCAN_KEYS = 10_000
+
+
+def edition_key_filter(editions: DataFrame, max_keys: int = MAX_SCAN_KEYS) -> Column | None:
+    """``clave_edicion_producto IN (...)`` for a dimension of at most ``max_keys`` keys, else None.
+
+    Parquet uses the list to skip row groups (and a table partitioned by edition to skip
+    partitions) before the join; the join alone would read every purchase ever made.
+    The keys are read from the (checked, edition-sized) dimension.
+    """
+    keys = editions.select("clave_edicion_producto").distinct().limit(max_keys + 1).collect()
+    if len(keys) > max_keys:
+        return None
+    return F.col("clave_edicion_producto").isin([k[0] for k in keys if k[0] is not None])
+
+
+def purchases_enriched(purchases: DataFrame, editions: DataFrame, prune_scan: bool = False) -> DataFrame:
     """Purchases with their edition's attributes; rows without time, type or number drop.
 
     ``editions`` must hold one row per key (see :func:`dedup_editions`); it is
-    broadcast after a size check, so the fact side never shuffles here.
+    broadcast after a size check, so the fact side never shuffles here. With
+    ``prune_scan`` the edition keys also filter the purchase scan (see
+    :func:`edition_key_filter`); the result is the same.
     """
-    dim = bounded_broadcast(editions.select(*_EDITION_ATTRS))
+    dim = editions.select(*_EDITION_ATTRS)
+    keys = edition_key_filter(editions) if prune_scan else None
+    if keys is not None:
+        # At most MAX_SCAN_KEYS unique keys: the dimension's size is proven by the list.
+        purchases, dim = purchases.where(keys), F.broadcast(dim)
+    else:
+        dim = bounded_broadcast(dim)
     return purchases.join(dim, "clave_edicion_producto", "inner").where(
         F.col("fecha_rotulacion_finalizacion").isNotNull()
         & F.col("tipo_producto").isNotNull()

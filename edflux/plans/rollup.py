@@ -169,6 +169,7 @@ class SwitchingAnalysis:
     strict: bool = False
     checkpoint: bool = False
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    prune_scan: bool = True
 
     def __post_init__(self) -> None:
         self.as_of = normalize_as_of(self.as_of)
@@ -181,7 +182,7 @@ class SwitchingAnalysis:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return purchases_enriched(self.purchases, self.recent)
+        return purchases_enriched(self.purchases, self.recent, prune_scan=self.prune_scan)
 
     @cached_property
     def flagged(self) -> DataFrame:

@@ -58,3 +58,35 @@ def test_projection_is_pruned_at_the_fact_scan(spark):
     for line in scans:
         read = line.split("ReadSchema: ")[1]
         assert "l_extendedprice" not in read and "l_comment" not in read
+
+
+def test_recent_edition_keys_reach_the_purchase_scan(spark, scratch_dir):
+    from edflux.plans.rollup import SwitchingAnalysis
+    from edflux.sources.fixtures import FIXTURE_AS_OF, fixture_editions, fixture_purchases
+    from edflux.sources.io import read_purchases
+
+    path = f"{scratch_dir}/detalle"
+    write(fixture_purchases(spark, SF), path)
+    a = SwitchingAnalysis(read_purchases(spark, path), fixture_editions(spark, SF), FIXTURE_AS_OF)
+    text = plan(a.flagged)
+    assert "PushedFilters: [In(clave_edicion_producto" in text or "PushedFilters: [IsNotNull(clave_edicion_producto), In(clave_edicion_producto" in text
+
+
+def test_flow_plan_has_no_expand(spark):
+    p = plan(QUERIES["migration_flow"](spark, SF))
+    assert "Expand" not in p and "Cartesian" not in p and "NestedLoop" not in p
+
+
+def test_checkpointed_pairs_give_the_same_rollup(spark):
+    from pyspark.sql import functions as F
+
+    from edflux.plans.rollup import SwitchingAnalysis
+    from edflux.sources.fixtures import FIXTURE_AS_OF, fixture_editions, fixture_purchases
+
+    def run(ckpt):
+        a = SwitchingAnalysis(
+            fixture_purchases(spark, SF), fixture_editions(spark, SF), FIXTURE_AS_OF, checkpoint=ckpt
+        )
+        return sorted(tuple(r) for r in a.rollup.orderBy(F.col("clave_persona")).collect())
+
+    assert run(True) == run(False)
