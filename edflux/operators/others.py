@@ -19,9 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edflux.constants import CLOSING_DAYS
-from edflux.functions.dates import as_timestamp_ntz, minus_days
+from edflux.functions.dates import minus_days
 from edflux.functions.labels import sorteo_id
-from edflux.functions.tickets import ticket_count
 
 
 def _zero() -> Column:

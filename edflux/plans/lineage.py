@@ -13,3 +13,13 @@ def reliable_checkpoint(df: DataFrame, enabled: bool = True) -> DataFrame:
         return df
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_small(df: DataFrame) -> DataFrame:
+    """Freeze an edition-sized table that several stages and size checks reuse.
+
+    A reliable checkpoint rather than ``cache()``: the cache matches on the logical plan,
+    so a long-lived session would keep serving old rows after the source files change;
+    a checkpoint is taken fresh for every analysis and cuts the lineage.
+    """
+    return reliable_checkpoint(df, True)

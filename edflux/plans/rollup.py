@@ -31,12 +31,9 @@ from edflux.operators.prepare import (
 )
 from edflux.operators.windows import edition_windows, last_edition
 from edflux.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
-from edflux.plans.lineage import reliable_checkpoint
+from edflux.plans.lineage import materialize_small, reliable_checkpoint
 from edflux.schemas import ROLLUP_COLUMNS
 
-PAIR = ["clave_persona", "tipo_producto"]
-
-
 @dataclass
 class SwitchingCore:
     """Per-window own and other-product measures for flagged purchases and a windows table.
@@ -177,8 +174,8 @@ class SwitchingAnalysis:
     @cached_property
     def recent(self) -> DataFrame:
         # Edition-sized and used by the enrichment, the windows and the size checks:
-        # cached once rather than recomputed per use.
-        return editions_recent(self.editions, self.as_of, self.lookback_days).cache()
+        # materialised once rather than recomputed per use.
+        return materialize_small(editions_recent(self.editions, self.as_of, self.lookback_days))
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -191,7 +188,7 @@ class SwitchingAnalysis:
     @cached_property
     def windows(self) -> DataFrame:
         # Edition-sized; its row bound is checked by SwitchingCore.span before any broadcast.
-        return edition_windows(self.recent, self.as_of, self.window_days, self.strict).cache()
+        return materialize_small(edition_windows(self.recent, self.as_of, self.window_days, self.strict))
 
     @cached_property
     def core(self) -> SwitchingCore:
@@ -236,7 +233,7 @@ class SingleWindowAnalysis:
 
     @cached_property
     def last(self) -> DataFrame:
-        return last_edition(self.editions).cache()
+        return materialize_small(last_edition(self.editions))
 
     @cached_property
     def windows(self) -> DataFrame:
