@@ -7,6 +7,8 @@ same casts the typed path uses, so both give identical DataFrames.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edflux.operators.prepare import clean_editions, clean_purchases
 from edflux.schemas import (
@@ -16,6 +18,7 @@ from edflux.schemas import (
     PURCHASES_TEXT,
     ROLLUP,
     ROLLUP_COLUMNS,
+    ROLLUP_TEXT,
 )
 
 FORMATS = ("parquet", "csv", "table")
@@ -52,13 +55,32 @@ def read_editions(
     return clean_editions(raw.select(*present))
 
 
-def read_rollup(spark: SparkSession, location: str, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
-    """A stored rollup (e.g. a dated snapshot) with the 21 typed columns."""
+def read_rollup(
+    spark: SparkSession,
+    location: str,
+    fmt: str = "parquet",
+    options: dict | None = None,
+    lenient_dates: bool = False,
+) -> DataFrame:
+    """A stored rollup (e.g. a dated snapshot) with the 21 typed columns.
+
+    CSV dates are ``yyyy-MM-dd`` text: a malformed one fails the read, or becomes null
+    with ``lenient_dates=True``.
+    """
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd")
+        reader = spark.read.option("header", True).option("mode", "FAILFAST")
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
-        return reader.schema(ROLLUP).csv(location)
+        raw = reader.schema(ROLLUP_TEXT).csv(location)
+        parse = (lambda c: F.try_to_date(c, "yyyy-MM-dd")) if lenient_dates else (
+            lambda c: F.to_date(c, "yyyy-MM-dd")
+        )
+        return raw.select(
+            *[
+                parse(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
+                for f in ROLLUP.fields
+            ]
+        )
     return _read(spark, location, fmt).select(*ROLLUP_COLUMNS)
 
 

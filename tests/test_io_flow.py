@@ -64,3 +64,17 @@ def test_migration_flow_missing_destination_and_empty_lists(spark):
     assert missing and missing[0]["producto_destino_tag"] is None
     # Rows whose detail list is empty produce no flow rows.
     assert all(json.loads(x["otros_detalle_en_ventana_ultima_json"]) for x in dicts(r) if x["canibalizacion_clase"].startswith("PERDIDO"))
+
+
+def test_rollup_csv_dates_strict_or_lenient(spark, scratch_dir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    r = rollup(purchases_df(spark, PS), editions_df(spark, EDS), AS_OF)
+    bad = r.withColumn("ultima_fecha_inicio", F.lit("2024-13-45"))
+    write(bad, f"{scratch_dir}/bad", "csv")
+    lenient = read_rollup(spark, f"{scratch_dir}/bad", "csv", lenient_dates=True)
+    assert lenient.where(F.col("ultima_fecha_inicio").isNotNull()).count() == 0
+    assert lenient.count() == r.count()
+    with pytest.raises(Exception):
+        read_rollup(spark, f"{scratch_dir}/bad", "csv").collect()
