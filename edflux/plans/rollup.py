@@ -188,7 +188,8 @@ class SwitchingAnalysis:
     @cached_property
     def windows(self) -> DataFrame:
         # Edition-sized; its row bound is checked by SwitchingCore.span before any broadcast.
-        return materialize_small(edition_windows(self.recent, self.as_of, self.window_days, self.strict))
+        # Derived from the materialised recent editions: recomputing it is a few tiny stages.
+        return edition_windows(self.recent, self.as_of, self.window_days, self.strict)
 
     @cached_property
     def core(self) -> SwitchingCore:
