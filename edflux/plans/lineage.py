@@ -20,6 +20,11 @@ def materialize_small(df: DataFrame) -> DataFrame:
 
     A reliable checkpoint rather than ``cache()``: the cache matches on the logical plan,
     so a long-lived session would keep serving old rows after the source files change;
-    a checkpoint is taken fresh for every analysis and cuts the lineage.
+    a checkpoint is taken fresh for every analysis and cuts the lineage. Where no shared
+    checkpoint folder is configured (a cluster without ``spark.checkpoint.dir``) the table
+    is simply recomputed where used -- same result, a few more tiny stages.
     """
-    return reliable_checkpoint(df, True)
+    try:
+        return reliable_checkpoint(df, True)
+    except RuntimeError:
+        return df

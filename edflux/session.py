@@ -55,7 +55,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster must name a shared folder (HDFS, object store). Only a local-mode
     session that names none (tests, bench) gets a fresh temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
