@@ -78,3 +78,25 @@ def test_rollup_csv_dates_strict_or_lenient(spark, scratch_dir):
     assert lenient.count() == r.count()
     with pytest.raises(Exception):
         read_rollup(spark, f"{scratch_dir}/bad", "csv").collect()
+
+
+def test_command_line_jobs(spark, scratch_dir):
+    from edflux.cli import main
+
+    write(purchases_df(spark, PS), f"{scratch_dir}/p")
+    write(editions_df(spark, EDS), f"{scratch_dir}/e", "csv")
+    base = ["rollup", "--purchases", f"{scratch_dir}/p", "--editions", f"{scratch_dir}/e", "--editions-format", "csv"]
+    assert main(base + ["--out", f"{scratch_dir}/r", "--out-format", "csv", "--as-of", "2024-06-15 12:00:00",
+                        "--recurrent-out", f"{scratch_dir}/rr", "--min-editions", "1"]) == 0
+    want = rollup(purchases_df(spark, PS), editions_df(spark, EDS), AS_OF)
+    got = read_rollup(spark, f"{scratch_dir}/r", "csv")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert read_rollup(spark, f"{scratch_dir}/rr").count() == want.where("hist_ediciones_distintas >= 1").count()
+    assert main(["recurrent", "--rollup", f"{scratch_dir}/r", "--rollup-format", "csv", "--out", f"{scratch_dir}/r2"]) == 0
+    assert main(["flow", "--rollup", f"{scratch_dir}/r", "--rollup-format", "csv", "--editions", f"{scratch_dir}/e",
+                 "--editions-format", "csv", "--out", f"{scratch_dir}/f"]) == 0
+    flow = {(r["producto_origen_tag"], r["producto_destino_tag"]): r["clientes_perdidos"] for r in spark.read.parquet(f"{scratch_dir}/f").collect()}
+    assert flow == {("S1 6", "S2 6"): 2, ("S1 6", "S2 7"): 1}
+    assert main(["single-window", "--purchases", f"{scratch_dir}/p", "--editions", f"{scratch_dir}/e",
+                 "--editions-format", "csv", "--out", f"{scratch_dir}/s"]) == 0
+    assert spark.read.parquet(f"{scratch_dir}/s").count() > 0
