@@ -30,7 +30,7 @@ def _zero() -> Column:
 def _epoch_day() -> Column:
     return F.lit("1970-01-01").cast("date")
 
-MAX_BUCKET_ROWS = 4_000_000
+MAX_BUCKET_ROWS = 1_000_000
 
 TARGET = ["clave_persona", "objetivo_tipo", "objetivo_ventana"]
 

@@ -28,7 +28,12 @@ def build_session(
     On a cluster pass ``master=None`` and let spark-submit decide; tests and the
     bench pass ``local[N]``. The web UI stays off.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        # Checkpoints of edition-sized tables are removed once their DataFrames are gone.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    )
     if master:
         builder = builder.master(master)
     for key, value in REQUIRED_CONF.items():
