@@ -50,12 +50,13 @@ class SwitchingCore:
     checkpoint: bool = False
     max_windows: int = DEFAULT_MAX_BROADCAST_ROWS
     roles: str = switching.BOTH
+    max_bucket_rows: int = others.MAX_BUCKET_ROWS
     _span: others.WindowSpan | None = field(default=None, repr=False)
 
     @property
     def span(self) -> others.WindowSpan:
         if self._span is None:
-            self._span = others.window_span(self.windows)
+            self._span = others.window_span(self.windows, self.max_bucket_rows)
             if self._span.n_windows > self.max_windows:
                 raise ValueError(
                     f"{self._span.n_windows} windows exceed the broadcast bound {self.max_windows}"
@@ -167,6 +168,7 @@ class SwitchingAnalysis:
     checkpoint: bool = False
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     prune_scan: bool = True
+    max_bucket_rows: int = others.MAX_BUCKET_ROWS
 
     def __post_init__(self) -> None:
         self.as_of = normalize_as_of(self.as_of)
@@ -194,7 +196,12 @@ class SwitchingAnalysis:
     @cached_property
     def core(self) -> SwitchingCore:
         return SwitchingCore(
-            self.flagged, self.windows, self.closing_days, self.checkpoint, self.max_broadcast_rows
+            self.flagged,
+            self.windows,
+            self.closing_days,
+            self.checkpoint,
+            self.max_broadcast_rows,
+            max_bucket_rows=self.max_bucket_rows,
         )
 
     @property

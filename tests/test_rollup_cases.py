@@ -235,3 +235,18 @@ def test_analysis_exposes_intermediate_tables(spark):
     a = SwitchingAnalysis(purchases_df(spark, ps), editions_df(spark, EDS), AS_OF)
     assert a.windows.count() == 12
     assert a.flagged.where("en_pre_cierre").count() == 1
+
+
+def test_coarse_time_buckets_give_the_same_result(spark):
+    # A tiny bucket bound forces multi-day buckets in the window lookup.
+    ps = [
+        purchase(p, k, d(t), b)
+        for p, k, t, b in [
+            (1, 104, "2024-04-03", 1), (1, 205, "2024-05-28", 2), (1, 204, "2024-04-29 23:00:00", 3),
+            (2, 105, "2024-05-03", 4), (2, 203, "2024-03-31", 5), (3, 201, "2024-01-15", None),
+            (3, 102, "2024-02-27", 6), (3, 202, "2024-02-27", 6),
+        ]
+    ]
+    a = SwitchingAnalysis(purchases_df(spark, ps), editions_df(spark, EDS), AS_OF, max_bucket_rows=30)
+    assert a.core.span.width_days > 1
+    assert by_keys(dicts(a.rollup)) == by_keys(model.rollup(ps, EDS, AS_OF))
