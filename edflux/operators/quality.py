@@ -7,6 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from edflux.constants import CLOSING_DAYS
+from edflux.functions.dates import minus_days
+from edflux.plans.broadcast import bounded_broadcast
+
 
 def _metrics(df: DataFrame, **named: Column) -> DataFrame:
     """One aggregate pass over ``df`` returning (metric, value) rows."""
@@ -19,41 +23,51 @@ def quality_counters(
     purchases: DataFrame,
     editions: DataFrame,
     recent: DataFrame,
-    flagged: DataFrame,
     windows: DataFrame,
-    purchases_recent: DataFrame,
+    closing_days: int = CLOSING_DAYS,
 ) -> DataFrame:
     """Counters the pipeline logs: rows per stage, null dates, duplicates, flag totals, groups.
 
-    Each input is aggregated once; the results are stacked with ``unionByName`` (no join).
+    One pass over the purchases (left join to the broadcast recent editions, every
+    counter -- including the distinct (customer, type) groups -- in one aggregate), one
+    over the edition table; the one-row results are stacked with ``unionByName``.
+    ``recent`` must hold one row per key (as ``editions_recent`` returns it).
     """
-    parts = [
-        _metrics(
-            purchases,
-            compras=F.count(F.lit(1)),
-            compras_sin_fecha=F.count_if(F.col("fecha_rotulacion_finalizacion").isNull()),
-            compras_sin_persona=F.count_if(F.col("clave_persona").isNull()),
-        ),
-        _metrics(
-            editions,
-            sorteos=F.count(F.lit(1)),
-            sorteos_sin_fecha_fin=F.count_if(F.col("fecha_fin").isNull()),
-            sorteos_sin_fecha_inicio=F.count_if(F.col("fecha_inicio").isNull()),
-        ),
-        _metrics(recent, sorteos_recientes=F.count(F.lit(1))),
-        _metrics(purchases_recent, compras_recientes=F.count(F.lit(1))),
-        _metrics(
-            flagged,
-            compras_validas=F.count(F.lit(1)),
-            en_semana_cierre=F.count_if(F.col("en_semana_cierre")),
-            en_pre_cierre=F.count_if(F.col("en_pre_cierre")),
+    dim = bounded_broadcast(
+        recent.select(
+            "clave_edicion_producto", "tipo_producto", "numero_sorteo", "fecha_inicio", "fecha_fin",
+            F.lit(True).alias("_recent"),
+        )
+    )
+    j = purchases.join(dim, "clave_edicion_producto", "left")
+    t = F.col("fecha_rotulacion_finalizacion")
+    matched = F.col("_recent").isNotNull()
+    valid = matched & t.isNotNull() & F.col("tipo_producto").isNotNull() & F.col("numero_sorteo").isNotNull()
+    sci = minus_days(F.col("fecha_fin"), closing_days)
+    closing = valid & (t >= sci) & (t <= F.col("fecha_fin"))
+    pre = valid & (t >= F.col("fecha_inicio")) & (t < sci)
+    person = F.col("clave_persona").isNotNull()
+    facts = _metrics(
+        j,
+        compras=F.count(F.lit(1)),
+        compras_sin_fecha=F.count_if(t.isNull()),
+        compras_sin_persona=F.count_if(~person),
+        compras_recientes=F.count_if(matched),
+        compras_validas=F.count_if(valid),
+        en_semana_cierre=F.count_if(F.coalesce(closing, F.lit(False))),
+        en_pre_cierre=F.count_if(F.coalesce(pre, F.lit(False))),
+        grupos_persona_producto=F.count_distinct(
+            F.when(valid & person, F.struct("clave_persona", "tipo_producto"))
         ),
-        _metrics(windows, ventanas=F.count(F.lit(1))),
-    ]
-    dup = editions.groupBy("clave_edicion_producto").agg(F.count(F.lit(1)).alias("n"))
-    parts.append(_metrics(dup, sorteos_clave_duplicada=F.sum(F.col("n") - 1)))
-    pairs = flagged.where(F.col("clave_persona").isNotNull()).select("clave_persona", "tipo_producto").distinct()
-    parts.append(_metrics(pairs, grupos_persona_producto=F.count(F.lit(1))))
+    )
+    dims = _metrics(
+        editions,
+        sorteos=F.count(F.lit(1)),
+        sorteos_sin_fecha_fin=F.count_if(F.col("fecha_fin").isNull()),
+        sorteos_sin_fecha_inicio=F.count_if(F.col("fecha_inicio").isNull()),
+        sorteos_clave_duplicada=F.count(F.lit(1)) - F.count_distinct("clave_edicion_producto"),
+    )
+    parts = [facts, dims, _metrics(recent, sorteos_recientes=F.count(F.lit(1))), _metrics(windows, ventanas=F.count(F.lit(1)))]
     out = reduce(DataFrame.unionByName, parts)
     return out.select("metric", F.coalesce(F.col("value"), F.lit(0).cast("bigint")).alias("value"))
 

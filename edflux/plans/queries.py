@@ -203,9 +203,7 @@ def q_rollup_single_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_quality_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _analysis(spark, sf_dir)
-    return quality_counters(
-        a.purchases, a.editions, a.recent, a.flagged, a.windows, purchases_recent(a.purchases, a.recent)
-    )
+    return quality_counters(a.purchases, a.editions, a.recent, a.windows)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -87,14 +87,7 @@ def test_quality_counters_and_observation(spark):
     ]
     ps = [purchase(1, 1, d("2024-05-02"), 1), purchase(None, 1, d("2024-05-29"), 2), purchase(2, 1, None, 3)]
     a = SwitchingAnalysis(purchases_df(spark, ps), editions_df(spark, eds), datetime(2024, 6, 15, 12))
-    from edflux.operators.prepare import purchases_recent
-
-    counters = {
-        r["metric"]: r["value"]
-        for r in quality_counters(
-            a.purchases, a.editions, a.recent, a.flagged, a.windows, purchases_recent(a.purchases, a.recent)
-        ).collect()
-    }
+    counters = {r["metric"]: r["value"] for r in quality_counters(a.purchases, a.editions, a.recent, a.windows).collect()}
     assert counters["compras"] == 3 and counters["compras_sin_fecha"] == 1
     assert counters["sorteos_clave_duplicada"] == 1 and counters["compras_validas"] == 2
     assert counters["en_semana_cierre"] == 1 and counters["en_pre_cierre"] == 1
