@@ -142,23 +142,6 @@ def edition_labels(editions: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- purchases
 
 
-def purchases_recent(purchases: DataFrame, recent: DataFrame) -> DataFrame:
-    """Purchases of recent editions (a semi join on the edition key, dimension size-checked)."""
-    keys = bounded_broadcast(recent.select("clave_edicion_producto"))
-    return purchases.join(keys, "clave_edicion_producto", "left_semi")
-
-
-_EDITION_ATTRS = [
-    "clave_edicion_producto",
-    "tipo_producto",
-    "numero_sorteo",
-    "desc_sorteo",
-    "fecha_inicio",
-    "fecha_fin",
-    "fecha_celebracion",
-]
-
-
 # Up to this many edition keys are also pushed into the purchase scan as an IN filter.
 MAX_SCAN_KEYS = 10_000
 
@@ -176,6 +159,29 @@ def edition_key_filter(editions: DataFrame, max_keys: int = MAX_SCAN_KEYS) -> Co
     return F.col("clave_edicion_producto").isin([k[0] for k in keys if k[0] is not None])
 
 
+def purchases_recent(purchases: DataFrame, recent: DataFrame) -> DataFrame:
+    """Purchases of recent editions: a semi join on the edition key.
+
+    With a bounded key list it is exactly an ``IN`` filter, pushed into the scan;
+    beyond the bound, a broadcast (size-checked) semi join.
+    """
+    keys = edition_key_filter(recent)
+    if keys is not None:
+        return purchases.where(keys)
+    return purchases.join(bounded_broadcast(recent.select("clave_edicion_producto")), "clave_edicion_producto", "left_semi")
+
+
+_EDITION_ATTRS = [
+    "clave_edicion_producto",
+    "tipo_producto",
+    "numero_sorteo",
+    "desc_sorteo",
+    "fecha_inicio",
+    "fecha_fin",
+    "fecha_celebracion",
+]
+
+
 def purchases_enriched(purchases: DataFrame, editions: DataFrame, prune_scan: bool = False) -> DataFrame:
     """Purchases with their edition's attributes; rows without time, type or number drop.
 
