@@ -1,11 +1,12 @@
 """The rollup pipelines: many windows per type, the recurrent filter, one window per type.
 
-Plan shape (one lazy plan; the only actions are size checks on edition-sized tables):
+Plan shape (one lazy plan; the only actions are a checkpoint of the recent editions, the
+key list pushed into the purchase scan and size checks on edition-sized tables):
 
-    purchases --(broadcast recent editions)--> flagged purchases           (one scan)
-      --(broadcast bucket -> windows lookup)--> one row per purchase role  (explode)
+    purchases --(broadcast recent editions)--> flagged purchases               (one scan)
+      --(broadcast (bucket, window) rows + per-bucket own sentinel)--> one row per role
       --> ticket level --> first edition per ticket (window) --> edition level
-      --> pair level: arrays ``ed`` (own) and ``od`` (others) per (customer, type)
+      --> pair level: own prefix arrays and ``od`` (others) per (customer, type)
     rows = pairs JOIN broadcast(windows) on type     # narrow; output-sized data never shuffles
 """
 
@@ -34,6 +35,7 @@ from edflux.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from edflux.plans.lineage import materialize_small, reliable_checkpoint
 from edflux.schemas import ROLLUP_COLUMNS
 
+
 @dataclass
 class SwitchingCore:
     """Per-window own and other-product measures for flagged purchases and a windows table.
@@ -71,7 +73,7 @@ class SwitchingCore:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        """``bucket -> windows`` (bounded by ``others.MAX_BUCKET_ROWS`` window-buckets)."""
+        """(bucket, window) rows plus own sentinels, bounded by ``max_bucket_rows`` window-buckets."""
         bucketed = others.bucketed_windows(self.windows, self.span.width_days, self.closing_days)
         return switching.window_lookup(bucketed)
 
@@ -112,7 +114,7 @@ class SwitchingCore:
     # ---- assembly
     @cached_property
     def pairs(self) -> DataFrame:
-        """Per (customer, type) with purchases: own array ``ed`` and others array ``od``."""
+        """Per (customer, type) with purchases: own prefix arrays and others array ``od``."""
         return reliable_checkpoint(switching.pair_level(self.editions), self.checkpoint)
 
     @cached_property
