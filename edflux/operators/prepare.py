@@ -75,12 +75,19 @@ def clean_purchases(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_editions(df: DataFrame) -> DataFrame:
+def clean_editions(df: DataFrame, strict: bool = False) -> DataFrame:
     """Editions with the types of ``schemas.EDITIONS``.
 
     The key must be integer text (``"1.0"`` fails the job); type and number may be
-    ``"1.0"`` or blank (null); dates must parse or be blank.
+    ``"1.0"`` or blank (null); dates must parse or be blank. With ``strict`` a null key
+    fails the job too.
     """
+    if strict and "clave_edicion_producto" in df.columns:
+        df = df.where(
+            F.when(F.col("clave_edicion_producto").isNotNull(), F.lit(True)).otherwise(
+                F.raise_error(F.lit("edition without clave_edicion_producto"))
+            )
+        )
     return df.select(
         _typed(df, "clave_edicion_producto", strict_long, "bigint"),
         _typed(df, "tipo_producto", lenient_int, "int"),

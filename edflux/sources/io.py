@@ -47,12 +47,12 @@ def read_purchases(
 
 
 def read_editions(
-    spark: SparkSession, location: str, fmt: str = "parquet", options: dict | None = None
+    spark: SparkSession, location: str, fmt: str = "parquet", options: dict | None = None, strict: bool = False
 ) -> DataFrame:
-    """The edition dimension, typed (unknown extra columns are ignored)."""
+    """The edition dimension, typed (unknown extra columns are ignored; ``strict``: no null keys)."""
     raw = _read(spark, location, fmt, EDITIONS_TEXT, options)
     present = [c for c in EDITION_COLUMNS if c in raw.columns]
-    return clean_editions(raw.select(*present))
+    return clean_editions(raw.select(*present), strict)
 
 
 def read_rollup(

@@ -94,3 +94,12 @@ def test_quality_counters_and_observation(spark):
     observed, obs = observe_flags(a.flagged)
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get["compras_validas"] == 2
+
+
+def test_strict_editions_reject_null_keys(spark):
+    raw = spark.createDataFrame(
+        [(None, "1", "2", "S", "S1", "2024-01-01 00:00:00", "2024-02-01 00:00:00", None)], EDITIONS_TEXT
+    )
+    assert clean_editions(raw).count() == 1
+    with pytest.raises(Exception):
+        clean_editions(raw, strict=True).collect()
