@@ -41,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
     r.add_argument("--window-days", type=int, default=WINDOW_DAYS)
     r.add_argument("--closing-days", type=int, default=CLOSING_DAYS)
-    r.add_argument("--strict", action="store_true", help="fail on editions without type or number")
+    r.add_argument("--strict", action="store_true", help="fail on editions without key, type or number")
     r.add_argument("--checkpoint", action="store_true", help="cut lineage at the pair level")
     r.add_argument("--recurrent-out", help="also write rows with >= --min-editions earlier editions")
     r.add_argument("--recurrent-out-format", default="parquet", choices=FORMATS)
@@ -71,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "rollup":
         a = SwitchingAnalysis(
             read_purchases(spark, args.purchases, args.purchases_format),
-            read_editions(spark, args.editions, args.editions_format),
+            read_editions(spark, args.editions, args.editions_format, strict=args.strict),
             args.as_of,
             args.lookback_days,
             args.window_days,
