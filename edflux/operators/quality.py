@@ -65,6 +65,7 @@ def quality_counters(
         sorteos=F.count(F.lit(1)),
         sorteos_sin_fecha_fin=F.count_if(F.col("fecha_fin").isNull()),
         sorteos_sin_fecha_inicio=F.count_if(F.col("fecha_inicio").isNull()),
+        sorteos_sin_fecha_celebracion=F.count_if(F.col("fecha_celebracion").isNull()),
         sorteos_clave_duplicada=F.count(F.lit(1)) - F.count_distinct("clave_edicion_producto"),
     )
     parts = [facts, dims, _metrics(recent, sorteos_recientes=F.count(F.lit(1))), _metrics(windows, ventanas=F.count(F.lit(1)))]
@@ -72,6 +73,18 @@ def quality_counters(
     return out.select("metric", F.coalesce(F.col("value"), F.lit(0).cast("bigint")).alias("value"))
 
 
+ROLLUP_DATES = ["ultima_fecha_inicio", "ultima_fecha_fin", "ultima_semana_cierre_ini", "ultima_semana_cierre_fin"]
+
+
+def rollup_date_nulls(rollup: DataFrame) -> DataFrame:
+    """Rows of the rollup and, per date column, how many are null (one aggregate pass)."""
+    return _metrics(
+        rollup,
+        filas=F.count(F.lit(1)),
+        **{f"nulos_{c}": F.count_if(F.col(c).isNull()) for c in ROLLUP_DATES},
+    )
+
+
 def observe_flags(flagged: DataFrame, name: str = "flags") -> tuple[DataFrame, Observation]:
     """Attach flag totals to ``flagged``; they are filled by whichever action runs the plan,
     without an extra pass over the data."""

@@ -16,7 +16,7 @@ from edflux.operators import history, others
 from edflux.operators.switching import OWN_ONLY
 from edflux.operators.flow import migration_flow
 from edflux.operators.prepare import edition_labels, purchases_recent
-from edflux.operators.quality import quality_counters
+from edflux.operators.quality import quality_counters, rollup_date_nulls
 from edflux.operators.windows import last_edition, window_spine
 from edflux.plans.rollup import SingleWindowAnalysis, SwitchingAnalysis, SwitchingCore, recurrent
 from edflux.functions.tickets import ticket_count
@@ -206,6 +206,10 @@ def q_quality_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_counters(a.purchases, a.editions, a.recent, a.windows)
 
 
+def q_rollup_date_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup_date_nulls(_analysis(spark, sf_dir).rollup)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "editions_recent": q_editions_recent,
     "purchases_recent": q_purchases_recent,
@@ -228,4 +232,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_edition": q_last_edition,
     "rollup_single_window": q_rollup_single_window,
     "quality_counters": q_quality_counters,
+    "rollup_date_nulls": q_rollup_date_nulls,
 }
