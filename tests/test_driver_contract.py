@@ -40,3 +40,17 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(rows) == len(want)
     assert _digest(df.columns, rows) == _digest(cols, want)
+
+
+@pytest.mark.parametrize("name", ["purchase_dates_parsed", "rollup_full"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = entry.queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(entry.oracle_sql()[name])
+    cols = [c[0] for c in res.description]
+    assert _digest(df.columns, rows) == _digest(cols, res.fetchall())
