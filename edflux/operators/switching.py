@@ -121,7 +121,8 @@ def role_rows(flagged: DataFrame, lookup: DataFrame | None, span: WindowSpan | N
 
 def ticket_level(roles: DataFrame) -> DataFrame:
     """One row per (customer, role, type, number, code, ticket): rows and first purchase."""
-    cdc = F.col("clave_detalle_compra")
+    # Rows without a purchase key rank last but still count as candidates for "first".
+    cdc = F.coalesce(F.col("clave_detalle_compra"), F.lit(2**63 - 1).cast("bigint"))
     return roles.groupBy(*TICKET).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(cdc).alias("first_cdc"),

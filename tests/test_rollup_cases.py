@@ -250,3 +250,14 @@ def test_coarse_time_buckets_give_the_same_result(spark):
     a = SwitchingAnalysis(purchases_df(spark, ps), editions_df(spark, EDS), AS_OF, max_bucket_rows=30)
     assert a.core.span.width_days > 1
     assert by_keys(dicts(a.rollup)) == by_keys(model.rollup(ps, EDS, AS_OF))
+
+
+def test_rows_without_purchase_key_still_give_a_first_row(spark):
+    ps = [
+        {**purchase(1, 101, d("2024-01-03"), 1), "clave_detalle_compra": None},
+        purchase(1, 104, d("2024-04-03"), 2),
+    ]
+    rows = run(spark, ps, EDS)
+    w0 = next(r for r in rows if r["ventana_numero"] == 0)
+    detail = json.loads(w0["hist_detalle_por_edicion_json"])
+    assert [x["clave_edicion_producto"] for x in detail] == [101, 104]
