@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Edition-sized tables: a few thousand rows in practice. Beyond the bound the
 # planner's sort-merge join takes over instead of a broadcast.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
