@@ -48,6 +48,7 @@ class WindowSpan:
     n_windows: int
     lo: datetime | None
     hi: datetime | None
+    fits: bool = True  # the bucket lookup stays under the row bound (broadcastable)
 
 
 def window_span(windows: DataFrame, max_rows: int = MAX_BUCKET_ROWS) -> WindowSpan:
@@ -69,7 +70,9 @@ def window_span(windows: DataFrame, max_rows: int = MAX_BUCKET_ROWS) -> WindowSp
         width = 1
     else:
         width = max(1, math.ceil(days / max(max_rows - 2 * n, 1)))
-    return WindowSpan(width, n, row["lo"], row["hi"])
+    # Each window touches at most days/width + 2 buckets, plus one sentinel per bucket.
+    fits = 2 * (math.ceil(days / width) + 2 * n) <= 2 * max_rows and 4 * n <= max_rows
+    return WindowSpan(width, n, row["lo"], row["hi"], fits)
 
 
 def bucketed_windows(windows: DataFrame, width_days: int, closing_days: int = CLOSING_DAYS) -> DataFrame:

@@ -99,7 +99,10 @@ def role_rows(flagged: DataFrame, lookup: DataFrame | None, span: WindowSpan | N
         t <= F.lit(span.hi.isoformat(sep=" ")).cast("timestamp_ntz")
     )
     keyed = facts.withColumn("bucket", F.when(in_range, bucket_of(t, span.width_days)))
-    lk = F.broadcast(lookup.withColumnRenamed("bucket", "lk_bucket"))
+    lk = lookup.withColumnRenamed("bucket", "lk_bucket")
+    # Broadcast when the lookup is within its bound; beyond it, a shuffle join on the
+    # bucket, where adaptive execution splits buckets that hold too many purchases.
+    lk = F.broadcast(lk) if span.fits else lk
     own_row = lk["w"].isNull()
     other_row = (lk["t"] != keyed["tipo_producto"]) & (t >= lk["ini"]) & (t <= lk["fin"])
     cond = (keyed["bucket"] == lk["lk_bucket"]) & (own_row | other_row)

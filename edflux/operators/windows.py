@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from edflux.constants import WINDOW_DAYS
 from edflux.functions.dates import as_timestamp_ntz, days_before, midnight, normalize_as_of
+from edflux.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS, is_bounded, salted_join
 
 WINDOW_COLUMNS = [
     "tipo_producto",
@@ -93,9 +94,15 @@ def last_edition(editions: DataFrame) -> DataFrame:
     )
 
 
-def window_spine(pairs: DataFrame, windows: DataFrame) -> DataFrame:
+def window_spine(pairs: DataFrame, windows: DataFrame, small: bool | None = None) -> DataFrame:
     """Every (customer, type) pair times every window of its type; types without windows drop.
 
-    ``windows`` is edition-sized and broadcast, so the fact-sized side never shuffles.
+    ``windows`` is edition-sized and broadcast, so the pair side never shuffles; ``small``
+    says whether its row bound holds (checked here when not given). Beyond the bound a
+    salted shuffle join spreads each product type over many tasks.
     """
-    return pairs.join(F.broadcast(windows), "tipo_producto", "inner")
+    if small is None:
+        small = is_bounded(windows, DEFAULT_MAX_BROADCAST_ROWS)
+    if small:
+        return pairs.join(F.broadcast(windows), "tipo_producto", "inner")
+    return salted_join(pairs, windows, "tipo_producto", "clave_persona")

@@ -22,3 +22,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, spread_col: str, fanout: int = 64) -> DataFrame:
+    """Equi join on a low-cardinality ``key`` without broadcasting ``small`` and without hot tasks.
+
+    The fallback for a "small" side that failed its size check: ``small`` is replicated
+    ``fanout`` times with a salt, ``big`` takes the salt from a hash of ``spread_col``, and
+    the shuffle join on (key, salt) spreads each key value over ``fanout`` tasks.
+    """
+    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(fanout - 1))))
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread_col)), F.lit(fanout)).cast("int"))
+    return salted_big.join(salted_small, [key, "_salt"], "inner").drop("_salt")

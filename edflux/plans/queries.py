@@ -17,7 +17,7 @@ from edflux.operators.switching import OWN_ONLY
 from edflux.operators.flow import migration_flow
 from edflux.operators.prepare import edition_labels, purchases_recent
 from edflux.operators.quality import quality_counters, rollup_date_nulls
-from edflux.operators.windows import last_edition, window_spine
+from edflux.operators.windows import last_edition
 from edflux.plans.rollup import SingleWindowAnalysis, SwitchingAnalysis, SwitchingCore, recurrent
 from edflux.functions.tickets import ticket_count
 from edflux.constants import FLAG_CLOSING, FLAG_PRE
@@ -115,8 +115,7 @@ def _pairs(a: SwitchingAnalysis) -> DataFrame:
 
 def q_window_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _analysis(spark, sf_dir)
-    a.core.span  # windows' row bound
-    return window_spine(_pairs(a), a.windows).select(
+    return a.core.with_windows(_pairs(a)).select(
         *SPINE_KEYS, "numero_sorteo_ultima", "clave_edicion_producto_ultima"
     )
 
@@ -124,7 +123,7 @@ def q_window_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _own_rows(a: SwitchingAnalysis) -> DataFrame:
     """Own measures through the chain restricted to the own role (no lookup join)."""
     core = SwitchingCore(a.flagged, a.windows, a.closing_days, roles=OWN_ONLY)
-    spine = core.pairs.join(core.broadcast_windows, "tipo_producto")
+    spine = core.with_windows(core.pairs)
     own = history.own_columns(F.col("numero_sorteo_ultima"))
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in own.items()])
 
@@ -142,7 +141,7 @@ def q_history_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_other_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Other-product measures only, for every spine row (zero when nothing was bought)."""
     core = _analysis(spark, sf_dir).core
-    spine = core.pairs.join(core.broadcast_windows, "tipo_producto")
+    spine = core.with_windows(core.pairs)
     oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
     oth.pop("otros_detail")
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in oth.items()])

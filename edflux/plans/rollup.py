@@ -30,7 +30,7 @@ from edflux.operators.prepare import (
     purchases_enriched,
     purchases_flagged,
 )
-from edflux.operators.windows import edition_windows, last_edition
+from edflux.operators.windows import edition_windows, last_edition, window_spine
 from edflux.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from edflux.plans.lineage import materialize_small, reliable_checkpoint
 from edflux.schemas import ROLLUP_COLUMNS
@@ -59,17 +59,16 @@ class SwitchingCore:
     def span(self) -> others.WindowSpan:
         if self._span is None:
             self._span = others.window_span(self.windows, self.max_bucket_rows)
-            if self._span.n_windows > self.max_windows:
-                raise ValueError(
-                    f"{self._span.n_windows} windows exceed the broadcast bound {self.max_windows}"
-                )
         return self._span
 
-    @property
-    def broadcast_windows(self) -> DataFrame:
-        """The windows hinted for broadcast, after their row bound is checked."""
-        self.span
-        return F.broadcast(self.windows)
+    def with_windows(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` joined with the windows of their type.
+
+        A broadcast join when the windows are within their row bound (always, in
+        practice); beyond it a salted shuffle join, since a join on the product type alone
+        would send every pair of a type to one task.
+        """
+        return window_spine(pairs, self.windows, small=self.span.n_windows <= self.max_windows)
 
     @cached_property
     def lookup(self) -> DataFrame:
@@ -120,7 +119,7 @@ class SwitchingCore:
     @cached_property
     def rows(self) -> DataFrame:
         """One row per (pair, window of the pair's type) with typed measures and detail arrays."""
-        spine = self.pairs.join(self.broadcast_windows, "tipo_producto", "inner")
+        spine = self.with_windows(self.pairs)
         w = F.col("numero_sorteo_ultima")
         own = history.own_columns(w)
         oth = others.other_columns(F.col("od"), F.col("ventana_numero"))

@@ -261,3 +261,13 @@ def test_rows_without_purchase_key_still_give_a_first_row(spark):
     w0 = next(r for r in rows if r["ventana_numero"] == 0)
     detail = json.loads(w0["hist_detalle_por_edicion_json"])
     assert [x["clave_edicion_producto"] for x in detail] == [101, 104]
+
+
+def test_fallbacks_beyond_the_broadcast_bounds_give_the_same_result(spark):
+    ps = [
+        purchase(1, 104, d("2024-04-03"), 1), purchase(1, 205, d("2024-05-28"), 2),
+        purchase(2, 105, d("2024-05-03"), 3), purchase(2, 203, d("2024-03-31"), None),
+    ]
+    a = SwitchingAnalysis(purchases_df(spark, ps), editions_df(spark, EDS), AS_OF, max_broadcast_rows=1, max_bucket_rows=4)
+    assert a.core.span.n_windows > a.core.max_windows and not a.core.span.fits
+    assert by_keys(dicts(a.rollup)) == by_keys(model.rollup(ps, EDS, AS_OF))
