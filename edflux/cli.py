@@ -31,6 +31,12 @@ def _io(p: argparse.ArgumentParser, name: str, out: bool = False) -> None:
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="edflux")
     ap.add_argument("--master", default=None, help="only for local runs; spark-submit sets it otherwise")
+    ap.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        default=None,
+        help="initial shuffle partitions (size so a ticket-level partition is ~128-256 MB; AQE coalesces)",
+    )
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     r = sub.add_parser("rollup", help="multi-window rollup")
@@ -67,7 +73,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = build_session(args.master, app_name=f"edflux-{args.cmd}")
+    spark = build_session(args.master, app_name=f"edflux-{args.cmd}", shuffle_partitions=args.shuffle_partitions)
     if args.cmd == "rollup":
         a = SwitchingAnalysis(
             read_purchases(spark, args.purchases, args.purchases_format),
