@@ -74,3 +74,14 @@ def test_invariants_and_partition_independence(spark, data, parts):
     # Same result whatever the input partitioning.
     shuffled = rollup(purchases.repartition(parts), editions.repartition(parts), AS_OF)
     assert by_keys(dicts(shuffled)) == by_keys(rows)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(tables())
+def test_single_window_matches_model(spark, data):
+    from edflux.plans.rollup import rollup_single_window
+
+    ps, eds = data
+    keys = ["clave_persona", "tipo_producto"]
+    got = by_keys(dicts(rollup_single_window(purchases_df(spark, ps), editions_df(spark, eds))), keys)
+    assert got == by_keys(model.single_window(ps, eds), keys)
