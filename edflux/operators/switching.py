@@ -26,6 +26,8 @@ of all purchases still spreads over every task.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,7 +100,12 @@ def role_rows(flagged: DataFrame, lookup: DataFrame | None, span: WindowSpan | N
     in_range = (t >= F.lit(span.lo.isoformat(sep=" ")).cast("timestamp_ntz")) & (
         t <= F.lit(span.hi.isoformat(sep=" ")).cast("timestamp_ntz")
     )
-    keyed = facts.withColumn("bucket", F.when(in_range, bucket_of(t, span.width_days)))
+    # Purchases outside every window get bucket values below the lookup's smallest bucket:
+    # they match only the outer join's null row, and spread over 64 keys instead of one
+    # null key if the join has to shuffle.
+    lowest = (span.lo.date() - date(1970, 1, 1)).days // span.width_days
+    outside = F.lit(lowest - 1) - F.pmod(F.xxhash64("clave_detalle_compra"), F.lit(64))
+    keyed = facts.withColumn("bucket", F.when(in_range, bucket_of(t, span.width_days)).otherwise(outside))
     lk = lookup.withColumnRenamed("bucket", "lk_bucket")
     # Broadcast when the lookup is within its bound; beyond it, a shuffle join on the
     # bucket, where adaptive execution splits buckets that hold too many purchases.
