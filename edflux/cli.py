@@ -52,6 +52,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--recurrent-out", help="also write rows with >= --min-editions earlier editions")
     r.add_argument("--recurrent-out-format", default="parquet", choices=FORMATS)
     r.add_argument("--min-editions", type=int, default=MIN_EDITIONS)
+    r.add_argument("--partition-by", default="", help="comma-separated output partition columns, e.g. tipo_producto")
 
     c = sub.add_parser("recurrent", help="filter a stored rollup")
     _io(c, "rollup")
@@ -85,7 +86,8 @@ def main(argv: list[str] | None = None) -> int:
             args.strict,
             args.checkpoint,
         )
-        write(a.rollup, args.out, args.out_format)
+        parts = [c for c in args.partition_by.split(",") if c]
+        write(a.rollup, args.out, args.out_format, **({"partitionBy": parts} if parts else {}))
         if args.recurrent_out:
             stored = read_rollup(spark, args.out, args.out_format)
             write(recurrent(stored, args.min_editions), args.recurrent_out, args.recurrent_out_format)

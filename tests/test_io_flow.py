@@ -100,3 +100,18 @@ def test_command_line_jobs(spark, scratch_dir):
     assert main(["single-window", "--purchases", f"{scratch_dir}/p", "--editions", f"{scratch_dir}/e",
                  "--editions-format", "csv", "--out", f"{scratch_dir}/s"]) == 0
     assert spark.read.parquet(f"{scratch_dir}/s").count() > 0
+
+
+def test_partitioned_rollup_output(spark, scratch_dir):
+    import os
+
+    from edflux.cli import main
+
+    write(purchases_df(spark, PS), f"{scratch_dir}/p")
+    write(editions_df(spark, EDS), f"{scratch_dir}/e")
+    assert main(["rollup", "--purchases", f"{scratch_dir}/p", "--editions", f"{scratch_dir}/e",
+                 "--as-of", "2024-06-15 12:00:00", "--out", f"{scratch_dir}/r", "--partition-by", "tipo_producto"]) == 0
+    assert any(n.startswith("tipo_producto=") for n in os.listdir(f"{scratch_dir}/r"))
+    want = rollup(purchases_df(spark, PS), editions_df(spark, EDS), AS_OF)
+    got = read_rollup(spark, f"{scratch_dir}/r")
+    assert sorted(got.collect()) == sorted(want.collect())
