@@ -64,7 +64,7 @@ def window_span(windows: DataFrame, max_rows: int = MAX_BUCKET_ROWS) -> WindowSp
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(valid, ini)).alias("lo"),
         F.max(F.when(valid, fin)).alias("hi"),
-    ).first()
+    ).collect()[0]  # a global aggregate: one row, one job (``first()`` would run several)
     days, n = int(row["days"]), int(row["n"])
     if n == 0 or days + n <= max_rows:
         width = 1

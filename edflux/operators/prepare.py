@@ -160,10 +160,13 @@ def edition_key_filter(editions: DataFrame, max_keys: int = MAX_SCAN_KEYS) -> Co
     partitions) before the join; the join alone would read every purchase ever made.
     The keys are read from the (checked, edition-sized) dimension.
     """
-    keys = editions.select("clave_edicion_producto").distinct().limit(max_keys + 1).collect()
-    if len(keys) > max_keys:
+    # One job: bounded with ``limit`` after folding the small table into one partition
+    # (a plain ``limit(..).collect()`` scans partitions in several incremental jobs).
+    rows = editions.select("clave_edicion_producto").coalesce(1).limit(max_keys + 1).collect()
+    keys = sorted({r[0] for r in rows if r[0] is not None})
+    if len(rows) > max_keys:
         return None
-    return F.col("clave_edicion_producto").isin([k[0] for k in keys if k[0] is not None])
+    return F.col("clave_edicion_producto").isin(keys)
 
 
 def purchases_recent(purchases: DataFrame, recent: DataFrame) -> DataFrame:

@@ -35,8 +35,17 @@ def _period(tp: Column) -> Column:
     return F.lit(30) + F.lit(10) * tp
 
 
+# Fixed read schemas of the columns used (no schema inference job per read).
+_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_type STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def fixture_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
