@@ -20,12 +20,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, reading no more than ``max_rows + 1``.
+    """Whether ``df`` has at most ``max_rows`` rows; partitions stop after ``max_rows + 1``.
 
-    Folding into one partition before the limit makes it one job that stops early,
-    instead of the incremental jobs of a plain limit.
+    A count over a limit runs in parallel (each partition stops early), unlike a
+    single-partition scan, which would serialise whatever work ``df`` carries.
     """
-    return df.coalesce(1).limit(max_rows + 1).count() <= max_rows
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, spread_col: str, fanout: int = 64) -> DataFrame:
