@@ -22,12 +22,16 @@ WINDOW_COLUMNS = [
 
 
 def drop_untyped_editions(editions: DataFrame, strict: bool = False) -> DataFrame:
-    """Editions without type or number cannot be windows; drop them, or fail if ``strict``."""
-    ok = F.col("tipo_producto").isNotNull() & F.col("numero_sorteo").isNotNull()
+    """Editions without key, type or number cannot be windows; drop them, or fail if ``strict``."""
+    ok = (
+        F.col("clave_edicion_producto").isNotNull()
+        & F.col("tipo_producto").isNotNull()
+        & F.col("numero_sorteo").isNotNull()
+    )
     if strict:
         return editions.where(
             F.when(ok, F.lit(True)).otherwise(
-                F.raise_error(F.lit("edition without tipo_producto or numero_sorteo"))
+                F.raise_error(F.lit("edition without clave_edicion_producto, tipo_producto or numero_sorteo"))
             )
         )
     return editions.where(ok)

@@ -57,7 +57,7 @@ def windows(recent, as_of, window_days=365):
     cutoff = today - window_days * DAY
     by_type = defaultdict(list)
     for e in recent:
-        if e["tipo_producto"] is not None and e["numero_sorteo"] is not None:
+        if None not in (e["clave_edicion_producto"], e["tipo_producto"], e["numero_sorteo"]):
             by_type[e["tipo_producto"]].append(e)
     result = {}
     for tp, eds in by_type.items():

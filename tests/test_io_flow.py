@@ -115,3 +115,18 @@ def test_partitioned_rollup_output(spark, scratch_dir):
     want = rollup(purchases_df(spark, PS), editions_df(spark, EDS), AS_OF)
     got = read_rollup(spark, f"{scratch_dir}/r")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_command_line_strict_and_checkpoint(spark, scratch_dir):
+    import pytest
+
+    from edflux.cli import main
+
+    write(purchases_df(spark, PS), f"{scratch_dir}/p")
+    write(editions_df(spark, EDS + [edition(None, 1, 9, datetime(2024, 5, 1), datetime(2024, 5, 31))]), f"{scratch_dir}/e")
+    base = ["rollup", "--purchases", f"{scratch_dir}/p", "--editions", f"{scratch_dir}/e", "--as-of", "2024-06-15 12:00:00"]
+    assert main(base + ["--out", f"{scratch_dir}/ok", "--checkpoint"]) == 0
+    want = rollup(purchases_df(spark, PS), editions_df(spark, EDS), AS_OF)
+    assert sorted(read_rollup(spark, f"{scratch_dir}/ok").collect()) == sorted(want.collect())
+    with pytest.raises(Exception):
+        main(base + ["--out", f"{scratch_dir}/strict", "--strict"])
