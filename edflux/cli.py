@@ -20,7 +20,8 @@ from edflux.constants import CLOSING_DAYS, LOOKBACK_DAYS, MIN_EDITIONS, WINDOW_D
 from edflux.operators.flow import migration_flow
 from edflux.plans.rollup import SwitchingAnalysis, recurrent, rollup_single_window
 from edflux.session import build_session
-from edflux.sources.io import FORMATS, read_editions, read_purchases, read_rollup, write
+from edflux.sources.io import FORMATS, read_editions, read_purchases, read_rollup
+from edflux.sources.io import write as _write
 
 
 def _io(p: argparse.ArgumentParser, name: str, out: bool = False) -> None:
@@ -37,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
         default=None,
         help="initial shuffle partitions (size so a ticket-level partition is ~128-256 MB; AQE coalesces)",
     )
+    ap.add_argument("--explain", action="store_true", help="print each output's formatted physical plan first")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     r = sub.add_parser("rollup", help="multi-window rollup")
@@ -74,6 +76,12 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+
+    def write(df, location, fmt, **options):  # noqa: ANN001 - local wrapper of sources.io.write
+        if args.explain:
+            df.explain("formatted")
+        _write(df, location, fmt, **options)
+
     spark = build_session(args.master, app_name=f"edflux-{args.cmd}", shuffle_partitions=args.shuffle_partitions)
     if args.cmd == "rollup":
         a = SwitchingAnalysis(

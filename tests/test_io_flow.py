@@ -92,7 +92,8 @@ def test_command_line_jobs(spark, scratch_dir):
     got = read_rollup(spark, f"{scratch_dir}/r", "csv")
     assert sorted(got.collect()) == sorted(want.collect())
     assert read_rollup(spark, f"{scratch_dir}/rr").count() == want.where("hist_ediciones_distintas >= 1").count()
-    assert main(["recurrent", "--rollup", f"{scratch_dir}/r", "--rollup-format", "csv", "--out", f"{scratch_dir}/r2"]) == 0
+    assert main(["--explain", "recurrent", "--rollup", f"{scratch_dir}/r", "--rollup-format", "csv",
+                 "--out", f"{scratch_dir}/r2"]) == 0
     assert main(["flow", "--rollup", f"{scratch_dir}/r", "--rollup-format", "csv", "--editions", f"{scratch_dir}/e",
                  "--editions-format", "csv", "--out", f"{scratch_dir}/f"]) == 0
     flow = {(r["producto_origen_tag"], r["producto_destino_tag"]): r["clientes_perdidos"] for r in spark.read.parquet(f"{scratch_dir}/f").collect()}
