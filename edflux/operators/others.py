@@ -89,9 +89,32 @@ def bucketed_windows(windows: DataFrame, width_days: int, closing_days: int = CL
     )
 
 
+_JSON_OPTIONS = {"ignoreNullFields": "false"}
+
+
+def other_record_json(tp2: Column, ns2: Column, cep2: Column, closing: Column, outside: Column) -> Column:
+    """One other-product record as JSON text (field order is part of the output)."""
+    return F.to_json(
+        F.struct(
+            tp2.cast("string").alias("tipo_producto"),
+            ns2.alias("numero_sorteo"),
+            sorteo_id(tp2, ns2).alias("id_sorteo"),
+            cep2.alias("clave_edicion_producto"),
+            closing.alias("boletos_en_semana_cierre_objetivo"),
+            outside.alias("boletos_fuera_semana_cierre_objetivo"),
+        ),
+        _JSON_OPTIONS,
+    )
+
+
 def other_columns(od: Column, window_number: Column) -> dict[str, Column]:
-    """Other-product columns of one spine row (``window_number`` is ``ventana_numero``)."""
-    mine = F.array_sort(F.filter(F.coalesce(od, F.array()), lambda x: x["w"] == window_number))
+    """Other-product columns of one spine row (``window_number`` is ``ventana_numero``).
+
+    ``od`` is sorted by (window, type, number), so the window's entries come out in the
+    list order; their JSON records were written once per pair and are only joined here.
+    ``otros_detail`` is the same list typed, for consumers that read fields (the flow).
+    """
+    mine = F.filter(F.coalesce(od, F.array()), lambda x: x["w"] == window_number)
     closing = F.aggregate(mine, _zero(), lambda acc, x: acc + x["en_cierre"])
     outside = F.aggregate(mine, _zero(), lambda acc, x: acc + x["fuera_cierre"])
     detail = F.transform(
@@ -111,5 +134,8 @@ def other_columns(od: Column, window_number: Column) -> dict[str, Column]:
         "otros_tipos_producto_distintos": F.size(
             F.array_distinct(F.transform(mine, lambda x: x["tp2"]))
         ).cast("bigint"),
+        "otros_detalle_en_ventana_ultima_json": F.concat(
+            F.lit("["), F.array_join(F.transform(mine, lambda x: x["json"]), ","), F.lit("]")
+        ),
         "otros_detail": detail,
     }

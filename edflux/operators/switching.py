@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from edflux.constants import FLAG_CLOSING, FLAG_PRE
 from edflux.functions.tickets import ticket_count
 from edflux.operators.history import pair_prefix
-from edflux.operators.others import WindowSpan, bucket_of
+from edflux.operators.others import WindowSpan, bucket_of, other_record_json
 
 PAIR = ["clave_persona", "objetivo_tipo"]
 EDITION = PAIR + ["objetivo_ventana", "tipo_producto", "numero_sorteo"]
@@ -247,12 +247,17 @@ def pair_level(editions: DataFrame) -> DataFrame:
         F.col("cep").alias("cep2"),
         F.col("count1").alias("en_cierre"),
         F.col("count0").alias("fuera_cierre"),
+        other_record_json(
+            F.col("tipo_producto"), F.col("numero_sorteo"), F.col("cep"), F.col("count1"), F.col("count0")
+        ).alias("json"),
     )
     pairs = (
         editions.groupBy(*PAIR)
         .agg(
             F.array_sort(F.collect_list(F.when(own, ed))).alias("ed"),
-            F.collect_list(F.when(~own, od)).alias("od"),
+            # Sorted by (window, type, number) once per pair: a window's entries are then
+            # an ordered run, and each record's JSON text is written once.
+            F.array_sort(F.collect_list(F.when(~own, od))).alias("od"),
         )
         .where(F.size("ed") > 0)
         .withColumnRenamed("objetivo_tipo", "tipo_producto")

@@ -144,6 +144,7 @@ def q_other_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     spine = core.with_windows(core.pairs)
     oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
     oth.pop("otros_detail")
+    oth.pop("otros_detalle_en_ventana_ultima_json")
     return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in oth.items()])
 
 

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from edflux.constants import CLOSING_DAYS, LOOKBACK_DAYS, MIN_EDITIONS, WINDOW_DAYS
 from edflux.functions.dates import minus_days, normalize_as_of
 from edflux.functions.labels import canibalization_class
-from edflux.functions.records import records_json
 from edflux.operators import history, others, switching
 from edflux.operators.prepare import (
     dedup_editions,
@@ -149,10 +148,7 @@ class SwitchingCore:
     @cached_property
     def rollup(self) -> DataFrame:
         """The 21 output columns, detail lists as JSON text."""
-        return self.rows.select(
-            *[c for c in ROLLUP_COLUMNS if c != "otros_detalle_en_ventana_ultima_json"],
-            records_json(F.col("otros_detail")).alias("otros_detalle_en_ventana_ultima_json"),
-        )
+        return self.rows.select(*ROLLUP_COLUMNS)
 
 
 @dataclass
