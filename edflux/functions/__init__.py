@@ -9,7 +9,6 @@ from edflux.functions.dates import (
     parse_strict_timestamp,
 )
 from edflux.functions.labels import canibalization_class, edition_tag, item_completo, sorteo_id
-from edflux.functions.records import records_json
 from edflux.functions.tickets import ticket_count
 
 __all__ = [
@@ -23,7 +22,6 @@ __all__ = [
     "minus_days",
     "parse_purchase_time",
     "parse_strict_timestamp",
-    "records_json",
     "sorteo_id",
     "strict_long",
     "ticket_count",
