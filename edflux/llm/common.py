@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edflux.session import ensure_checkpoint_dir
@@ -55,3 +55,27 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
                 at, size = i, 0
             size += int(n)
         yield batch.slice(at)
+
+
+def mask(text: Column, spans: Column, tag) -> Column:
+    """``text`` with every span of ``spans`` (sorted structs with start and end in code points) replaced.
+
+    ``tag`` makes the replacement from a span; what overlaps the span before it goes without one.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(a, s):
+        hole = F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), tag(s))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] < a["at"], a["out"]).otherwise(hole).alias("out"))
+
+    whole = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def spans_text(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def count_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")

@@ -86,7 +86,7 @@ def _spans(text: str, flags: np.ndarray) -> list[dict[str, int]]:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, automaton_bytes: int = 32 << 20) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text) with n_words, hit_words (one byte a word), items and spans.
+    """``docs`` with n_words, hit_words (one byte a word), items and spans of hits in code points.
 
     ``items`` has item_id and text. ``automaton_bytes`` bounds the item text in one automaton (its
     windows take about ``window`` times that).
@@ -95,20 +95,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, automaton
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").where("text is not null")
     shards = max(1, math.ceil(total(items, F.octet_length("text")) / automaton_bytes))
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    out = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    before: list[str] = []
+    own = [c for c in docs.columns if c not in ("n_words", "hit_words", "items", "spans")]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
+    out = docs.select(*(F.col(f"`{c}`") for c in own))
     for k in range(shards):
-        own = [(r.item_id, r.text) for r in items.where(shard == k).toLocalIterator()]  # automaton_bytes at most, on average
-        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(own), window, bool(before)), _schema(docs))
-        before = RESULT.split()
+        part = [(r.item_id, r.text) for r in items.where(shard == k).toLocalIterator()]  # automaton_bytes, on average
+        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(part), window, own, k > 0), f"{schema}, {RESULT}")
     return out
 
 
-def _schema(docs: DataFrame) -> str:
-    return f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, {RESULT}"
-
-
-def _scanner(held, window: int, again: bool):
+def _scanner(held, window: int, own: list[str], again: bool):
     """Scan with the automaton of ``held``; ``again``: add to the results of another."""
     types = {
         "n_words": pa.int64(),
@@ -133,7 +129,7 @@ def _scanner(held, window: int, again: bool):
                 out["items"].append(sorted(ids))
                 out["spans"].append(_spans(text, flags) if flags.any() else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), *(pa.array(out[k], t) for k, t in types.items())], ["doc_id", "text", *types]
+                [*(batch.column(c) for c in own), *(pa.array(out[k], t) for k, t in types.items())], [*own, *types]
             )
 
     return scan

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edflux.llm import chat
+from edflux.llm import chat, pii, secrets
 from edflux.llm import decontaminate as leaks
+from edflux.llm.ann import nearest
+from edflux.llm.html_text import html_text
 from edflux.llm.mixing import mix
 from edflux.llm.simhash import simhash_dedup
 from edflux.llm.substring_dedup import substring_dedup
+from edflux.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +27,8 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = leaks.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = leaks.decontaminate(docs, _table(spark, sf_dir, "benchmark"), window=10)
     return leaks.digest(found)
 
 
@@ -38,18 +42,47 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chat(turns.unionByName(own)))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "text")
+
+
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_table(spark, sf_dir, "documents"), shingle=3, bits=3)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal(_table(spark, sf_dir, "documents")))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_substring_dedup": op1_substring_dedup,
-    "op2_decontaminate": op2_decontaminate,
-    "op3_chat_format": op3_chat_format,
-    "op6_simhash": op6_simhash,
-    "op10_mixing": op10_mixing,
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_decontaminate,
+        op3_chat_format,
+        op4_html_text,
+        op5_nearest,
+        op6_simhash,
+        op7_toxicity,
+        op8_secrets,
+        op9_personal_data,
+        op10_mixing,
+    )
 }

@@ -50,18 +50,18 @@ def fingerprint(text: str | bytes | None, shingle: int = 3) -> bytes:
     return np.packbits(2 * ones > n).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long)."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and fp (the fingerprint as a signed long)."""
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = b"".join(fingerprint(t.as_buffer().to_pybytes() if t.is_valid else None, shingle) for t in batch.column("text"))
+            raw = b"".join(fingerprint(t.as_buffer().to_pybytes() if t.is_valid else None, shingle) for t in batch.column("__text"))
             fp = pa.array(np.frombuffer(raw, ">i8").astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), fp], [*keep, "fp"])
 
-    rows = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").cast("string").cast("binary").alias("__text"))
+    return rows.mapInArrow(run, f"{schema}, fp long")
 
 
 def postings(bits: int, blocks: int) -> list[tuple[int, ...]]:
@@ -97,12 +97,32 @@ def links(fps: DataFrame, bits: int = 3, blocks: int = 2) -> DataFrame:
     return pairs.select(F.col("a.fp").alias("x"), F.col("b.fp").alias("y"))
 
 
-def simhash_dedup(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable), a row per document."""
+def _grouped(docs: DataFrame, shingle: int, bits: int, blocks: int) -> DataFrame:
+    """doc_id, fp and component_id of every row."""
     marks = stored(fingerprints(docs, shingle), "fingerprints")
     heads = stored(marks.groupBy("fp").agg(F.min("doc_id").cast("long").alias("head")), "heads")
     near = stored(links(heads.select("fp"), bits, blocks), "near")
     x, y = heads.select(F.col("fp").alias("x"), F.col("head").alias("a")), heads.select(F.col("fp").alias("y"), F.col("head").alias("b"))
     roots = components(near.join(x, "x").join(y, "y").where("a is not null and b is not null").select("a", "b"))
     final = heads.join(roots, F.col("head") == F.col("node"), "left").select("fp", F.coalesce("root", "head").alias("component_id"))
-    return marks.join(final, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return marks.join(final, "fp")
+
+
+def simhash_dedup(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int = 2) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable), a row per document."""
+    own = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return _grouped(docs, shingle, bits, blocks).select("doc_id", own, "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int = 2) -> DataFrame:
+    """One row of ``docs`` for each component: that of the smallest id.
+
+    Rows without an id stand for their fingerprint only if no row with an id has it.
+    """
+    first = _grouped(docs, shingle, bits, blocks).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
+    first = stored(first.groupBy(F.col("component_id").alias("__id"), alone.alias("__alone")).agg(F.min("fp").alias("__fp")).drop("__alone"), "first")
+    rows = fingerprints(docs, shingle, tuple(docs.columns))
+    rows = rows.join(first, (rows["fp"] == first["__fp"]) & rows["doc_id"].eqNullSafe(first["__id"]), "left_semi")
+    whole = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")
+    return rows.groupBy("fp", "doc_id").agg(whole).select(*(F.col("row")[c].alias(c) for c in docs.columns))
