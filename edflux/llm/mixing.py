@@ -99,6 +99,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     limits = budget.join(state, budget["source"].eqNullSafe(state["of"])).select(
         F.col("of").alias("__of"), "source_size", "target", F.col("copies").alias("__copies"), F.col("below").alias("__below")
     )
+    limits = stored(limits, "limits")  # of known size, so a few sources are broadcast and documents stay where they are
     source, size, own_hash = F.col("source").cast("string"), size_of(F.col("text").cast("string")), hash_of(F.col("doc_id"))
     base = docs.select(*own, source.alias("__source"), size.alias("size"), own_hash.alias("__hash"))
     times = F.col("__copies") + (F.col("__hash") < F.col("__below")).cast("long")
