@@ -79,3 +79,14 @@ def spans_text(spans: Column) -> Column:
 
 def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def set_apart(df: DataFrame, names: str) -> DataFrame:
+    """``df`` with those of its columns renamed that clash with ``names``; :func:`put_back` undoes it."""
+    clash = set(names.split())
+    return df.select(*(F.col(f"`{c}`").alias(f"__own_{c}" if c.lower() in clash else c) for c in df.columns))
+
+
+def put_back(df: DataFrame, columns: list[str], names: str) -> DataFrame:
+    clash = set(names.split())
+    return df.select(*(F.col(f"`__own_{c}`" if c.lower() in clash else f"`{c}`").alias(c) for c in columns))

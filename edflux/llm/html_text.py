@@ -58,6 +58,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
+_LINES = re.compile(r" *\n *")
 
 
 class Node:
@@ -270,7 +271,7 @@ def render(root: Node) -> str:
             writers.pop()
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append((_BLANK.sub(" ", w.value()), _span(node)))
+            tables[-1][-1].append((_LINES.sub(" ", w.value()), _span(node)))
             continue
         if tag == "table":
             for line in _layout(tables.pop()):

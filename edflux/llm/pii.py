@@ -193,9 +193,9 @@ def sanitise(docs: DataFrame, context: int = 8, **thresholds) -> DataFrame:
 
     Rows are joined by doc_id; rows that repeat an id must repeat the text.
     """
-    found = find_personal(docs, context, **thresholds).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__id"), "spans")
+    found = find_personal(docs, context, **thresholds).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
     rows = docs.join(found, docs["doc_id"].eqNullSafe(F.col("__id")))
-    tag = mask(F.col("text"), F.col("spans"), lambda s: F.when(s["kind"] == "remove", "").otherwise(F.concat(F.lit("["), s["kind"], F.lit("]"))))
+    tag = mask(F.col("text"), F.col("__spans"), lambda s: F.when(s["kind"] == "remove", "").otherwise(F.concat(F.lit("["), s["kind"], F.lit("]"))))
     return rows.select(*(tag.alias(c) if c == "text" else docs[c] for c in docs.columns))
 
 

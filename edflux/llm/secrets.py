@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edflux.llm.common import count_kind, mask, spans_text, stored
+from edflux.llm.common import count_kind, mask, put_back, set_apart, spans_text, stored
 
 _QUOTE = "[\"']?"
 #: Kind, pattern, and what a match must have to count (drop it otherwise, no retries).
@@ -122,13 +122,15 @@ def find_secrets(docs: DataFrame, sample_docs: int = 2000) -> DataFrame:
 def redact(docs: DataFrame, sample_docs: int = 2000) -> DataFrame:
     """``docs`` with every secret in text replaced by ``[kind]`` and n_chars, where present, brought up to date."""
     found = stored(scan(docs).drop("__text"), "secrets")
-    keep = docs.columns
-    rows = with_markov(scan(docs, keep), train(found, docs, sample_docs))
+    clash = "base tokens spans"
+    apart = set_apart(docs, clash)
+    rows = with_markov(scan(apart, apart.columns), train(found, docs, sample_docs))
+    some = F.size("spans") > 0
     clean = mask(F.col("__text"), F.col("spans"), lambda s: F.concat(F.lit("["), s["kind"], F.lit("]")))
-    rows = rows.withColumn("__clean", F.when(F.size("spans") > 0, clean).otherwise(F.col("text")))
-    n = F.when(F.size("spans") > 0, F.length("__clean")).otherwise(F.col("n_chars")) if "n_chars" in keep else None
-    new = {"text": F.col("__clean")} | ({"n_chars": n.cast(docs.schema["n_chars"].dataType)} if n is not None else {})
-    return rows.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in keep))
+    rows = rows.withColumn("text", F.when(some, clean).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(some, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return put_back(rows, docs.columns, clash)
 
 
 def digest(found: DataFrame) -> DataFrame:

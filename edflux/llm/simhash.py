@@ -50,18 +50,18 @@ def fingerprint(text: str | bytes | None, shingle: int = 3) -> bytes:
     return np.packbits(2 * ones > n).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and fp (the fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
+    """The columns ``keep`` and ``name`` (the fingerprint as a signed long)."""
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = b"".join(fingerprint(t.as_buffer().to_pybytes() if t.is_valid else None, shingle) for t in batch.column("__text"))
             fp = pa.array(np.frombuffer(raw, ">i8").astype(np.int64))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), fp], [*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), fp], [*keep, name])
 
     rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col("text").cast("string").cast("binary").alias("__text"))
-    return rows.mapInArrow(run, f"{schema}, fp long")
+    return rows.mapInArrow(run, f"{schema}, {name} long")
 
 
 def postings(bits: int, blocks: int) -> list[tuple[int, ...]]:
@@ -122,7 +122,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int =
     first = _grouped(docs, shingle, bits, blocks).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     alone = F.when(F.col("component_id").isNull(), F.col("fp"))
     first = stored(first.groupBy(F.col("component_id").alias("__id"), alone.alias("__alone")).agg(F.min("fp").alias("__fp")).drop("__alone"), "first")
-    rows = fingerprints(docs, shingle, tuple(docs.columns))
-    rows = rows.join(first, (rows["fp"] == first["__fp"]) & rows["doc_id"].eqNullSafe(first["__id"]), "left_semi")
-    whole = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")
-    return rows.groupBy("fp", "doc_id").agg(whole).select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    rows = fingerprints(docs, shingle, tuple(docs.columns), "__mark")
+    rows = rows.join(first, (rows["__mark"] == first["__fp"]) & rows["doc_id"].eqNullSafe(first["__id"]), "left_semi")
+    whole = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("__row")
+    return rows.groupBy("__mark", F.col("doc_id").alias("__id")).agg(whole).select(*(F.col("__row")[c].alias(c) for c in docs.columns))

@@ -43,9 +43,9 @@ def _unpack(blob: bytes) -> np.ndarray:
 
 
 def _partial(hashes: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    if not hashes:
+    joined = np.concatenate(hashes) if hashes else np.empty(0, U)
+    if not len(joined):
         return
-    joined = np.concatenate(hashes)
     for depth in range(DEPTH):
         cells, n = np.unique(cell(joined, depth, bits), return_counts=True)
         which, at = np.unique(cells >> _SLICE, return_index=True)

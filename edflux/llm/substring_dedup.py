@@ -101,9 +101,11 @@ class Windows:
             yield int(words[d]), int(words[d] - left[d]), out[edge[d] : max(edge[d], edge[d + 1] - 1)].tobytes().decode("utf-8", "replace")
 
 
-def _cuts(one: np.ndarray, log2: int) -> tuple[np.ndarray, np.ndarray]:
+def _cuts(one: np.ndarray, log2: int) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of the sorted hashes by their leading bits."""
     bucket = (one >> U(64 - log2)).astype(np.int64) if log2 else np.zeros(len(one), np.int64)
-    return np.unique(bucket, return_index=True)
+    which, at = np.unique(bucket, return_index=True)
+    return list(zip(which.tolist(), at.tolist(), np.append(at, len(one))[1:].tolist(), strict=True))
 
 
 def substring_dedup(
@@ -130,14 +132,13 @@ def substring_dedup(
         for batch in batches:
             for row in batch.to_pylist():
                 one, two, n, _, _ = Windows(row["body"], row["off"], window).keys(seen.value, bits)
-                bucket, at = _cuts(one, log2)
-                ends = [*at[1:], len(one)]
+                cuts = _cuts(one, log2)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket, pa.int64()),
-                        pa.array([row["chunk"]] * len(at), pa.int64()),
-                        pa.array([one[a:b].tobytes() + two[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
-                        pa.array([np.packbits(n[a:b] > 1).tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
+                        pa.array([b for b, _, _ in cuts], pa.int64()),
+                        pa.array([row["chunk"]] * len(cuts), pa.int64()),
+                        pa.array([one[lo:hi].tobytes() + two[lo:hi].tobytes() for _, lo, hi in cuts], pa.binary()),
+                        pa.array([np.packbits(n[lo:hi] > 1).tobytes() for _, lo, hi in cuts], pa.binary()),
                     ],
                     ["bucket", "chunk", "hashes", "twice"],
                 )
@@ -165,8 +166,7 @@ def substring_dedup(
         for row in chunk.itertuples():
             w = Windows(row.body, row.off, window)
             one, _, _, at, group = w.keys(seen.value, bits)
-            bucket, begin = _cuts(one, log2)
-            where = dict(zip(bucket.tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(one)], strict=True), strict=True))
+            where = {b: (lo, hi) for b, lo, hi in _cuts(one, log2)}
             flags = np.zeros(len(one), bool)
             for b, x in zip(answers["bucket"], answers["flags"], strict=True):
                 lo, hi = where[b]
