@@ -14,13 +14,14 @@ def strict_long(c: Column) -> Column:
 
 
 def lenient_int(c: Column) -> Column:
-    """Text or number to int through double, truncating toward zero; blank or null stays null.
+    """Text or number to int, truncating toward zero; blank or null stays null.
 
-    ``"123.0"`` gives 123, ``"-1.7"`` gives -1. Unparseable text still fails (ANSI).
+    ``"123.0"`` gives 123, ``"-1.7"`` gives -1. Unparseable text still fails (ANSI). The way
+    goes through a decimal, so every integer of 64 bits keeps its digits.
     """
-    return _blank_to_null(c).cast("double").cast("int")
+    return _blank_to_null(c).cast("decimal(38,18)").cast("int")
 
 
 def lenient_long(c: Column) -> Column:
-    """As :func:`lenient_int` with a bigint result (ticket numbers)."""
-    return _blank_to_null(c).cast("double").cast("bigint")
+    """As :func:`lenient_int` with a bigint result (keys and ticket numbers)."""
+    return _blank_to_null(c).cast("decimal(38,18)").cast("bigint")

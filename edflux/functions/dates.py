@@ -26,6 +26,11 @@ def parse_strict_timestamp(c: Column) -> Column:
     return F.to_timestamp_ntz(F.nullif(F.trim(c), F.lit("")))
 
 
+def parse_day(c: Column, lenient: bool = False) -> Column:
+    """``yyyy-MM-dd`` text to a date; other text fails the job, or is null if ``lenient``."""
+    return (F.try_to_date if lenient else F.to_date)(F.nullif(F.trim(c), F.lit("")), "yyyy-MM-dd")
+
+
 def day_text(c: Column) -> Column:
     """Format as ``yyyy-MM-dd``; null stays null."""
     return F.date_format(c, DATE_TEXT_PATTERN)

@@ -23,7 +23,10 @@ def lost_destinations(rollup: DataFrame, lost_class: str = CLASS_LOST_CLOSING) -
     if "otros_detail" in rollup.columns:
         details = F.col("otros_detail")
     else:
-        details = F.from_json(F.col("otros_detalle_en_ventana_ultima_json"), T.ArrayType(OTHER_DETAIL))
+        text = F.col("otros_detalle_en_ventana_ultima_json")
+        parsed = F.from_json(text, T.ArrayType(OTHER_DETAIL))
+        broken = F.raise_error(F.concat(F.lit("detail list is no JSON: "), F.substring(text, 1, 200)))
+        details = F.when(text.isNotNull() & parsed.isNull(), broken.cast(T.ArrayType(OTHER_DETAIL))).otherwise(parsed)
     return (
         rollup.where(F.col("canibalizacion_clase") == F.lit(lost_class))
         .select(

@@ -24,7 +24,6 @@ from edflux.functions.dates import (
 )
 from edflux.functions.labels import item_completo
 from edflux.plans.broadcast import bounded_broadcast
-from edflux.schemas import EDITION_COLUMNS, PURCHASE_COLUMNS
 
 # --------------------------------------------------------------------------- casts
 
@@ -44,9 +43,7 @@ def _timestamp(df: DataFrame, name: str, text_rule) -> Column:
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.StringType):
         return text_rule(F.col(name)).alias(name)
-    if isinstance(dtype, T.TimestampType):
-        # An instant: keep its wall-clock reading in the session zone (UTC).
-        return F.col(name).cast("timestamp_ntz").alias(name)
+    # An instant keeps its wall-clock reading in the session zone (UTC).
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
@@ -149,36 +146,19 @@ def edition_labels(editions: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------- purchases
 
 
-# Up to this many edition keys are also pushed into the purchase scan as an IN filter.
-MAX_SCAN_KEYS = 10_000
+def _recent_side(recent: DataFrame) -> DataFrame:
+    """``recent`` under a predicate that all its rows meet (each has an end).
 
-
-def edition_key_filter(editions: DataFrame, max_keys: int = MAX_SCAN_KEYS) -> Column | None:
-    """``clave_edicion_producto IN (...)`` for a dimension of at most ``max_keys`` keys, else None.
-
-    Parquet uses the list to skip row groups (and a table partitioned by edition to skip
-    partitions) before the join; the join alone would read every purchase ever made.
-    The keys are read from the (checked, edition-sized) dimension.
+    With a selective predicate on the broadcast side, Spark prunes the partitions of a purchase
+    table partitioned by edition at run time; without that layout it costs nothing.
     """
-    # One job: bounded with ``limit`` after folding the small table into one partition
-    # (a plain ``limit(..).collect()`` scans partitions in several incremental jobs).
-    rows = editions.select("clave_edicion_producto").coalesce(1).limit(max_keys + 1).collect()
-    keys = sorted({r[0] for r in rows if r[0] is not None})
-    if len(rows) > max_keys:
-        return None
-    return F.col("clave_edicion_producto").isin(keys)
+    return recent.where(F.col("fecha_fin") > F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def purchases_recent(purchases: DataFrame, recent: DataFrame) -> DataFrame:
-    """Purchases of recent editions: a semi join on the edition key.
-
-    With a bounded key list it is exactly an ``IN`` filter, pushed into the scan;
-    beyond the bound, a broadcast (size-checked) semi join.
-    """
-    keys = edition_key_filter(recent)
-    if keys is not None:
-        return purchases.where(keys)
-    return purchases.join(bounded_broadcast(recent.select("clave_edicion_producto")), "clave_edicion_producto", "left_semi")
+    """Purchases of recent editions: a semi join on the edition key, broadcast after a size check."""
+    keys = bounded_broadcast(_recent_side(recent).select("clave_edicion_producto"))
+    return purchases.join(keys, "clave_edicion_producto", "left_semi")
 
 
 _EDITION_ATTRS = [
@@ -196,17 +176,10 @@ def purchases_enriched(purchases: DataFrame, editions: DataFrame, prune_scan: bo
     """Purchases with their edition's attributes; rows without time, type or number drop.
 
     ``editions`` must hold one row per key (see :func:`dedup_editions`); it is
-    broadcast after a size check, so the fact side never shuffles here. With
-    ``prune_scan`` the edition keys also filter the purchase scan (see
-    :func:`edition_key_filter`); the result is the same.
+    broadcast after a size check, so the fact side never shuffles here. ``prune_scan``
+    says that they are the recent ones, all with an end (see :func:`_recent_side`).
     """
-    dim = editions.select(*_EDITION_ATTRS)
-    keys = edition_key_filter(editions) if prune_scan else None
-    if keys is not None:
-        # At most MAX_SCAN_KEYS unique keys: the dimension's size is proven by the list.
-        purchases, dim = purchases.where(keys), F.broadcast(dim)
-    else:
-        dim = bounded_broadcast(dim)
+    dim = bounded_broadcast((_recent_side(editions) if prune_scan else editions).select(*_EDITION_ATTRS))
     return purchases.join(dim, "clave_edicion_producto", "inner").where(
         F.col("fecha_rotulacion_finalizacion").isNotNull()
         & F.col("tipo_producto").isNotNull()
@@ -237,11 +210,3 @@ def purchases_flagged(enriched: DataFrame, closing_days: int = CLOSING_DAYS) ->
             F.when(closing, F.lit(FLAG_CLOSING)).when(pre, F.lit(FLAG_PRE)).otherwise(F.lit(FLAG_NONE)),
         )
     )
-
-
-def select_purchase_columns(df: DataFrame) -> DataFrame:
-    return df.select(*PURCHASE_COLUMNS)
-
-
-def select_edition_columns(df: DataFrame) -> DataFrame:
-    return df.select(*EDITION_COLUMNS)

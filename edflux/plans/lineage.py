@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from edflux.session import ensure_checkpoint_dir
+from edflux.session import checkpoint_folder, ensure_checkpoint_dir
 
 
 def reliable_checkpoint(df: DataFrame, enabled: bool = True) -> DataFrame:
@@ -24,7 +24,4 @@ def materialize_small(df: DataFrame) -> DataFrame:
     checkpoint folder is configured (a cluster without ``spark.checkpoint.dir``) the table
     is simply recomputed where used -- same result, a few more tiny stages.
     """
-    try:
-        return reliable_checkpoint(df, True)
-    except RuntimeError:
-        return df
+    return reliable_checkpoint(df, checkpoint_folder(df.sparkSession) is not None)

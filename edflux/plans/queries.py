@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edflux.functions.dates import parse_purchase_time
+from edflux.functions.dates import parse_day, parse_purchase_time
 from edflux.operators import history, others
 from edflux.operators.switching import OWN_ONLY
 from edflux.operators.flow import migration_flow
-from edflux.operators.prepare import edition_labels, purchases_recent
+from edflux.operators.prepare import clean_editions, clean_purchases, dedup_editions, edition_labels, purchases_recent
 from edflux.operators.quality import quality_counters, rollup_date_nulls
 from edflux.operators.windows import last_edition
 from edflux.plans.rollup import SingleWindowAnalysis, SwitchingAnalysis, SwitchingCore, recurrent
@@ -23,9 +23,14 @@ from edflux.functions.tickets import ticket_count
 from edflux.constants import FLAG_CLOSING, FLAG_PRE
 from edflux.sources.fixtures import (
     FIXTURE_AS_OF,
+    fixture_day_text,
     fixture_editions,
+    fixture_editions_text,
     fixture_purchase_time_text,
     fixture_purchases,
+    fixture_purchases_text,
+    irregular_editions,
+    irregular_purchases,
 )
 
 SPINE_KEYS = ["clave_persona", "tipo_producto", "ventana_numero"]
@@ -83,7 +88,8 @@ def q_edition_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ticket_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tickets = _analysis(spark, sf_dir).core.own_tickets
+    a = _analysis(spark, sf_dir)
+    tickets = SwitchingCore(a.flagged, a.windows, a.closing_days, roles=OWN_ONLY).own_tickets
     flag = F.col("flag")
     return (
         tickets.groupBy("clave_persona", "tipo_producto", "numero_sorteo", "flag")
@@ -152,9 +158,8 @@ def q_other_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (spine row, other type, other number): tickets in and outside the closing week."""
     a = _analysis(spark, sf_dir)
     stats = a.core.other_edition_stats
-    pairs = _pairs(a).select(
-        "clave_persona", F.col("tipo_producto").alias("objetivo_tipo")
-    )
+    own = a.core.own_edition_stats  # of the same scan
+    pairs = own.select("clave_persona", F.col("tipo_producto").alias("objetivo_tipo")).distinct()
     return stats.join(pairs, ["clave_persona", "objetivo_tipo"], "left_semi").select(
         "clave_persona",
         F.col("objetivo_tipo").alias("tipo_producto"),
@@ -210,6 +215,45 @@ def q_rollup_date_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup_date_nulls(_analysis(spark, sf_dir).rollup)
 
 
+def q_migration_flow_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow of a stored rollup: its 21 columns, the details as JSON text."""
+    a = _analysis(spark, sf_dir)
+    return migration_flow(a.rollup, a.editions)
+
+
+def q_purchases_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_purchases(fixture_purchases_text(spark, sf_dir))
+
+
+def q_editions_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_editions(fixture_editions_text(spark, sf_dir))
+
+
+def q_rollup_dates_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture_day_text(spark, sf_dir).select("event_id", "t", parse_day(F.col("t"), lenient=True).alias("fecha"))
+
+
+def _irregular(spark: SparkSession, sf_dir: str) -> SwitchingAnalysis:
+    return SwitchingAnalysis(irregular_purchases(spark, sf_dir), irregular_editions(spark, sf_dir), FIXTURE_AS_OF)
+
+
+def q_edition_windows_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _irregular(spark, sf_dir).windows
+
+
+def q_last_edition_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return last_edition(dedup_editions(irregular_editions(spark, sf_dir)))
+
+
+def q_rollup_full_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _irregular(spark, sf_dir).rollup
+
+
+def q_quality_counters_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _irregular(spark, sf_dir)
+    return quality_counters(a.purchases, a.editions, a.recent, a.windows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "editions_recent": q_editions_recent,
     "purchases_recent": q_purchases_recent,
@@ -233,4 +277,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_single_window": q_rollup_single_window,
     "quality_counters": q_quality_counters,
     "rollup_date_nulls": q_rollup_date_nulls,
+    "migration_flow_stored": q_migration_flow_stored,
+    "purchases_from_text": q_purchases_from_text,
+    "editions_from_text": q_editions_from_text,
+    "rollup_dates_from_text": q_rollup_dates_from_text,
+    "edition_windows_irregular": q_edition_windows_irregular,
+    "last_edition_irregular": q_last_edition_irregular,
+    "rollup_full_irregular": q_rollup_full_irregular,
+    "quality_counters_irregular": q_quality_counters_irregular,
 }

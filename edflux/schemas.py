@@ -29,9 +29,6 @@ PURCHASES = T.StructType(
     ]
 )
 
-# Raw text form of the fact (CSV extract); cleaned by prepare.clean_purchases.
-PURCHASES_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in PURCHASE_COLUMNS])
-
 EDITION_COLUMNS = [
     "clave_edicion_producto",
     "tipo_producto",
@@ -59,18 +56,6 @@ EDITIONS = T.StructType(
 EDITIONS_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in EDITION_COLUMNS])
 
 # Nested records of the rollup (field order is part of the JSON text).
-HIST_DETAIL = T.StructType(
-    [
-        T.StructField("numero_sorteo", T.IntegerType()),
-        T.StructField("tipo_producto", T.StringType()),
-        T.StructField("id_sorteo", T.StringType()),
-        T.StructField("clave_edicion_producto", T.LongType()),
-        T.StructField("boletos_pre_cierre", T.LongType()),
-        T.StructField("boletos_semana_cierre", T.LongType()),
-        T.StructField("fecha_fin_edicion", T.StringType()),
-    ]
-)
-
 OTHER_DETAIL = T.StructType(
     [
         T.StructField("tipo_producto", T.StringType()),
@@ -110,20 +95,3 @@ ROLLUP = T.StructType(
 
 ROLLUP_COLUMNS = [f.name for f in ROLLUP.fields]
 
-# The rollup as written to CSV: same columns, all text but the typed ones below.
-ROLLUP_TEXT = T.StructType(
-    [
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) else f.dataType)
-        for f in ROLLUP.fields
-    ]
-)
-
-FLOW = T.StructType(
-    [
-        T.StructField("producto_origen_id", T.LongType()),
-        T.StructField("producto_origen_tag", T.StringType()),
-        T.StructField("producto_destino_id", T.LongType()),
-        T.StructField("producto_destino_tag", T.StringType()),
-        T.StructField("clientes_perdidos", T.LongType()),
-    ]
-)

@@ -54,6 +54,15 @@ def apply_required_conf(spark: SparkSession, skip: set[str] | None = None) -> No
             spark.conf.set(key, value)
 
 
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """The checkpoint folder that the session names, if any."""
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # Spark Connect has no context
+        current = None
+    return current or spark.conf.get("spark.checkpoint.dir", None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -113,3 +113,75 @@ def fixture_purchase_time_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(r == 4, F.lit(""))
     )
     return ev.select("event_id", text.alias("t"))
+
+
+def fixture_purchases_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchases as a text extract: keys above 2**53, ``"00123"``, ``"123.0"``, blanks, bad times."""
+    p = fixture_purchases(spark, sf_dir)
+    kind = F.col("clave_detalle_compra") % 5
+    person, edition = F.col("clave_persona").cast("string"), F.col("clave_edicion_producto").cast("string")
+    t = F.col("fecha_rotulacion_finalizacion")
+    return p.select(
+        (F.col("clave_detalle_compra") + F.lit(2**53 + 1)).cast("string").alias("clave_detalle_compra"),
+        F.when(kind == 0, F.concat(F.lit("00"), person))
+        .when(kind == 1, F.concat(person, F.lit(".0")))
+        .when(kind == 2, (F.col("clave_persona") + F.lit(2**53 + 1)).cast("string"))
+        .when(kind == 3, F.lit(" "))
+        .otherwise(F.concat(F.lit(" "), person, F.lit(" ")))
+        .alias("clave_persona"),
+        F.when(kind == 1, F.concat(edition, F.lit(".0"))).otherwise(edition).alias("clave_edicion_producto"),
+        F.when(kind == 4, F.date_format(t, "yyyy-MM-dd")).otherwise(F.date_format(t, "yyyy-MM-dd HH:mm:ss")).alias("fecha_rotulacion_finalizacion"),
+        F.concat(F.lit("00"), F.col("numero_boleto").cast("string")).alias("numero_boleto"),
+    )
+
+
+def fixture_editions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The editions as a text extract: types and numbers as ``"1.0"`` or blank, times as text."""
+    e = fixture_editions(spark, sf_dir)
+    n = F.col("numero_sorteo")
+    time = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("fecha_inicio", "fecha_fin")]
+    return e.select(
+        F.col("clave_edicion_producto").cast("string").alias("clave_edicion_producto"),
+        F.concat(F.col("tipo_producto").cast("string"), F.lit(".0")).alias("tipo_producto"),
+        F.when(n % 7 == 0, F.lit("")).otherwise(F.concat(n.cast("string"), F.lit(".0"))).alias("numero_sorteo"),
+        "desc_sorteo",
+        "desc_corta_sorteo",
+        *time,
+        F.lit("").alias("fecha_celebracion"),
+    )
+
+
+def fixture_day_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days as text, from ``events.ts``: plain, blank, with letters, with spaces around."""
+    ev = _read(spark, sf_dir, "events").select("event_id", "ts")
+    day, r = F.date_format("ts", "yyyy-MM-dd"), F.col("event_id") % 4
+    text = F.when(r == 0, day).when(r == 1, F.lit("")).when(r == 2, F.concat(F.lit("x"), day)).otherwise(F.concat(F.lit(" "), day, F.lit(" ")))
+    return ev.select("event_id", text.alias("t"))
+
+
+def irregular_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The editions with repeated keys, missing values, out-of-order ends and one that ended today."""
+    e = fixture_editions(spark, sf_dir)
+    n, tp, fin = F.col("numero_sorteo"), F.col("tipo_producto"), F.col("fecha_fin")
+    today = F.lit("2001-08-02 06:00:00").cast("timestamp_ntz")
+    late = fin + F.make_dt_interval(F.lit(150))
+    changed = e.select(
+        "clave_edicion_producto",
+        F.when(n % 11 != 0, tp).alias("tipo_producto"),
+        F.when(n % 13 != 0, n).alias("numero_sorteo"),
+        "desc_sorteo",
+        "desc_corta_sorteo",
+        F.when(n % 10 != 0, F.col("fecha_inicio")).alias("fecha_inicio"),
+        F.when((tp == 3) & (n == 39), today).when(n % 8 == 3, late).otherwise(fin).alias("fecha_fin"),
+        "fecha_celebracion",
+    )
+    again = changed.where(F.col("clave_edicion_producto") % 9 == 0).withColumn("fecha_fin", F.col("fecha_fin") - F.make_dt_interval(F.lit(3)))
+    return changed.unionByName(again)
+
+
+def irregular_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchases with missing customers and times."""
+    p, k = fixture_purchases(spark, sf_dir), F.col("clave_detalle_compra")
+    return p.withColumn("clave_persona", F.when(k % 17 != 0, F.col("clave_persona"))).withColumn(
+        "fecha_rotulacion_finalizacion", F.when(k % 19 != 0, F.col("fecha_rotulacion_finalizacion"))
+    )

@@ -6,32 +6,32 @@ same casts the typed path uses, so both give identical DataFrames.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from edflux.functions.casts import lenient_int, lenient_long
+from edflux.functions.dates import parse_day
 from edflux.operators.prepare import clean_editions, clean_purchases
-from edflux.schemas import (
-    EDITION_COLUMNS,
-    EDITIONS_TEXT,
-    PURCHASE_COLUMNS,
-    PURCHASES_TEXT,
-    ROLLUP,
-    ROLLUP_COLUMNS,
-    ROLLUP_TEXT,
-)
+from edflux.schemas import EDITION_COLUMNS, PURCHASE_COLUMNS, ROLLUP, ROLLUP_COLUMNS
 
 FORMATS = ("parquet", "csv", "table")
 
+# Quotes inside quoted fields are doubled, as spreadsheets and Python's csv module write them.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+
 
-def _read(spark: SparkSession, location: str, fmt: str, text_schema=None, options=None) -> DataFrame:
+def _read(spark: SparkSession, location: str, fmt: str, options=None) -> DataFrame:
+    """The columns as stored; those of a CSV are all text, named by its header."""
     if fmt == "parquet":
         return spark.read.parquet(location)
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
-        return reader.schema(text_schema).csv(location)
+        # multiLine: a quoted field may hold line feeds; options={"multiLine": False} lets
+        # Spark split large files that have none.
+        own = {"header": True, "mode": "FAILFAST", "multiLine": True, **CSV_QUOTING, **(options or {})}
+        return spark.read.options(**own).csv(location)
     if fmt == "table":
         return spark.table(location)
     raise ValueError(f"unknown format {fmt!r}; expected one of {FORMATS}")
@@ -40,8 +40,8 @@ def _read(spark: SparkSession, location: str, fmt: str, text_schema=None, option
 def read_purchases(
     spark: SparkSession, location: str, fmt: str = "parquet", options: dict | None = None
 ) -> DataFrame:
-    """The purchase fact: its nine columns, typed (text is parsed, see ``clean_purchases``)."""
-    raw = _read(spark, location, fmt, PURCHASES_TEXT, options)
+    """The purchase fact: its nine columns by name, typed (text is parsed, see ``clean_purchases``)."""
+    raw = _read(spark, location, fmt, {"multiLine": False, **(options or {})})  # no free text: stays splittable
     present = [c for c in PURCHASE_COLUMNS if c in raw.columns]
     return clean_purchases(raw.select(*present))
 
@@ -50,7 +50,7 @@ def read_editions(
     spark: SparkSession, location: str, fmt: str = "parquet", options: dict | None = None, strict: bool = False
 ) -> DataFrame:
     """The edition dimension, typed (unknown extra columns are ignored; ``strict``: no null keys)."""
-    raw = _read(spark, location, fmt, EDITIONS_TEXT, options)
+    raw = _read(spark, location, fmt, options)
     present = [c for c in EDITION_COLUMNS if c in raw.columns]
     return clean_editions(raw.select(*present), strict)
 
@@ -67,31 +67,37 @@ def read_rollup(
     CSV dates are ``yyyy-MM-dd`` text: a malformed one fails the read, or becomes null
     with ``lenient_dates=True``.
     """
-    if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
-        raw = reader.schema(ROLLUP_TEXT).csv(location)
-        parse = (lambda c: F.try_to_date(c, "yyyy-MM-dd")) if lenient_dates else (
-            lambda c: F.to_date(c, "yyyy-MM-dd")
-        )
-        return raw.select(
-            *[
-                parse(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
-                for f in ROLLUP.fields
-            ]
-        )
-    return _read(spark, location, fmt).select(*ROLLUP_COLUMNS)
+    raw = _read(spark, location, fmt, options)
+    if fmt != "csv":
+        return raw.select(*ROLLUP_COLUMNS)
+    rules = {T.DateType: lambda c: parse_day(c, lenient_dates), T.IntegerType: lenient_int, T.LongType: lenient_long}
+    return raw.select(
+        *[rules.get(type(f.dataType), lambda c: c)(F.col(f.name)).cast(f.dataType).alias(f.name) for f in ROLLUP.fields]
+    )
+
+
+def _plain(path: str) -> str:
+    """A path without a local scheme and without slashes at its end."""
+    return re.sub("^file:/+", "/", path).rstrip("/")
+
+
+def _refuse_own_input(df: DataFrame, location: str) -> None:
+    """Overwriting a folder that ``df`` reads would delete the rows before they are read."""
+    own = _plain(location)
+    if any(f == own or f.startswith(own + "/") for f in map(_plain, df.inputFiles())):
+        raise ValueError(f"{location} is an input of what is to be written there; write to another place")
 
 
 def write(df: DataFrame, location: str, fmt: str = "parquet", mode: str = "overwrite", **options) -> None:
-    """Write ``df`` replacing what is there (``mode='overwrite'``).
+    """Write ``df`` replacing what is there (``mode='overwrite'``); never a folder that ``df`` reads.
 
     ``fmt='csv'`` writes a header, ``yyyy-MM-dd`` dates and ``yyyy-MM-dd HH:mm:ss.ffffff``
     timestamps; ``fmt='table'`` replaces a
     catalog table (``saveAsTable``). Partitioning columns can be passed as
     ``partitionBy=[...]``.
     """
+    if mode == "overwrite" and fmt != "table":  # Spark itself refuses this for tables
+        _refuse_own_input(df, location)
     partition_by = options.pop("partitionBy", None)
     writer = df.write.mode(mode)
     if partition_by:
@@ -103,7 +109,7 @@ def write(df: DataFrame, location: str, fmt: str = "parquet", mode: str = "overw
     elif fmt == "csv":
         # Timestamps in the extract's text form, which the purchase-time parser accepts.
         (
-            writer.option("header", True)
+            writer.options(header=True, **CSV_QUOTING)
             .option("dateFormat", "yyyy-MM-dd")
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from edflux.plans.queries import QUERIES
 from edflux.sources.io import read_editions, write
 
@@ -60,16 +62,21 @@ def test_projection_is_pruned_at_the_fact_scan(spark):
         assert "l_extendedprice" not in read and "l_comment" not in read
 
 
-def test_recent_edition_keys_reach_the_purchase_scan(spark, scratch_dir):
+def test_recent_editions_prune_a_purchase_table_laid_out_by_edition(spark, scratch_dir):
+    from edflux.operators.prepare import purchases_recent
     from edflux.plans.rollup import SwitchingAnalysis
     from edflux.sources.fixtures import FIXTURE_AS_OF, fixture_editions, fixture_purchases
     from edflux.sources.io import read_purchases
 
     path = f"{scratch_dir}/detalle"
-    write(fixture_purchases(spark, SF), path)
+    write(fixture_purchases(spark, SF), path, partitionBy=["clave_edicion_producto"])
     a = SwitchingAnalysis(read_purchases(spark, path), fixture_editions(spark, SF), FIXTURE_AS_OF)
-    text = plan(a.flagged)
-    assert "PushedFilters: [In(clave_edicion_producto" in text or "PushedFilters: [IsNotNull(clave_edicion_producto), In(clave_edicion_producto" in text
+    recent = {r.clave_edicion_producto for r in a.recent.collect()}
+    for df in (purchases_recent(a.purchases, a.recent), a.flagged):
+        assert "dynamicpruning" in plan(df) and " In(" not in plan(df)
+        read = df.select("clave_detalle_compra", F.input_file_name().alias("f"))
+        rows = read.collect()
+        assert rows and {int(r.f.split("clave_edicion_producto=")[1].split("/")[0]) for r in rows} <= recent
 
 
 def test_flow_plan_has_no_expand(spark):
