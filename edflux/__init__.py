@@ -1,6 +1,7 @@
 """edflux: product-switching analytics over numbered, time-boxed editions, on Spark.
 
-Public entry points take and return DataFrames; nothing is collected to the driver.
+Public entry points take and return DataFrames. Building them runs small jobs on tables of the
+size of the editions (a row count, the windows' span); the purchases are read on execution only.
 """
 
 from edflux.operators.flow import migration_flow

@@ -1,6 +1,6 @@
 """Named queries over the driver's tables (fixture mapping), one per inventory operator.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose column names
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame whose column names
 and types match the DuckDB oracle in ``duck_oracle/duckdb_sql.py``.
 """
 
