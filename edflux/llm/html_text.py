@@ -3,8 +3,8 @@
 The tree builder closes what HTML lets authors leave open (``p`` before blocks, ``li``, ``dt``,
 ``dd``, ``option``, table rows, cells and sections) and ignores stray end tags. Hidden are the
 elements that browsers don't paint (head, script, style, template, ...), the ``hidden``
-attribute, ``display:none`` and ``visibility:hidden`` styles, and closed ``details`` but for their
-summary. Paragraphs, headings, lists and tables are set off by an empty line, other blocks
+attribute, ``display:none`` and ``visibility:hidden`` styles, closed ``dialog``s, and closed ``details``
+but for their summary. A quote opens an attribute's value only after its ``=``. Paragraphs, headings, lists and tables are set off by an empty line, other blocks
 start a line, list items have their marker and indentation, ``pre`` keeps its spaces, and the
 cells of a table are padded to the width of their column.
 
@@ -54,7 +54,7 @@ IMPLIED = {
 }
 P_BARRIER = {"table", "td", "th", "caption", "button", "object"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
@@ -139,7 +139,9 @@ def tree(page: str) -> Node:
 
 
 def hidden(node: Node) -> bool:
-    return node.tag in UNSEEN or "hidden" in node.attrs or bool(_HIDDEN.search(node.attrs.get("style", "")))
+    if node.tag in UNSEEN or "hidden" in node.attrs or (node.tag == "dialog" and "open" not in node.attrs):
+        return True
+    return bool(_HIDDEN.search(node.attrs.get("style", "")))
 
 
 class Writer:

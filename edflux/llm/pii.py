@@ -35,8 +35,11 @@ from edflux.llm.text import LOWER, byte_class, flat, word_hashes, word_spans
 
 KINDS = ["email", "ip", "card", "phone", "general", "remove"]
 #: The patterns of the entities.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# An email is its domain, from the @ on, and the run of LOCAL before it.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+# No match starts inside a run of digits: what follows the run decides for all of its starts.
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -55,11 +58,22 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, digits[-1::-2])) + sum(d - 9 if d > 9 else d for d in twice)) % 10 == 0
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping ``LOCAL+`` before a domain, in time linear in the text."""
+    free = 0  # matches before it, or characters that no local part holds
+    for m in DOMAIN.finditer(text):
+        before = text[max(free, text.rfind("@", free, m.start()) + 1) : m.start()]
+        size = len(before) - len(before.rstrip(LOCAL))
+        if size:
+            yield m.start() - size, m.end()
+            free = m.end()
+
+
 def entities(text: str) -> list[tuple[int, int, int, str]]:
     """start, rank of the kind, end and normal form of every match that holds, in order."""
     found = []
     if "@" in text:
-        found += [(m.start(), 0, m.end(), m[0].lower()) for m in EMAIL.finditer(text)]
+        found += [(a, 0, b, text[a:b].lower()) for a, b in emails(text)]
     if not _DIGIT.search(text):
         return found
     found += [(m.start(), 1, m.end(), m[0]) for m in IP.finditer(text) if all(map(_octet, m[0].split(".")))]

@@ -98,10 +98,11 @@ def _columns(token: str) -> list[list[tuple[str, float]]]:
 
 def restore(token: str, model: np.ndarray) -> str:
     """The reading of a disguised token with the least cost."""
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    paths: dict[tuple[int, int], tuple[float, int]] = {(0, 0): (0.0, 0)}  # by the last two codes: cost and last step
+    steps: list[tuple[int, str]] = [(0, "")]  # the step before and what it read
     for column in [*_columns(token), [(" ", 0.0)]]:
-        best: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, said) in paths.items():
+        best: dict[tuple[int, int], tuple[float, int, str]] = {}
+        for (a, b), (cost, last) in paths.items():
             for reading, extra in column:
                 x, y, now = a, b, cost + extra
                 for ch in reading:
@@ -109,9 +110,16 @@ def restore(token: str, model: np.ndarray) -> str:
                     now += model[x, y, z]
                     x, y = y, z
                 if (x, y) not in best or now < best[x, y][0]:
-                    best[x, y] = (now, said + reading)
-        paths = best
-    return min(paths.values())[1].rstrip(" ")
+                    best[x, y] = (now, last, reading)
+        paths = {}
+        for state, (cost, last, reading) in best.items():
+            paths[state] = cost, len(steps)
+            steps.append((last, reading))
+    said, at = [], min(paths.values())[1]
+    while at:
+        at, reading = steps[at]
+        said.append(reading)
+    return "".join(reversed(said)).rstrip(" ")
 
 
 def suspects(buf: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:

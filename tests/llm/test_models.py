@@ -4,6 +4,8 @@ import re
 from collections import Counter
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from edflux.llm import pii, secrets, toxicity
 from tests.llm.helpers import awkward, documents, words
@@ -66,6 +68,21 @@ def test_entities():
     assert pii.entities("9" * 10_000 + ".1.1.1 ٣٣٣") == [] and pii.luhn("4111111111111111")
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text("a.@-1_ é", max_size=24), st.text("12.a", max_size=24))
+def test_addresses_against_re(mail, ip):
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    assert list(pii.emails(mail)) == [m.span() for m in email.finditer(mail)]
+    assert [m.span() for m in pii.IP.finditer(ip)] == [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", ip)]
+
+
+def test_one_run_as_long_as_a_text():
+    long = "x@y.zz " + "a" * 1_000_000 + " " + "1" * 1_000_000 + " " + "a@" * 100_000 + "a.b@" * 100_000
+    assert len(pii.entities(long)) == 50_001  # minutes to hours if matched from each start of a run
+    model = toxicity.language_model(np.ones((toxicity.CODES,) * 3))
+    assert len(toxicity.restore("a4b" * 100_000, model)) == 300_000
+
+
 def plain_disclosures(texts, context, support, bits, share):
     near, n_e, n_t = Counter(), Counter(), Counter()
     for t in texts:

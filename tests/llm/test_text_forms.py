@@ -64,6 +64,8 @@ def test_conversations(spark):
         ("x</b></p><p>y<!-- open", "x\n\ny"),
         ("<p title='a>b'>q</p><a href=", "q"),
         ("1 < 2 & 3", "1 < 2 & 3"),
+        ("<a href=x\">stray</a> quotes <b it's>in</b> <i title = \"a>b\">tags</i> \"kept\"", "stray quotes in tags \"kept\""),
+        ("a<dialog>b</dialog><dialog open>c</dialog>", "a\nc"),
         ("<table><tr><td><table><tr><td>in<td>ner</table><td>out</table>", "in  ner  out"),
     ],
 )
