@@ -37,13 +37,19 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 LEAST = 16
 _TOKEN = r"[A-Za-z0-9+/_=-]"
 _LONG_TOKEN = rf"(?<!{_TOKEN}){_TOKEN}{{{LEAST},}}"
+BLOCK = 256
 _SPAN = "start:int,rank:int,end:int,kind:string,value:string"
 
 
-def _located(matches: Column, pieces: Column, kind: str) -> Column:
-    """Spans of the matches, given the pieces of the text between them."""
+def _blocks(items: Column) -> Column:
+    """Runs of ``BLOCK`` items: work per item then grows with a block, not with the text."""
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK)))
+    return F.when(F.size(items) > 0, runs).otherwise(F.slice(runs, 1, 0))
+
+
+def _local(both: Column, kind: str) -> Column:
+    """For each block of (piece, match): its length, and its matches as spans from the block's start on."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<{_SPAN}>>").alias("out"))
-    both = F.arrays_zip(F.slice(pieces, 1, F.size(matches)).alias("piece"), matches.alias("match"))
 
     def step(a, x):
         begin = a["at"] + F.length(x["piece"])
@@ -51,7 +57,27 @@ def _located(matches: Column, pieces: Column, kind: str) -> Column:
         span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["match"].alias("value"))
         return F.struct(end.alias("at"), F.concat(a["out"], F.array(span)).alias("out"))
 
-    return F.when(F.size(matches) > 0, F.aggregate(both, start, step, lambda a: a["out"])).otherwise(start["out"])
+    return F.transform(_blocks(both), lambda block: F.aggregate(block, start, step))
+
+
+def _located(local: Column) -> Column:
+    """The spans of all blocks, counted from the start of the text."""
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    begins = F.aggregate(local, none, lambda a, x: F.struct((a["at"] + x["at"]).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    def moved(block, by):
+        return F.transform(block["out"], lambda s: s.withField("start", s["start"] + by).withField("end", s["end"] + by))
+
+    return F.flatten(F.zip_with(local, begins, moved))
+
+
+def _free(tokens: Column, blocks: Column) -> Column:
+    """The tokens that overlap no span of ``blocks``, looked at only in blocks that reach them."""
+
+    def meets(t, s):
+        return (s["start"] < t["end"]) & (t["start"] < s["end"])
+
+    return F.filter(tokens, lambda t: ~F.exists(blocks, lambda b: meets(t, b) & F.exists(b["spans"], lambda s: meets(t, s))))
 
 
 def _that_count(spans: Column, keep) -> Column:
@@ -65,10 +91,19 @@ def scan(docs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(*own, text.alias("__text"))
     rows = rows.select("*", *(F.regexp_extract_all("__text", F.lit(p), F.lit(0)).alias(f"__{k}") for k, p in patterns.items()))
-    rows = rows.select("*", *(_located(F.col(f"__{k}"), F.split("__text", p, -1), k).alias(f"__{k}_at") for k, p in patterns.items()))
-    fixed = [_that_count(F.col(f"__{k}_at"), keep) for k, (_, keep) in BASE.items()]
-    rows = rows.select(*own, "__text", "__markov_at", F.array_sort(F.concat(*fixed)).alias("base"))
-    free = F.filter("__markov_at", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    # each step is a column of its own, as the next one reads it more than once
+    both = {k: F.arrays_zip(F.slice(F.split("__text", p, -1), 1, F.size(f"__{k}")).alias("piece"), F.col(f"__{k}").alias("match")) for k, p in patterns.items()}
+    rows = rows.select(*own, "__text", *(both[k].alias(f"__{k}") for k in patterns))
+    rows = rows.select(*own, "__text", *(_local(F.col(f"__{k}"), k).alias(f"__{k}") for k in patterns))
+    rows = rows.select(*own, "__text", *(_located(F.col(f"__{k}")).alias(f"__{k}") for k in patterns))
+    fixed = [_that_count(F.col(f"__{k}"), keep) for k, (_, keep) in BASE.items()]
+    rows = rows.select(*own, "__text", "__markov", F.array_sort(F.concat(*fixed)).alias("base"))
+    reach = F.transform(
+        _blocks(F.col("base")),
+        lambda b: F.struct(b[0]["start"].alias("start"), F.array_max(F.transform(b, lambda s: s["end"])).alias("end"), b.alias("spans")),
+    )
+    rows = rows.select(*own, "__text", "__markov", "base", reach.alias("__reach"))
+    free = F.when(F.size("__reach") > 0, _free(F.col("__markov"), F.col("__reach"))).otherwise(F.col("__markov"))
     return rows.select(*own, "__text", "base", free.alias("tokens"))
 
 
@@ -84,10 +119,10 @@ def train(found: DataFrame, docs: DataFrame, sample_docs: int = 2000) -> list[fl
     random = _pairs(found.select(F.explode("base").alias("s")).select(secret.alias("value")))
     every = max(1, found.count() // sample_docs)
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
-    known = F.transform("base", lambda s: s["value"])
-    ordinary = scan(sample.select("doc_id", "text"))
-    ordinary = ordinary.select("base", F.regexp_extract_all("__text", F.lit(rf"{_TOKEN}{{4,}}"), F.lit(0)).alias("w"))
-    ordinary = ordinary.select(F.explode(F.filter("w", lambda w: ~F.exists(known, lambda v: F.contains(v, w)))).alias("value"))
+    words = F.regexp_extract_all("__text", F.lit(rf"{_TOKEN}{{4,}}"), F.lit(0))
+    ordinary = scan(sample.select("doc_id", "text")).select(F.array_join(F.transform("base", lambda s: s["value"]), " ").alias("known"), words.alias("w"))
+    ordinary = stored(ordinary, "ordinary")  # else the plan would scan the text again for each of its words
+    ordinary = ordinary.select(F.explode(F.filter("w", lambda w: ~F.contains("known", w))).alias("value"))
     tables = []
     for counts in (random, _pairs(ordinary)):
         n = {r.pair: r.n for r in counts.collect()}  # pairs of 67 characters, and a dot in the random ones

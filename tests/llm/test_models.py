@@ -165,3 +165,17 @@ def test_scores_without_labels_or_texts(spark):
         assert len(rows) == len(awkward()) + 1 and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.toxicity(docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int")).collect() == []
     assert len(words("a b")) == 2
+
+
+def test_a_text_full_of_secrets(spark):
+    """Several blocks of spans of each kind, and a random string alone between them."""
+    lines = [f"{i * 7919:016x} é token=abcdefgh{i:08d}\n" for i in range(600)]
+    text = "".join(lines[:300]) + f"{KEY}Qq1 AKIA0123456789ABCDE\n" + "".join(lines[300:])
+    rows = secrets.find_secrets(documents(spark, [text, "token=short", text])).collect()
+    for r in rows:
+        base = plain_secrets(text if r.doc_id != 1 else "token=short")
+        assert ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.base) == base
+        assert all((text[s.start : s.end], s.kind) == (s.value, s.kind) for s in r.spans)
+    assert len(rows[0].base) == (1201 if rows[0].doc_id != 1 else 0)
+    scanned = secrets.scan(documents(spark, [text])).first()
+    assert [t.value for t in scanned.tokens] == [f"{KEY}Qq1"]
