@@ -92,7 +92,9 @@ def scan(docs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     rows = docs.select(*own, text.alias("__text"))
     rows = rows.select("*", *(F.regexp_extract_all("__text", F.lit(p), F.lit(0)).alias(f"__{k}") for k, p in patterns.items()))
     # each step is a column of its own, as the next one reads it more than once
+    none = F.array().cast("array<struct<piece:string,match:string>>")
     both = {k: F.arrays_zip(F.slice(F.split("__text", p, -1), 1, F.size(f"__{k}")).alias("piece"), F.col(f"__{k}").alias("match")) for k, p in patterns.items()}
+    both = {k: F.when(F.size(f"__{k}") > 0, x).otherwise(none) for k, x in both.items()}  # most texts have no match to split at
     rows = rows.select(*own, "__text", *(both[k].alias(f"__{k}") for k in patterns))
     rows = rows.select(*own, "__text", *(_local(F.col(f"__{k}"), k).alias(f"__{k}") for k in patterns))
     rows = rows.select(*own, "__text", *(_located(F.col(f"__{k}")).alias(f"__{k}") for k in patterns))
