@@ -12,8 +12,8 @@ that each uncapped source gets times its weight, found from prefix sums over the
 
 The histograms have at most 2**``bits`` rows a source, the source table one row a source.
 
-Cases: a null text has size 0; a null source is a source of its own, ordered last; documents
-with equal ids and texts have equal hashes and are taken together or not at all; sources
+Cases: a null text has size 0; a null source is a source of its own, ordered last; rows of a source
+with equal ids (or none) have equal hashes and are taken together or not at all; sources
 without words have target 0; an empty table gives no rows; other columns are kept.
 """
 
