@@ -1,7 +1,7 @@
 """The rollup pipelines: many windows per type, the recurrent filter, one window per type.
 
-Plan shape (one lazy plan; the only actions are a checkpoint of the recent editions, the
-key list pushed into the purchase scan and size checks on edition-sized tables):
+Plan shape (one lazy plan; the only actions are a checkpoint of the recent editions
+and size checks on edition-sized tables):
 
     purchases --(broadcast recent editions)--> flagged purchases               (one scan)
       --(broadcast (bucket, window) rows + per-bucket own sentinel)--> one row per role
