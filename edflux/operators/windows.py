@@ -76,8 +76,8 @@ def edition_windows(
 def last_edition(editions: DataFrame) -> DataFrame:
     """Latest edition per type, each column taken from the highest-numbered row where it is set.
 
-    Rows are ranked by number descending (unnumbered rows last, ties by key); for every
-    column the first non-null value in that order is kept, so columns may come from
+    Rows are ranked by number descending (unnumbered rows last, ties by key, then by the
+    latest end and start: repeated editions); for every column the first non-null value in that order is kept, so columns may come from
     different rows. Rows without a type are ignored.
     """
     eds = editions.where(F.col("tipo_producto").isNotNull())
@@ -85,6 +85,8 @@ def last_edition(editions: DataFrame) -> DataFrame:
         F.col("numero_sorteo").isNotNull().alias("has_number"),
         F.coalesce(F.col("numero_sorteo"), F.lit(0)).alias("numero"),
         (-F.col("clave_edicion_producto")).alias("neg_key"),
+        "fecha_fin",
+        "fecha_inicio",
     )
 
     def first_set(name: str):
