@@ -1,16 +1,22 @@
 """Personal data: fixed patterns, and the words that give the protected entities away.
 
 Entities are the matches of the fixed patterns. Corpus statistics tell how strongly a term
-reveals one: with n(t) documents holding the term, n(e, t) of them holding it within ``context``
-words of the entity, n(e) documents with the entity and N documents in all, the share
+reveals one: with n(t) documents holding the term, n(e, t) of them holding it beside the entity,
+n(e) documents with the entity and N documents in all, the share
 n(e, t) / n(t) is the chance that who reads the term names the entity, and
 log2(N n(e, t) / (n(e) n(t))) the information that it gives. A term seen with an entity in at
 least ``support`` documents is disclosed if it gives at least ``bits`` bits and its share reaches
 ``generalise`` (then it is replaced by its category) or ``remove`` (then it goes).
 
-Term counts are needed only for terms that reach the support. These are put into a membership
-sketch of fixed size; the pass over all words counts what the sketch lets through, and a join
-with the exact terms drops the rest.
+A term is beside every entity of its document, and a disclosed term is marked wherever it stands,
+also in documents without the entity. With a number of words as ``context`` both hold only
+within so many words of the entity.
+
+Pairs are counted only where they can be disclosed: n(e, t) is at most n(e), n(t) and the number
+of documents that hold the term beside any entity, so entities and terms that miss a threshold
+with those bounds are left out first, and entities of the same documents count as one. The terms
+looked for in the texts are put into a membership sketch of fixed size; a join with the exact
+terms drops what else it lets through.
 
 Cases: a null or empty text has no spans; repeated rows each count as a document and get a
 row; terms inside fixed spans are no terms; a term under several entities is removed if any
@@ -19,8 +25,9 @@ asks for it; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -92,10 +99,8 @@ def entities(text: str) -> list[tuple[int, int, int, str]]:
 def _around(text: str, found: list[tuple[int, int, int, str]], context: int) -> dict[tuple[int, bytes], set[tuple[int, int]]]:
     """(index of the entity, lower-cased term) -> places of the terms within ``context`` words of it."""
     terms = [(m.start(), m.end()) for m in _TERM.finditer(text)]
-    free = np.ones(len(terms), bool)
     starts, ends = np.array([t[0] for t in terms], np.int64), np.array([t[1] for t in terms], np.int64)
-    for a, _, b, _ in found:
-        free[np.searchsorted(ends, a, side="right") : np.searchsorted(starts, b)] = False
+    free = _outside(starts, ends, found)
     at = np.flatnonzero(free)
     starts, ends = starts[at], ends[at]
     out: dict[tuple[int, bytes], set[tuple[int, int]]] = {}
@@ -136,7 +141,7 @@ def _find(docs: DataFrame, context: int) -> DataFrame:
 
 def _near(text: str, got: list[tuple[int, int, int, str]], context: int) -> list[tuple]:
     """One entry for each entity and term of the document, with the places of the term."""
-    names = [np.uint64(xxhash.xxh3_64_intdigest(f"{k}:{value}".encode())).view(np.int64) for _, k, _, value in got]
+    names = [_name(k, value) for _, k, _, value in got]
     around = _around(text, got, context)
     terms = sorted({t for _, t in around})
     sizes = np.array([len(t) for t in terms], np.int64)
@@ -144,17 +149,22 @@ def _near(text: str, got: list[tuple[int, int, int, str]], context: int) -> list
     hashes = dict(zip(terms, word_hashes(np.frombuffer(b"".join(terms), np.uint8), ends - sizes, ends).view(np.int64).tolist(), strict=True))
     merged: dict[tuple[int, int], set[tuple[int, int]]] = {}
     for (i, t), places in around.items():
-        merged.setdefault((int(names[i]), hashes[t]), set()).update(places)
+        merged.setdefault((names[i], hashes[t]), set()).update(places)
     return [(e, t, [{"start": a, "end": b} for a, b in sorted(p)]) for (e, t), p in sorted(merged.items())]
 
 
-def _document_counts(docs: DataFrame, terms: DataFrame, log2: int) -> DataFrame:
-    """t, n: the number of documents that hold the term, for the terms of ``terms`` (and a few others)."""
+def _members(docs: DataFrame, terms: DataFrame, log2: int):
+    """A broadcast sketch that reports the terms of ``terms`` (and a few others) as repeated."""
 
     def twice(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.repeat(batch.column("t").to_numpy(zero_copy_only=False).view(np.uint64), 2)  # counted twice: a member
 
-    held = docs.sparkSession.sparkContext.broadcast(sketch.merged(terms.select("t"), twice, log2))
+    return docs.sparkSession.sparkContext.broadcast(sketch.merged(terms.select("t"), twice, log2))
+
+
+def _document_counts(docs: DataFrame, terms: DataFrame, log2: int) -> DataFrame:
+    """t, n: the number of documents that hold the term, for the terms of ``terms`` (and a few others)."""
+    held = _members(docs, terms, log2)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,12 +199,132 @@ def disclosures(
     return rated.where((F.col("share") >= generalise) & (F.col("information") >= bits)).withColumn("kind", kind)
 
 
-def find_personal(docs: DataFrame, context: int = 8, **thresholds) -> DataFrame:
-    """doc_id, base (fixed spans in order) and spans (also of disclosing terms) of every row."""
-    found = _find(docs, context)
-    told = stored(disclosures(found, docs, **thresholds), "disclosures")
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.e", "x.t", F.explode("x.at").alias("p"))
-    hits = near.join(told, ["e", "t"]).groupBy("row", "p").agg(F.max("kind").alias("kind"))  # remove is after general
+def _name(rank: int, value: str) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(f"{rank}:{value}".encode())).view(np.int64))
+
+
+def _places(buf: np.ndarray, off: np.ndarray, pick: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """row, hash, start and end (in code points) of the terms whose hashes ``pick`` flags, for each row with some."""
+    starts, ends, row = word_spans(buf, off, _NOT_TERM)
+    own = word_hashes(buf, starts, ends)
+    some = np.flatnonzero(pick(own))
+    if not len(some):
+        return
+    chars = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80)))
+    row, own, starts, ends = row[some], own[some].view(np.int64), chars[starts[some]], chars[ends[some]]
+    for lo, hi in itertools.pairwise([0, *(np.flatnonzero(np.diff(row)) + 1).tolist(), len(row)]):
+        at = chars[off[row[lo]]]
+        yield int(row[lo]), own[lo:hi], starts[lo:hi] - at, ends[lo:hi] - at
+
+
+def _outside(starts: np.ndarray, ends: np.ndarray, found: list[tuple[int, int, int, str]]) -> np.ndarray:
+    """Flags of the terms that overlap no entity."""
+    free = np.ones(len(starts), bool)
+    for a, _, b, _ in found:
+        free[np.searchsorted(ends, a, side="right") : np.searchsorted(starts, b)] = False
+    return free
+
+
+def _beside(docs: DataFrame) -> DataFrame:
+    """A stored row for each document with entities: their names, and the terms of the document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in slices(iter([batch]), "text", _BLOCK):
+                found = [entities(t) if t else [] for t in part.column("text").to_pylist()]
+                some = [i for i, f in enumerate(found) if f]
+                if not some:
+                    continue
+                terms: dict[int, list[int]] = {}
+                buf, off = flat(part.column("text").take(pa.array(some)))
+                for i, own, starts, ends in _places(LOWER[buf], off, lambda h: np.ones(len(h), bool)):
+                    terms[i] = np.unique(own[_outside(starts, ends, found[some[i]])]).tolist()
+                names = [sorted({_name(k, value) for _, k, _, value in found[i]}) for i in some]
+                cols = [range(row, row + len(some)), names, [terms.get(i, []) for i in range(len(some))]]
+                row += len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())), strict=True)],
+                    ["row", "names", "terms"],
+                )
+
+    rows = docs.select(F.col("text").cast("string").alias("text"))
+    return stored(rows.mapInArrow(run, "row long, names array<long>, terms array<long>"), "beside")
+
+
+def told_terms(
+    docs: DataFrame, support: int = 2, bits: float = 4.0, generalise: float = 0.5, remove: float = 0.9, log2: int = 24
+) -> DataFrame:
+    """t and kind (general or remove) of the terms that reveal an entity of a document that holds them."""
+    beside, n = _beside(docs), docs.count()
+    few = n / 2.0**bits  # more documents with the term, or with the entity, give fewer bits
+    names = beside.where(F.size("terms") > 0).select("row", F.explode("names").alias("e"))
+    with_e = names.groupBy("e").agg(F.count("*").alias("n_e"), *(F.sum(F.xxhash64("row", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in (0, 1)))
+    with_e = with_e.where((F.col("n_e") >= support) & (F.col("n_e") <= few))
+    with_e = stored(with_e.groupBy("n_e", "h0", "h1").agg(F.min("e").alias("e")).select("e", "n_e"), "known")  # of the same documents: one
+    names = stored(names.join(with_e, "e").groupBy("row").agg(F.collect_list(F.struct("e", "n_e")).alias("known")), "names")  # of one document
+    held = stored(beside.join(names, "row").select("row", "known", "terms"), "held")
+    most = held.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("most")).where(F.col("most") >= support)
+    most = stored(most, "most")
+    n_t = _document_counts(docs, most, log2).where(F.col("n_t") <= few)
+    likely = stored(most.join(n_t, "t").where(F.col("most") / F.col("n_t") >= generalise).select("t", "n_t"), "likely")
+    sure = _members(docs, likely, log2)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            terms = [np.asarray(t, np.int64) for t in batch.column("terms").to_pylist()]
+            terms = [t[sketch.repeated(sure.value, t.view(np.uint64), log2)].tolist() for t in terms]
+            yield pa.RecordBatch.from_arrays([batch.column("known"), pa.array(terms, pa.list_(pa.int64()))], ["known", "terms"])
+
+    left = held.select("known", "terms").mapInArrow(thin, "known array<struct<e:long,n_e:long>>, terms array<long>").where(F.size("terms") > 0)
+    pairs = left.select("known", F.explode("terms").alias("t")).select("t", F.explode("known").alias("x"))
+    pairs = pairs.groupBy("t", "x.e", "x.n_e").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
+    share = F.col("n_et") / F.col("n_t")
+    rated = pairs.join(likely, "t").where((share >= generalise) & (F.log2(share * F.lit(n) / F.col("n_e")) >= bits))
+    kind = F.when(F.max(share) >= remove, "remove").otherwise("general")
+    return stored(rated.groupBy("t").agg(kind.alias("kind")), "told")
+
+
+_MARKED = "row long, doc_id {}, base array<struct<start:int,rank:int,end:int,kind:string>>, hits array<struct<t:long,at:array<struct<start:int,end:int>>>>"
+_SALTS = 32
+
+
+def _mark(docs: DataFrame, told: DataFrame, log2: int) -> DataFrame:
+    """doc_id, base and spans of every row, with the terms of ``told`` wherever they stand."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    base_type = pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
+    hits_type = pa.list_(pa.struct([("t", pa.int64()), ("at", pa.list_(place))]))
+    held = _members(docs, told, log2)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for part in slices(iter([batch]), "text", _BLOCK):
+                found = [entities(t) if t else [] for t in part.column("text").to_pylist()]
+                base = [[(a, k, b, KINDS[k]) for a, k, b, _ in f] for f in found]
+                hits: list[list] = [[] for _ in found]
+                buf, off = flat(part.column("text"))
+                for i, own, starts, ends in _places(LOWER[buf], off, lambda h: sketch.repeated(held.value, h, log2)):
+                    free = _outside(starts, ends, found[i])
+                    at: dict[int, list] = {}
+                    for t, a, b in zip(own[free].tolist(), starts[free].tolist(), ends[free].tolist(), strict=True):
+                        at.setdefault(t, []).append({"start": a, "end": b})
+                    hits[i] = list(at.items())
+                rows = pa.array(range(row, row + len(base)), pa.int64())
+                row += len(base)
+                yield pa.RecordBatch.from_arrays(
+                    [rows, part.column("doc_id"), pa.array(base, base_type), pa.array(hits, hits_type)], ["row", "doc_id", "base", "hits"]
+                )
+
+    found = stored(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, _MARKED.format(kind)), "marked")
+    hits = found.select("row", F.explode("hits").alias("x")).select("row", "x.t", "x.at", F.pmod("row", F.lit(_SALTS)).cast("int").alias("salt"))
+    salted = told.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))  # a term of many documents is dealt to several tasks
+    return _spans(found, hits.join(salted, ["t", "salt"]).select("row", F.explode("at").alias("p"), "kind"))
+
+
+def _spans(found: DataFrame, hits: DataFrame) -> DataFrame:
+    """doc_id, base and spans of the rows of ``found``, with the places ``p`` of ``hits``."""
     rank = F.when(F.col("kind") == "remove", KINDS.index("remove")).otherwise(KINDS.index("general"))
     span = F.struct(F.col("p.start").alias("start"), rank.alias("rank"), F.col("p.end").alias("end"), F.col("kind").alias("kind"))
     more = hits.groupBy("row").agg(F.collect_list(span).alias("more"))  # of one document's words
@@ -202,7 +332,17 @@ def find_personal(docs: DataFrame, context: int = 8, **thresholds) -> DataFrame:
     return found.join(more, "row", "left").select("doc_id", "base", spans.alias("spans"))
 
 
-def sanitise(docs: DataFrame, context: int = 8, **thresholds) -> DataFrame:
+def find_personal(docs: DataFrame, context: int | None = None, log2: int = 24, **thresholds) -> DataFrame:
+    """doc_id, base (fixed spans in order) and spans (also of disclosing terms) of every row."""
+    if context is None:
+        return _mark(docs, told_terms(docs, log2=log2, **thresholds), log2)
+    found = _find(docs, context)
+    told = stored(disclosures(found, docs, log2=log2, **thresholds), "disclosures")
+    near = found.select("row", F.explode("near").alias("x")).select("row", "x.e", "x.t", F.explode("x.at").alias("p"))
+    return _spans(found, near.join(told, ["e", "t"]).groupBy("row", "p").agg(F.max("kind").alias("kind")))  # remove is after general
+
+
+def sanitise(docs: DataFrame, context: int | None = None, **thresholds) -> DataFrame:
     """``docs`` with entities and generalised terms replaced by ``[kind]`` and removed terms left out.
 
     Rows are joined by doc_id; rows that repeat an id must repeat the text.

@@ -119,6 +119,19 @@ def test_disclosing_terms_against_plain_counts(spark):
     assert pii.find_personal(docs.limit(0)).collect() == []
 
 
+def test_disclosing_terms_anywhere(spark):
+    far = " ".join(["filler"] * 40)
+    texts = [f"é Bluebird {far} jo@x.com bluebird@x.com and ann@y.org" for _ in range(3)] + ["é the bluebird, 😀 BLUEBIRD belongs to others"]
+    texts += [f"é {far} x{i}@mail.com and wrote" for i in range(150)] + [None, "", "belongs to others"]
+    docs = documents(spark, texts)
+    got = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end]) for s in r.spans] for r in pii.find_personal(docs, support=3).collect()}
+    assert [s for s in got[0] if s[0] != "email"] == [("general", "Bluebird")]  # 3 of 4 documents, 41 words away, not in the address
+    assert got[3] == [("general", "bluebird"), ("general", "BLUEBIRD")]  # no entity in the document
+    assert got[4] == [("email", "x0@mail.com")] and got[154] == got[156] == []
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs, support=3).collect()}
+    assert clean[3] == "é the [general], 😀 [general] belongs to others"
+
+
 def test_awkward_texts_have_no_personal_data(spark):
     rows = pii.digest(pii.find_personal(documents(spark, awkward()))).collect()
     assert len(rows) == len(awkward()) and all(r.spans == "" for r in rows)
