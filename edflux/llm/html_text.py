@@ -3,8 +3,8 @@
 The tree builder closes what HTML lets authors leave open (``p`` before blocks, ``li``, ``dt``,
 ``dd``, ``option``, table rows, cells and sections) and ignores stray end tags. Hidden are the
 elements that browsers don't paint (head, script, style, template, ...), the ``hidden``
-attribute, ``display:none`` and ``visibility:hidden`` styles, closed ``dialog``s, and closed ``details``
-but for their summary. A quote opens an attribute's value only after its ``=``. Paragraphs, headings, lists and tables are set off by an empty line, other blocks
+attribute, ``display:none`` styles, closed ``dialog``s, and closed ``details``
+but for their summary; ``visibility:hidden`` hides text down to a descendant that is visible. A quote opens an attribute's value only after its ``=``. Paragraphs, headings, lists and tables are set off by an empty line, other blocks
 start a line, list items have their marker and indentation, ``pre`` keeps its spaces, and the
 cells of a table are padded to the width of their column.
 
@@ -56,7 +56,8 @@ P_BARRIER = {"table", "td", "th", "caption", "button", "object"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))?)*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_IMPORTANT = re.compile(r"!\s*important\Z")
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 _LINES = re.compile(r" *\n *")
 
@@ -138,10 +139,33 @@ def tree(page: str) -> Node:
     return root
 
 
-def hidden(node: Node) -> bool:
+def declared(style: str) -> dict[str, str]:
+    """Properties of a style and their values in lower case: the last one wins, but for important ones."""
+    out: dict[str, str] = {}
+    fixed = set()
+    for part in _COMMENT.sub(" ", style).split(";"):
+        name, _, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        plain = _IMPORTANT.sub("", value).rstrip()
+        if not plain or (name in fixed and plain == value):
+            continue
+        if plain != value:
+            fixed.add(name)
+        out[name] = plain
+    return out
+
+
+def hidden(node: Node, style: dict[str, str]) -> bool:
+    """Whether the element goes with all that it holds."""
     if node.tag in UNSEEN or "hidden" in node.attrs or (node.tag == "dialog" and "open" not in node.attrs):
         return True
-    return bool(_HIDDEN.search(node.attrs.get("style", "")))
+    return style.get("display") == "none"
+
+
+def painted(style: dict[str, str], inherited: bool) -> bool:
+    """Whether the element's own text is painted; visibility is inherited."""
+    value = style.get("visibility", "inherit")
+    return value not in ("hidden", "collapse") if value in ("visible", "initial", "hidden", "collapse") else inherited
 
 
 class Writer:
@@ -226,22 +250,25 @@ def _start(node: Node) -> int:
 def render(root: Node) -> str:
     """The visible text of the tree."""
     writers, tables, lists, pre = [Writer()], [], [], 0
-    todo: list[tuple] = [(root, False)]
+    todo: list[tuple] = [(root, False, True)]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, seen = todo.pop()
         w = writers[-1]
         if isinstance(node, str):
-            w.text(node, keep=pre > 0)
+            if seen:
+                w.text(node, keep=pre > 0)
             continue
         tag = node.tag
         gap = 2 if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists) else 1
         if not leaving:
-            if hidden(node):
+            style = declared(node.attrs["style"]) if "style" in node.attrs else {}
+            if hidden(node, style):
                 continue
+            seen = painted(style, seen)
             if tag == "br":
                 w.newline()
                 continue
-            todo.append((node, True))
+            todo.append((node, True, seen))
             if tag in ("td", "th") and tables:
                 writers.append(Writer())
             elif tag == "table":
@@ -259,7 +286,7 @@ def render(root: Node) -> str:
                     lists[-1][1] += 1
                     mark = f"{lists[-1][1]}. " if lists[-1][0] == "ol" else mark
                 w.indent.append(" " * len(mark))
-                w.marker = mark
+                w.marker = mark if seen else ""
             elif tag in ("dd", "blockquote"):
                 w.indent.append("  ")
             elif tag == "pre":
@@ -267,7 +294,7 @@ def render(root: Node) -> str:
             shown = node.children
             if tag == "details" and "open" not in node.attrs:
                 shown = [c for c in shown if not isinstance(c, str) and c.tag == "summary"]
-            todo.extend((c, False) for c in reversed(shown))
+            todo.extend((c, False, seen) for c in reversed(shown))
             continue
         if tag in ("td", "th") and tables:
             writers.pop()

@@ -73,6 +73,20 @@ def test_pages(page, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("a<p style='backface-visibility:hidden; -webkit-backface-visibility: hidden'>b", "a\n\nb"),
+        ("a<p style='visibility:hidden'>b <b style='Visibility: Visible'>c</b> d</p>e", "a\n\nc\n\ne"),
+        ("<p style='display:none;display:block'>a<p style='display:none!important;display:block'>b", "a"),
+        ("<p style='display:none'>a<b style='display:inline;visibility:visible'>b</b></p>c", "c"),
+        ("<p style='x:\"display:none\";/* visibility:hidden */'>a<p style='visibility:hidden;'>b<p style='visibility:nonsense'>c", "a\n\nc"),
+    ],
+)
+def test_styles(page, text):
+    assert page_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert page_text("<div>" * 50_000 + "x" + "</p></i>" * 5_000).strip() == "x"
     assert len(page_text("<li>word " * 50_000).split("\n")) == 50_000
