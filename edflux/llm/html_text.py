@@ -4,7 +4,8 @@ The tree builder closes what HTML lets authors leave open (``p`` before blocks,
 ``dd``, ``option``, table rows, cells and sections) and ignores stray end tags. Hidden are the
 elements that browsers don't paint (head, script, style, template, ...), the ``hidden``
 attribute, ``display:none`` styles, closed ``dialog``s, and closed ``details``
-but for their summary; ``visibility:hidden`` hides text down to a descendant that is visible. A quote opens an attribute's value only after its ``=``. Paragraphs, headings, lists and tables are set off by an empty line, other blocks
+but for their summary; of ``svg`` and ``math`` the parts that only describe or define go, and a
+``select`` that is no list shows its chosen option; ``visibility:hidden`` hides text down to a descendant that is visible. A quote opens an attribute's value only after its ``=``. Paragraphs, headings, lists and tables are set off by an empty line, other blocks
 start a line, list items have their marker and indentation, ``pre`` keeps its spaces, and the
 cells of a table are padded to the width of their column.
 
@@ -29,8 +30,15 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist select textarea".split()
+    "head script style template noscript title iframe noembed noframes object audio video canvas datalist".split()
 )
+#: Not painted within the element of that name.
+UNSEEN_IN = {
+    "svg": frozenset("title desc defs style script metadata symbol clippath mask marker pattern lineargradient radialgradient filter".split()),
+    "math": frozenset("annotation annotation-xml".split()),
+}
+#: Their parts stand above, below or beside each other.
+FORMULA = frozenset("mfrac msub msup msubsup munder mover munderover mroot mmultiscripts mtd".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tr ul".split()
@@ -132,9 +140,10 @@ def tree(page: str) -> Node:
         stack[-1].children.append(node)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I).search(page, at)
-            node.children.append(page[at : close.start()])
+            text = page[at : close.start()]
+            node.children.append(html.unescape(text).removeprefix("\n") if tag == "textarea" else text)
             at = close.end()
-        elif tag not in VOID:
+        elif tag not in VOID and not (m[3].endswith("/") and (stack.open["svg"] or stack.open["math"])):
             stack.push(node)
     return root
 
@@ -247,9 +256,34 @@ def _start(node: Node) -> int:
     return int(n) if re.fullmatch(r"-?[0-9]{1,9}", n) else 1
 
 
+def _chosen(select: Node) -> list:
+    """What a select shows: its options if it is a list, else the text of the chosen one."""
+    size = select.attrs.get("size", "").strip()
+    if "multiple" in select.attrs or (size.isascii() and size.isdigit() and size.strip("0") not in ("", "1")):
+        return [c for c in select.children if not isinstance(c, str)]
+    options, todo = [], [(c, False) for c in reversed(select.children)]
+    while todo:
+        node, off = todo.pop()
+        if isinstance(node, str):
+            continue
+        off = off or "disabled" in node.attrs
+        if node.tag == "option":
+            options.append((node, off))
+        elif node.tag not in UNSEEN:
+            todo.extend((c, off) for c in reversed(node.children))
+    chosen = [o for o, _ in options if "selected" in o.attrs][-1:] or [o for o, off in options if not off][:1]
+    return [c for o in chosen for c in _label(o)]
+
+
+def _label(node: Node) -> list:
+    label = node.attrs.get("label", "")
+    return [label] if label and node.tag == "option" else [label, *node.children] if label else node.children
+
+
 def render(root: Node) -> str:
     """The visible text of the tree."""
     writers, tables, lists, pre = [Writer()], [], [], 0
+    foreign = {"svg": 0, "math": 0}
     todo: list[tuple] = [(root, False, True)]
     while todo:
         node, leaving, seen = todo.pop()
@@ -264,6 +298,8 @@ def render(root: Node) -> str:
             style = declared(node.attrs["style"]) if "style" in node.attrs else {}
             if hidden(node, style):
                 continue
+            if any(n and tag in UNSEEN_IN[k] for k, n in foreign.items()):
+                continue
             seen = painted(style, seen)
             if tag == "br":
                 w.newline()
@@ -289,9 +325,19 @@ def render(root: Node) -> str:
                 w.marker = mark if seen else ""
             elif tag in ("dd", "blockquote"):
                 w.indent.append("  ")
-            elif tag == "pre":
+            elif tag in ("pre", "textarea"):
                 pre += 1
+            elif tag in foreign:
+                foreign[tag] += 1
+            elif tag == "text" and foreign["svg"]:
+                w.block(1)
             shown = node.children
+            if tag == "select":
+                shown = _chosen(node)
+            elif tag in ("option", "optgroup"):
+                shown = _label(node)
+            elif tag in FORMULA and foreign["math"]:
+                shown = [x for c in shown for x in (" ", c)] + [" "]
             if tag == "details" and "open" not in node.attrs:
                 shown = [c for c in shown if not isinstance(c, str) and c.tag == "summary"]
             todo.extend((c, False, seen) for c in reversed(shown))
@@ -314,8 +360,12 @@ def render(root: Node) -> str:
             w.marker = ""
         elif tag in ("dd", "blockquote"):
             w.indent.pop()
-        elif tag == "pre":
+        elif tag in ("pre", "textarea"):
             pre -= 1
+        elif tag in foreign:
+            foreign[tag] -= 1
+        elif tag == "text" and foreign["svg"]:
+            w.block(1)
         if tag in BLOCK:
             w.block(gap)
     return writers[0].value()

@@ -87,6 +87,20 @@ def test_styles(page, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("a <textarea>\nb  &lt;i>\n c</textarea> d", "a b  <i>\n c d"),
+        ("a <select><option>b<option selected>c</select> d <select><option disabled>e<optgroup><option label=f>g</select>", "a c d f"),
+        ("<select multiple><option>a<option>b</select>", "a\nb"),
+        ("<svg><title>t</title><desc>d</desc><defs/><rect x='1'/><text>a</text><text>b</text></svg>c", "a\nb\nc"),
+        ("so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math>", "so x= 1 2"),
+    ],
+)
+def test_forms_figures_and_formulas(page, text):
+    assert page_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert page_text("<div>" * 50_000 + "x" + "</p></i>" * 5_000).strip() == "x"
     assert len(page_text("<li>word " * 50_000).split("\n")) == 50_000
