@@ -9,7 +9,7 @@ from edflux.llm.common import stored
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(a, b) links of long ids -> node, root (the smallest id reachable), for every linked node.
+    """(a, b) links of ids (of any ordered type, not null) -> node, root (the smallest id reachable), for every linked node.
 
     Alternating stars: each round points the larger neighbours of every node, then the smaller
     ones, at the least id seen. Rounds grow with the logarithm of a component's size. All steps

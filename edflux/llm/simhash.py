@@ -97,31 +97,37 @@ def links(fps: DataFrame, bits: int = 3, blocks: int = 2) -> DataFrame:
     return pairs.select(F.col("a.fp").alias("x"), F.col("b.fp").alias("y"))
 
 
-def _grouped(docs: DataFrame, shingle: int, bits: int, blocks: int) -> DataFrame:
-    """doc_id, fp and component_id of every row."""
-    marks = stored(fingerprints(docs, shingle), "fingerprints")
-    heads = stored(marks.groupBy("fp").agg(F.min("doc_id").cast("long").alias("head")), "heads")
+def _roots(heads: DataFrame, bits: int, blocks: int) -> DataFrame:
+    """fp, head and root of every row of ``heads``; a node is a fingerprint, ordered by its smallest id (no id is last)."""
+    node = F.struct(F.col("head").isNull().alias("none"), F.coalesce("head", F.lit(0)).alias("head"), "fp")
+    nodes = heads.select("fp", "head", node.alias("own"))
     near = stored(links(heads.select("fp"), bits, blocks), "near")
-    x, y = heads.select(F.col("fp").alias("x"), F.col("head").alias("a")), heads.select(F.col("fp").alias("y"), F.col("head").alias("b"))
-    roots = components(near.join(x, "x").join(y, "y").where("a is not null and b is not null").select("a", "b"))
-    final = heads.join(roots, F.col("head") == F.col("node"), "left").select("fp", F.coalesce("root", "head").alias("component_id"))
-    return marks.join(final, "fp")
+    x, y = nodes.select(F.col("fp").alias("x"), F.col("own").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("own").alias("b"))
+    roots = components(near.join(x, "x").join(y, "y").where("not a.none and not b.none").select("a", "b"))
+    return nodes.join(roots.select(F.col("node.fp").alias("fp"), "root"), "fp", "left").select("fp", "head", F.coalesce("root", "own").alias("root"))
+
+
+def _heads(marks: DataFrame) -> DataFrame:
+    """Every fingerprint and its smallest id."""
+    return stored(marks.groupBy("fp").agg(F.min("doc_id").cast("long").alias("head")), "heads")
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable), a row per document."""
     own = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return _grouped(docs, shingle, bits, blocks).select("doc_id", own, "component_id")
+    marks = stored(fingerprints(docs, shingle), "fingerprints")
+    roots = _roots(_heads(marks), bits, blocks).select("fp", F.when(~F.col("root.none"), F.col("root.head")).alias("component_id"))
+    return marks.join(roots, "fp").select("doc_id", own, "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int = 2) -> DataFrame:
-    """One row of ``docs`` for each component: that of the smallest id.
+    """One row of ``docs`` for each component: that of the smallest id, then of the smallest fingerprint.
 
-    Rows without an id stand for their fingerprint only if no row with an id has it.
+    Components are of fingerprints: rows that only share an id stay apart. A row without an id
+    is kept only if no row of its component has one.
     """
-    first = _grouped(docs, shingle, bits, blocks).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
-    first = stored(first.groupBy(F.col("component_id").alias("__id"), alone.alias("__alone")).agg(F.min("fp").alias("__fp")).drop("__alone"), "first")
+    roots = _roots(_heads(fingerprints(docs, shingle)), bits, blocks)
+    first = stored(roots.where(F.col("fp") == F.col("root.fp")).select(F.col("fp").alias("__fp"), F.col("head").alias("__id")), "first")
     rows = fingerprints(docs, shingle, tuple(docs.columns), "__mark")
     rows = rows.join(first, (rows["__mark"] == first["__fp"]) & rows["doc_id"].eqNullSafe(first["__id"]), "left_semi")
     whole = F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("__row")

@@ -102,6 +102,12 @@ def test_one_of_each_group(spark):
     assert one_of_each(docs.limit(0)).collect() == []
 
 
+def test_one_id_with_several_texts(spark):
+    texts = ["a b c d", "e f g h i", "j k l m n", "o p q r s", "a b c d"]
+    kept = one_of_each(documents(spark, texts, ids=[1, 1, 1, 2, 2])).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, "a b c d"), (1, "e f g h i"), (1, "j k l m n"), (2, "o p q r s")]
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(70, 71), (71, 72), (72, 70), (90, 90)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
