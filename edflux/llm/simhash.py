@@ -13,8 +13,7 @@ Copies share a fingerprint, and only distinct fingerprints are posted, so a grou
 is one entry however large it is.
 
 Cases: a null or empty text has the fingerprint zero; fewer words than a shingle make one
-shingle; repeated rows share a component; a fingerprint whose ids are all null has a null
-component unless linked; an empty table gives no rows; other columns are ignored.
+shingle; repeated rows share a component; a component whose ids are all null is null; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,7 +102,7 @@ def _roots(heads: DataFrame, bits: int, blocks: int) -> DataFrame:
     nodes = heads.select("fp", "head", node.alias("own"))
     near = stored(links(heads.select("fp"), bits, blocks), "near")
     x, y = nodes.select(F.col("fp").alias("x"), F.col("own").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("own").alias("b"))
-    roots = components(near.join(x, "x").join(y, "y").where("not a.none and not b.none").select("a", "b"))
+    roots = components(near.join(x, "x").join(y, "y").select("a", "b"))
     return nodes.join(roots.select(F.col("node.fp").alias("fp"), "root"), "fp", "left").select("fp", "head", F.coalesce("root", "own").alias("root"))
 
 

@@ -108,6 +108,19 @@ def test_one_id_with_several_texts(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, "a b c d"), (1, "e f g h i"), (1, "j k l m n"), (2, "o p q r s")]
 
 
+def test_links_of_rows_without_an_id(spark):
+    def bits(a, b):
+        return (int.from_bytes(fingerprint(a)) ^ int.from_bytes(fingerprint(b))).bit_count()
+
+    words = [f"t{i}" for i in range(300)]
+    near = [" ".join([*words[:i], "new", *words[i + 1 :]]) for i in range(300)]
+    a, b, c = next((x, y, z) for y in near for x in near for z in near if 0 < bits(x, y) <= 3 and 0 < bits(y, z) <= 3 < bits(x, z))
+    got = simhash_dedup(documents(spark, [a, b, c, "x y z"], ids=[8, None, 5, None])).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (0, 5), (5, 5), (8, 5)]
+    assert [r.doc_id for r in one_of_each(documents(spark, [a, b, c], ids=[8, None, 5])).collect()] == [5]
+    assert len(one_of_each(documents(spark, [a, b], ids=[None, None])).collect()) == 1
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(70, 71), (71, 72), (72, 70), (90, 90)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
