@@ -196,7 +196,9 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample_rows: in
     labels = labels.groupBy(F.col("doc_id").alias("__id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sample = stored(labels.orderBy(F.xxhash64("__id"), "__id").limit(sample_rows), "labelled")
     text = docs.select(F.col("doc_id").alias("__doc"), F.col("text").cast("string").alias("text"))
-    rows = text.join(F.broadcast(sample), F.col("__doc") == F.col("__id")).select("toxic", "text")  # sample_rows small rows at most
+    rows = text.join(F.broadcast(sample), F.col("__doc") == F.col("__id"))  # sample_rows small rows at most
+    one = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")  # of an id's rows
+    rows = rows.groupBy("__id", "toxic").agg(one).select("toxic", "one.text")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -171,6 +172,17 @@ def test_restored_words_and_held_out_accuracy(spark):
     assert disguised_only.predicted == 1 and disguised_only.n_restored == 2
 
 
+def test_a_labelled_id_with_many_rows_counts_once(spark):
+    texts, toxic = corpus(60)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, toxic[i]) for i in ids], "doc_id long, toxic int")
+    model = toxicity.language_model(np.ones((toxicity.CODES,) * 3))
+    own = [texts[i] for i in ids]
+    once = toxicity.train(documents(spark, own, ids), labels, model)
+    often = toxicity.train(documents(spark, own + [own[0]] * 500, ids + [ids[0]] * 500), labels, model)
+    assert len(once[0]) and once[0].tolist() == often[0].tolist() and np.allclose(once[1], often[1]) and np.isclose(once[2], often[2])
+
+
 def test_scores_without_labels_or_texts(spark):
     docs = documents(spark, [*awkward(), "a 1d1ot"])
     for labels in ([], [(3, 0)], [(3, 1), (3, 0)]):
