@@ -175,8 +175,8 @@ def _document_counts(docs: DataFrame, terms: DataFrame, log2: int) -> DataFrame:
                 starts, ends, row = word_spans(buf, off, _NOT_TERM)
                 own = word_hashes(buf, starts, ends)
                 some = sketch.repeated(held.value, own, log2)
-                pairs = np.unique(np.stack((row[some], own[some].view(np.int64)), axis=1), axis=0)
-                words.append(pairs[:, 1])
+                each, code = np.unique(own[some].view(np.int64), return_inverse=True)
+                words.append(each[np.unique(row[some] * len(each) + code) % len(each)] if len(each) else each)
             t, n = np.unique(np.concatenate(words), return_counts=True) if words else (np.empty(0, np.int64), np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(n)], ["t", "n"])
 
@@ -264,7 +264,7 @@ def told_terms(
     with_e = stored(with_e.groupBy("n_e", "h0", "h1").agg(F.min("e").alias("e")).select("e", "n_e"), "known")  # of the same documents: one
     names = stored(names.join(with_e, "e").groupBy("row").agg(F.collect_list(F.struct("e", "n_e")).alias("known")), "names")  # of one document
     held = stored(beside.join(names, "row").select("row", "known", "terms"), "held")
-    most = held.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("most")).where(F.col("most") >= support)
+    most = held.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("most")).where((F.col("most") >= support) & (F.col("most") <= few))
     most = stored(most, "most")
     n_t = _document_counts(docs, most, log2).where(F.col("n_t") <= few)
     likely = stored(most.join(n_t, "t").where(F.col("most") / F.col("n_t") >= generalise).select("t", "n_t"), "likely")
