@@ -65,9 +65,58 @@ SELECT d.doc_id, d.size, c.size AS source_size, coalesce(c.target, 0) AS target,
 FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source
 """
 
+
+def _crc32() -> str:
+    """CRC-32 of the decimal text of doc_id, four bits at a time."""
+    table = []
+    for i in range(16):
+        for _ in range(4):
+            i = i >> 1 ^ 0xEDB88320 * (i & 1)
+        table.append(i)
+    half = "xor({0} >> 4, {1}[({0} & 15) + 1])".format
+    step = half(half("xor(crc, byte)", table), table)
+    digits = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {digits}), lambda crc, byte: {step}), 4294967295)"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}, '-')"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+_OP12 = f"""
+WITH RECURSIVE
+d AS (SELECT doc_id, source, sha256({_HEAD} || {_field("text")}) AS leaf,
+             CASE WHEN {_crc32()} % 2 = 0 THEN sha256({_HEAD} || {_field("replace(text, chr(10), '')")}) END AS changed FROM documents),
+l AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS id FROM d
+      WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)),
+up AS (SELECT 0 AS level, source, i, leaf AS h, n FROM l
+       UNION ALL SELECT level + 1, source, i // 3, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 2) // 3 FROM up WHERE n > 1 GROUP BY level, source, i // 3),
+s AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS level, i, h, n FROM s
+        UNION ALL SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 2) // 3 FROM top WHERE n > 1 GROUP BY level, i // 3),
+nodes AS (SELECT 0 AS tree, level, source, i, h FROM up WHERE n > 1 UNION ALL SELECT 1, level, NULL, i, h FROM top WHERE n > 1),
+near AS (SELECT tree, level, source, i,
+                coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+                coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+         FROM nodes WINDOW r AS (PARTITION BY tree, level, source, i // 3 ORDER BY i)),
+walk AS (SELECT id, source, i, 0 AS level, '' AS proof, coalesce(changed, leaf) AS h FROM l
+         UNION ALL SELECT id, w.source, w.i // 3, w.level + 1, proof || a || b, sha256(a || w.h || b)
+                   FROM walk w JOIN near x ON tree = 0 AND w.level = x.level AND w.source IS NOT DISTINCT FROM x.source AND w.i = x.i),
+half AS (SELECT id, arg_max(proof, level) AS proof, arg_max(h, level) AS h, any_value(source) AS source FROM walk GROUP BY id),
+rise AS (SELECT id, s.i, 0 AS level, proof, half.h FROM half JOIN s ON half.source IS NOT DISTINCT FROM s.source
+         UNION ALL SELECT id, w.i // 3, w.level + 1, proof || a || b, sha256(a || w.h || b)
+                   FROM rise w JOIN near x ON tree = 1 AND w.level = x.level AND w.i = x.i),
+done AS (SELECT id, sha256(arg_max(proof, level)) AS proof_sha256, arg_max(h, level) AS folded_root FROM rise GROUP BY id),
+root AS (SELECT h FROM top WHERE n = 1)
+SELECT doc_id, leaf, s.h AS subroot, (SELECT h FROM root) AS root, proof_sha256, folded_root, folded_root = (SELECT h FROM root) AS verified
+FROM l JOIN done USING (id) JOIN s ON l.source IS NOT DISTINCT FROM s.source
+"""
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _OP1,
     "op2_decontaminate": _OP2,
     "op3_chat_format": _OP3,
     "op10_mixing": _OP10,
+    "op12_merkle_manifest": _OP12,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edflux.llm import chat, pii, secrets
+from edflux.llm import alignment, chat, license_notices, merkle, pii, secrets
 from edflux.llm import decontaminate as leaks
 from edflux.llm.ann import nearest
 from edflux.llm.html_text import html_text
@@ -71,6 +71,30 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.alignments(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return alignment.link_scores(aligned.select(F.col("doc_id").cast("long"), "n_a", "n_b", "n_groups", "n_links", sha, "links"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id has an even CRC-32 is folded as if its line feeds had been deleted."""
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = merkle.leaf(*fields[:-1], F.translate("text", "\n", ""))
+    own = merkle.leaf(*fields)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", own.alias("leaf"), F.when(even, changed).otherwise(own).alias("tampered"))
+    folded = merkle.folded(F.col("path"), F.col("tampered"))
+    out = merkle.manifest(docs, "source", "doc_id")
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_notices.digest(license_notices.find_notices(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -84,5 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_personal_data,
         op10_mixing,
+        op11_token_alignment,
+        op12_merkle_manifest,
+        op13_license_notices,
     )
 }
