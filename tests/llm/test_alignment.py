@@ -34,10 +34,17 @@ def plain(aligner, text):
         ends = np.cumsum([len(table[i]) for i in ids]).tolist()
         sides.append(list(zip(ids, [0, *ends], ends, strict=False)))
     a, b = sides
-    groups, at = [], 0
+    groups, rest = [], (iter(a), iter(b))
     for cut in sorted({t[2] for t in a} & {t[2] for t in b}):
-        groups.append("|".join(",".join(str(i) for i, _, end in side if at < end <= cut) for side in (a, b)))
-        at = cut
+        own = []
+        for side in rest:
+            ids = []
+            for i, _, end in side:
+                ids.append(str(i))
+                if end == cut:
+                    break
+            own.append(",".join(ids))
+        groups.append("|".join(own))
     links, j = Counter(), 0
     for i, start, end in a:
         while j and b[j - 1][2] > start:

@@ -81,7 +81,7 @@ def test_spans_and_edits(spark):
                     row.append(min(whole[j] + 1, row[-1] + 1, whole[j - 1] + (c != d)))
                 whole = row
             assert whole[-1] <= edits <= L.NOTICES[k][2]
-    text = "É «Relaesed under\nthe MIT-Licence», ok. Licensed under CC BY-NC 4.0"
+    text = "É: \"Relaesed under\nthe MIT-Licence\", ok. Licensed under CC BY-NC 4.0"
     row = L.find_notices(documents(spark, [text])).first()
     assert [(x.label, text[x.start : x.end]) for x in row.notices] == [("mit", "Relaesed under\nthe MIT-Licence"), ("cc", "Licensed under CC BY")]
     assert row.phrases == []
