@@ -52,14 +52,17 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def refined(cut: np.ndarray, coarse: np.ndarray, width: np.ndarray, first: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Byte ends of tokens: ``cut`` where ``coarse``, else the cut before plus decoded widths.
-
-    ``first`` and ``base``: each token's first token of its segment, and that segment's first byte.
-    """
+def refined(cut: np.ndarray, coarse: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens: ``cut`` where ``coarse``, else the cut before (or 0) plus decoded widths."""
     behind = np.concatenate(([0], np.cumsum(width)))
-    anchor = np.maximum(np.maximum.accumulate(np.where(coarse, np.arange(len(width)), -1)), first - 1)
-    return np.where(anchor >= first, cut[anchor], base) + behind[1:] - behind[anchor + 1]
+    anchor = np.maximum.accumulate(np.where(coarse, np.arange(len(width)), -1))
+    return np.where(anchor >= 0, cut[anchor], 0) + behind[1:] - behind[anchor + 1]
+
+
+def _runs(sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The places of all members of the runs ``which``, when runs of ``sizes`` follow each other."""
+    n = sizes[which].astype(np.int64)
+    return np.repeat(np.cumsum(sizes, dtype=np.int64)[which] - np.cumsum(n), n) + np.arange(n.sum())
 
 
 class Aligner:
@@ -69,7 +72,7 @@ class Aligner:
     such words, ``odd`` the rest. ``most`` bounds how many are kept from one call to the next.
     """
 
-    def __init__(self, a_json: str, b_model: bytes, most: int = 500_000):
+    def __init__(self, a_json: str, b_model: bytes, most: int = 300_000):
         import sentencepiece
         import tokenizers
 
@@ -91,14 +94,22 @@ class Aligner:
             and not any(re.search("[^\u2581]\u2581", p) for p in pieces)
             and self.b.normalize(probe).replace("\u2581", " ").strip() == probe
         )
-        self.most = most
-        self.forget()
+        self.most, self.clean, self.odd = most, {}, {}
+        self.texts: list[str | None] = []  # groups of each segment, None if its tokens' bytes aren't its own
+        self.counts = [np.empty((0, 4), np.int32)]  # tokens of A and B, groups and links of each segment
+        self.links = [_NONE]
+        self.uses = _NONE
 
     def forget(self) -> None:
-        self.clean, self.odd = {}, {}
-        self.texts: list[str | None] = []  # groups of each segment, None if its tokens' bytes aren't its own
-        self.counts = np.empty((0, 4), np.int64)  # tokens of A and B, groups and links of each segment
-        self.links = np.empty(0, np.int64)
+        """Keep the half of ``most`` segments that were used most."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: self.most // 2])
+        new = np.full(len(self.texts), -1)
+        new[kept] = np.arange(len(kept))
+        new, counts, links = new.tolist(), np.concatenate(self.counts), np.concatenate(self.links)
+        self.clean, self.odd = ({s: new[k] for s, k in held.items() if new[k] >= 0} for held in (self.clean, self.odd))
+        self.texts = [self.texts[k] for k in kept.tolist()]
+        self.links = [links[_runs(counts[:, 3], kept)]]
+        self.counts, self.uses = [counts[kept]], self.uses[kept]
 
     def segments(self, words: list[str], known: list[int | None]) -> list[str]:
         """The segments of a text, each without the space before it, from its words between single spaces."""
@@ -130,9 +141,20 @@ class Aligner:
                 known = segments
             out.append(known)
         if fresh:
-            gc.disable()  # so many small lists make the collector run in vain
+            gc.disable()  # so many small objects make the collector run in vain
             try:
-                self.learn(fresh)
+                joined: list[str] = []
+                for segment in fresh:  # those with solid ends are encoded together, as parts of a text
+                    alone = not self.cuts or not _SOLID.match(segment) or not _SOLID.match(segment[-1])
+                    if joined and (alone or len(joined) >= 512):
+                        self.learn(joined)
+                        joined = []
+                    if alone:
+                        self.learn([segment])
+                    else:
+                        joined.append(segment)
+                if joined:
+                    self.learn(joined)
             finally:
                 gc.enable()
         return out
@@ -141,32 +163,33 @@ class Aligner:
         """Encode segments, find their tokens' ends and align them."""
         raw = [b" " + s.encode() for s in new]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
-        base, joined = np.cumsum(size) - size, b"".join(raw)
+        behind, joined, text = np.cumsum(size), b"".join(raw), " ".join(new)
+        a = self.a.encode(" " + text, add_special_tokens=False)
+        b = self.b.encode(text, return_type="offset_mapping", return_bytes=True)
         points = np.append(np.flatnonzero((np.frombuffer(joined, np.uint8) & 0xC0) != 0x80), len(joined))  # first bytes of characters
-        a = self.a.encode_batch([" " + s for s in new], add_special_tokens=False)
-        b = self.b.encode(new, return_type="offset_mapping", return_bytes=True, num_threads=1)
-        good, sides = np.ones(len(new), bool), []
-        for table, lists, spans in ((self.a_bytes, [x.ids for x in a], [x.offsets for x in a]), (self.b_bytes, [x["ids"] for x in b], [x["offsets"] for x in b])):
-            n = np.fromiter(map(len, lists), np.int64, len(new))
-            first = np.cumsum(n) - n
-            ids = np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
-            tokens = list(map(table.__getitem__, ids.tolist()))
+        sides = []
+        for table, ids, spans in ((self.a_bytes, a.ids, a.offsets), (self.b_bytes, b["ids"], b["offsets"])):
+            tokens = list(map(table.__getitem__, ids))
+            if b"".join(tokens) != joined:
+                if len(new) == 1:
+                    self.texts.append(None)
+                    self.counts.append(np.zeros((1, 4), np.int32))
+                else:
+                    self.learn(new[: len(new) // 2])
+                    self.learn(new[len(new) // 2 :])
+                return
             width = np.fromiter(map(len, tokens), np.int64, len(ids))
-            seg = np.repeat(np.arange(len(new)), n)
-            if b"".join(tokens) != joined or (np.bincount(seg, width, len(new)) != size).any():
-                good &= [b"".join(tokens[f : f + k]) == r for f, k, r in zip(first.tolist(), n.tolist(), raw, strict=True)]
-            span = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(ids)).reshape(-1, 2)
+            start, end = np.fromiter(chain.from_iterable(spans), np.int64, 2 * len(ids)).reshape(-1, 2).T
             if table is self.a_bytes:
-                coarse = np.append((span[1:, 0] >= span[:-1, 1]) | (seg[1:] != seg[:-1]), True)[: len(ids)]
-                cut = points[np.searchsorted(points, base)[seg] + span[:, 1]]
+                coarse, cut = np.append(start[1:] >= end[:-1], True), points[end]
             else:
-                coarse, cut = span[:, 1] > span[:, 0], base[seg] + 1 + span[:, 1]
-            sides.append((ids, seg, refined(cut, coarse, width, first[seg], base[seg])))
-        self.align(*([x[good[seg]] for x in (ids, seg, end)] for ids, seg, end in sides), good, base + size)
+                coarse, cut = end > start, end + 1  # spans leave out the first space
+            sides.append((np.array(ids, np.int64), refined(cut, coarse, width)))
+        self.align(*sides, behind)
 
-    def align(self, a_side: list, b_side: list, good: np.ndarray, behind: np.ndarray) -> None:
-        """Groups and links from ids, segments and byte ends of both sides' tokens; ``behind``: the segments' ends."""
-        (a, sa, ea), (b, sb, eb) = a_side, b_side
+    def align(self, a_side: tuple, b_side: tuple, behind: np.ndarray) -> None:
+        """Groups and links from ids and byte ends of both sides' tokens; ``behind``: the segments' ends."""
+        (a, ea), (b, eb) = a_side, b_side
         both, either = np.intersect1d(ea, eb, assume_unique=True), np.union1d(ea, eb)
         links = a[np.searchsorted(ea, either)] << 32 | b[np.searchsorted(eb, either)]  # one for each run between ends
         key = np.concatenate((2 * np.searchsorted(both, ea), 2 * np.searchsorted(both, eb) + 1))
@@ -177,27 +200,27 @@ class Aligner:
         words[0::2] = self.names[np.concatenate((a, b))[order]]
         words[1::2] = np.where(step == 0, ",", np.where((step == 1) & (key % 2 == 0), "|", ";"))
         words = words.tolist()
-        seg = (sa, sb, *(np.searchsorted(behind, x) for x in (both, either)))
-        counts = np.stack([np.bincount(s, minlength=len(good)) for s in seg], axis=1).astype(np.int64)
-        to = (2 * np.cumsum(counts[:, 0] + counts[:, 1])).tolist()
-        self.texts += ["".join(words[i : j - 1]) if ok else None for ok, i, j in zip(good.tolist(), [0, *to], to, strict=False)]
-        self.counts = np.concatenate((self.counts, counts))
-        self.links = np.concatenate((self.links, links))
+        ends = [np.searchsorted(x, behind, side="right") for x in (ea, eb, both, either)]
+        to = (2 * (ends[0] + ends[1])).tolist()
+        self.texts += ["".join(words[i : j - 1]) for i, j in zip([0, *to], to, strict=False)]
+        self.counts.append(np.diff(np.stack(ends, axis=1), axis=0, prepend=0).astype(np.int32))
+        self.links.append(links)
 
     def aligned(self, texts: list[str]) -> Iterator[tuple[list[int], str, np.ndarray] | None]:
         """For each text the four counts, its groups, and a pair for each link; None without tokens."""
         numbers = self.numbered(texts)
-        behind = np.cumsum(self.counts[:, 3])
-        for own in numbers:
-            groups = list(map(self.texts.__getitem__, own))
-            if None in groups:
-                yield None
-                continue
-            own = np.array(own)
-            n = self.counts[own]
-            many = n[:, 3]
-            at = np.repeat(behind[own] - np.cumsum(many), many) + np.arange(many.sum())
-            yield n.sum(0).tolist(), ";".join(groups), self.links[at]
+        self.counts, self.links = [np.concatenate(self.counts)], [np.concatenate(self.links)]
+        counts, links = self.counts[0], self.links[0]
+        own = np.fromiter(chain.from_iterable(numbers), np.int64)
+        links = links[_runs(counts[:, 3], own)]
+        uses = np.bincount(own, minlength=len(counts))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
+        counts, first = counts[own].astype(np.int64), np.cumsum([0, *map(len, numbers)])
+        total = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(counts, axis=0)))[first]
+        for k, (held, n) in enumerate(zip(numbers, np.diff(total, axis=0).tolist(), strict=True)):
+            groups = list(map(self.texts.__getitem__, held))
+            yield None if None in groups else (n, ";".join(groups), links[total[k, 3] : total[k + 1, 3]])
 
 
 def alignments(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> DataFrame:
