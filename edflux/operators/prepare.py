@@ -24,6 +24,7 @@ from edflux.functions.dates import (
 )
 from edflux.functions.labels import item_completo
 from edflux.plans.broadcast import bounded_broadcast
+from edflux.plans.pruning import near_keys
 
 # --------------------------------------------------------------------------- casts
 
@@ -111,6 +112,8 @@ def dedup_editions(editions: DataFrame) -> DataFrame:
         F.col("tipo_producto").asc_nulls_last(),
         F.col("fecha_inicio").desc_nulls_last(),
         F.col("desc_sorteo").asc_nulls_last(),
+        F.col("desc_corta_sorteo").asc_nulls_last(),
+        F.col("fecha_celebracion").desc_nulls_last(),
     )
     return (
         editions.withColumn("_rn", F.row_number().over(w))
@@ -158,7 +161,7 @@ def _recent_side(recent: DataFrame) -> DataFrame:
 def purchases_recent(purchases: DataFrame, recent: DataFrame) -> DataFrame:
     """Purchases of recent editions: a semi join on the edition key, broadcast after a size check."""
     keys = bounded_broadcast(_recent_side(recent).select("clave_edicion_producto"))
-    return purchases.join(keys, "clave_edicion_producto", "left_semi")
+    return near_keys(purchases, recent, "clave_edicion_producto").join(keys, "clave_edicion_producto", "left_semi")
 
 
 _EDITION_ATTRS = [
@@ -177,10 +180,12 @@ def purchases_enriched(purchases: DataFrame, editions: DataFrame, prune_scan: bo
 
     ``editions`` must hold one row per key (see :func:`dedup_editions`); it is
     broadcast after a size check, so the fact side never shuffles here. ``prune_scan``
-    says that they are the recent ones, all with an end (see :func:`_recent_side`).
+    says that they are the recent ones, all with an end (see :func:`_recent_side`): their keys
+    then bound the fact scan (see :mod:`edflux.plans.pruning`).
     """
     dim = bounded_broadcast((_recent_side(editions) if prune_scan else editions).select(*_EDITION_ATTRS))
-    return purchases.join(dim, "clave_edicion_producto", "inner").where(
+    facts = near_keys(purchases, editions, "clave_edicion_producto") if prune_scan else purchases
+    return facts.join(dim, "clave_edicion_producto", "inner").where(
         F.col("fecha_rotulacion_finalizacion").isNotNull()
         & F.col("tipo_producto").isNotNull()
         & F.col("numero_sorteo").isNotNull()
