@@ -168,7 +168,7 @@ def irregular_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = e.select(
         "clave_edicion_producto",
         F.when(n % 11 != 0, tp).alias("tipo_producto"),
-        F.when(n % 13 != 0, n).alias("numero_sorteo"),
+        F.when(n % 13 != 0, n - (n % 6 == 5).cast("int")).alias("numero_sorteo"),  # two editions with one number
         "desc_sorteo",
         "desc_corta_sorteo",
         F.when(n % 10 != 0, F.col("fecha_inicio")).alias("fecha_inicio"),
@@ -180,8 +180,27 @@ def irregular_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def irregular_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The purchases with missing customers and times."""
+    """The purchases with missing customers and times, and with missing and repeated keys."""
     p, k = fixture_purchases(spark, sf_dir), F.col("clave_detalle_compra")
-    return p.withColumn("clave_persona", F.when(k % 17 != 0, F.col("clave_persona"))).withColumn(
-        "fecha_rotulacion_finalizacion", F.when(k % 19 != 0, F.col("fecha_rotulacion_finalizacion"))
+    return p.withColumns(
+        {
+            "clave_persona": F.when(k % 17 != 0, F.col("clave_persona")),
+            "fecha_rotulacion_finalizacion": F.when(k % 19 != 0, F.col("fecha_rotulacion_finalizacion")),
+            "clave_detalle_compra": F.when(k % 23 != 0, k - k % 500),
+        }
     )
+
+
+def fixture_purchases_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The purchases as a text extract with the words that stand for missing values, and with numbers that are none."""
+    p, k = fixture_purchases(spark, sf_dir), F.col("clave_detalle_compra")
+    person, ticket = k % 11, k % 7
+    return p.select(
+        k.cast("string").alias("clave_detalle_compra"),
+        F.when(person == 0, "NA").when(person == 1, "None").when(person == 2, "nan").when(person == 3, "abc").when(person == 4, "")
+        .otherwise(F.col("clave_persona").cast("string")).alias("clave_persona"),
+        F.col("clave_edicion_producto").cast("string").alias("clave_edicion_producto"),
+        F.date_format("fecha_rotulacion_finalizacion", "yyyy-MM-dd HH:mm:ss").alias("fecha_rotulacion_finalizacion"),
+        F.when(ticket == 0, "null").when(ticket == 1, "99999999999999999999").when(ticket == 2, "#N/A")
+        .otherwise(F.concat(F.coalesce(F.col("numero_boleto"), F.lit(0)).cast("string"), F.lit(".0"))).alias("numero_boleto"),
+    )

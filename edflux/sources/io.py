@@ -6,16 +6,17 @@ same casts the typed path uses, so both give identical DataFrames.
 
 from __future__ import annotations
 
-import re
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edflux.functions.casts import lenient_int, lenient_long
+from edflux.functions.casts import lenient_int, lenient_long, token_to_null
 from edflux.functions.dates import parse_day
 from edflux.operators.prepare import clean_editions, clean_purchases
-from edflux.schemas import EDITION_COLUMNS, PURCHASE_COLUMNS, ROLLUP, ROLLUP_COLUMNS
+from edflux.schemas import EDITION_COLUMNS, PURCHASE_COLUMNS, ROLLUP
+from edflux.sources.publish import SNAPSHOT_DAY, pick_day, replace_path, replace_table, snapshot_days
 
 FORMATS = ("parquet", "csv", "table")
 
@@ -31,7 +32,8 @@ def _read(spark: SparkSession, location: str, fmt: str, options=None) -> DataFra
         # multiLine: a quoted field may hold line feeds; options={"multiLine": False} lets
         # Spark split large files that have none.
         own = {"header": True, "mode": "FAILFAST", "multiLine": True, **CSV_QUOTING, **(options or {})}
-        return spark.read.options(**own).csv(location)
+        raw = spark.read.options(**own).csv(location)
+        return raw.select(*(token_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns))
     if fmt == "table":
         return spark.table(location)
     raise ValueError(f"unknown format {fmt!r}; expected one of {FORMATS}")
@@ -67,55 +69,79 @@ def read_rollup(
     CSV dates are ``yyyy-MM-dd`` text: a malformed one fails the read, or becomes null
     with ``lenient_dates=True``.
     """
-    raw = _read(spark, location, fmt, options)
-    if fmt != "csv":
-        return raw.select(*ROLLUP_COLUMNS)
-    rules = {T.DateType: lambda c: parse_day(c, lenient_dates), T.IntegerType: lenient_int, T.LongType: lenient_long}
-    return raw.select(
-        *[rules.get(type(f.dataType), lambda c: c)(F.col(f.name)).cast(f.dataType).alias(f.name) for f in ROLLUP.fields]
-    )
+    return typed_rollup(_read(spark, location, fmt, {"multiLine": False, **(options or {})}), lenient_dates)
+
+
+def typed_rollup(raw: DataFrame, lenient_dates: bool = False) -> DataFrame:
+    """The 21 columns of ``schemas.ROLLUP`` with its types, whatever the store kept them as.
+
+    Text is parsed (dates as ``yyyy-MM-dd``); timestamps become their day, other numbers are
+    cast. Nested detail lists become JSON text.
+    """
+
+    def column(f: T.StructField) -> Column:
+        c, held = F.col(f.name), raw.schema[f.name].dataType
+        if isinstance(held, T.StringType):
+            rule = {T.DateType: lambda x: parse_day(x, lenient_dates), T.IntegerType: lenient_int, T.LongType: lenient_long}.get(type(f.dataType))
+            c = rule(c) if rule else c
+        elif isinstance(held, T.ArrayType):
+            c = F.to_json(c, {"ignoreNullFields": "false"})
+        return c.cast(f.dataType).alias(f.name)
 
+    return raw.select(*(column(f) for f in ROLLUP.fields))
 
-def _plain(path: str) -> str:
-    """A path without a local scheme and without slashes at its end."""
-    return re.sub("^file:/+", "/", path).rstrip("/")
 
+def read_snapshot(
+    spark: SparkSession,
+    location: str,
+    as_of: date | str | None = None,
+    fmt: str = "parquet",
+    lenient_dates: bool = False,
+) -> DataFrame:
+    """The rollup snapshot of the last stored day (not after ``as_of``), with the 21 typed columns.
 
-def _refuse_own_input(df: DataFrame, location: str) -> None:
-    """Overwriting a folder that ``df`` reads would delete the rows before they are read."""
-    own = _plain(location)
-    if any(f == own or f.startswith(own + "/") for f in map(_plain, df.inputFiles())):
-        raise ValueError(f"{location} is an input of what is to be written there; write to another place")
+    Only that day's partition is read. Snapshots are written by
+    :func:`edflux.sources.publish.write_snapshot`.
+    """
+    day = pick_day(snapshot_days(spark, location, fmt), as_of, location)
+    raw = _read(spark, location, fmt, {"multiLine": False}).where(F.col(SNAPSHOT_DAY).cast("date") == F.lit(day))
+    return typed_rollup(raw, lenient_dates)
 
 
 def write(df: DataFrame, location: str, fmt: str = "parquet", mode: str = "overwrite", **options) -> None:
-    """Write ``df`` replacing what is there (``mode='overwrite'``); never a folder that ``df`` reads.
+    """Write ``df`` replacing what is there (``mode='overwrite'``), or in another Spark mode.
 
-    ``fmt='csv'`` writes a header, ``yyyy-MM-dd`` dates and ``yyyy-MM-dd HH:mm:ss.ffffff``
-    timestamps; ``fmt='table'`` replaces a
-    catalog table (``saveAsTable``). Partitioning columns can be passed as
+    A replacement is staged and swapped in (see :mod:`edflux.sources.publish`): a job that fails
+    leaves the old result, and ``df`` may read what it replaces. ``fmt='csv'`` writes a
+    header, ``yyyy-MM-dd`` dates and ``yyyy-MM-dd HH:mm:ss.ffffff`` timestamps; ``fmt='table'``
+    writes a catalog table (``saveAsTable``). Partitioning columns can be passed as
     ``partitionBy=[...]``.
     """
-    if mode == "overwrite" and fmt != "table":  # Spark itself refuses this for tables
-        _refuse_own_input(df, location)
+    if fmt not in FORMATS:
+        raise ValueError(f"unknown format {fmt!r}; expected one of {FORMATS}")
     partition_by = options.pop("partitionBy", None)
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    for k, v in options.items():
-        writer = writer.option(k, v)
-    if fmt == "parquet":
-        writer.parquet(location)
-    elif fmt == "csv":
-        # Timestamps in the extract's text form, which the purchase-time parser accepts.
-        (
-            writer.options(header=True, **CSV_QUOTING)
-            .option("dateFormat", "yyyy-MM-dd")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-            .csv(location)
-        )
+
+    def save(place: str) -> None:
+        writer = df.write.mode(mode).options(**options)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        if fmt == "table":
+            writer.saveAsTable(place)
+        elif fmt == "csv":
+            # Timestamps in the extract's text form, which the purchase-time parser accepts.
+            (
+                writer.options(header=True, **CSV_QUOTING)
+                .option("dateFormat", "yyyy-MM-dd")
+                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+                .csv(place)
+            )
+        else:
+            writer.parquet(place)
+
+    if mode != "overwrite":
+        save(location)
     elif fmt == "table":
-        writer.saveAsTable(location)
+        replace_table(df.sparkSession, location, save)
     else:
-        raise ValueError(f"unknown format {fmt!r}; expected one of {FORMATS}")
+        replace_path(df.sparkSession, location, save)

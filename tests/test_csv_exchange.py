@@ -78,13 +78,13 @@ def test_broken_detail_text_fails(spark, rollup):
         lost_destinations(cut).collect()
 
 
-def test_output_over_its_input_is_refused(spark, rollup, tmp_path):
-    before = spark.read.parquet(rollup).count()
-    for place in (rollup, f"file://{rollup}/"):
-        with pytest.raises(ValueError, match="is an input"):
-            write(recurrent(read_rollup(spark, rollup)), place)
-    assert spark.read.parquet(rollup).count() == before
-    write(spark.read.parquet(rollup), "own_rollup", "table")
-    with pytest.raises(Exception):
-        write(recurrent(read_rollup(spark, "own_rollup", "table")), "own_rollup", "table")
-    assert spark.table("own_rollup").count() == before
+def test_output_over_its_input_replaces_it(spark, rollup, tmp_path):
+    rows = spark.read.parquet(rollup)
+    write(rows, str(tmp_path / "own"))
+    want = sorted(recurrent(rows).collect())
+    for place in (str(tmp_path / "own"), f"file://{tmp_path}/own/"):
+        write(recurrent(read_rollup(spark, str(tmp_path / "own"))), place)
+        assert sorted(read_rollup(spark, str(tmp_path / "own")).collect()) == want
+    write(rows, "own_rollup", "table")
+    write(recurrent(read_rollup(spark, "own_rollup", "table")), "own_rollup", "table")
+    assert sorted(read_rollup(spark, "own_rollup", "table").collect()) == want
