@@ -1,16 +1,28 @@
-"""Casts of identifier columns that may arrive as text."""
+"""Casts of columns that may arrive as text, and what text stands for a missing value."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Text that readers of extracts take for a missing value, besides blank text.
+NULL_TOKENS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
-def _blank_to_null(c: Column) -> Column:
-    return F.nullif(F.trim(c.cast("string")), F.lit(""))
+
+def token_to_null(c: Column) -> Column:
+    """Text as it is, but null for the empty text and for :data:`NULL_TOKENS`."""
+    return F.when(~c.isin("", *NULL_TOKENS), c)
+
+
+def blank_to_null(c: Column) -> Column:
+    """Text without spaces around it; null if nothing is left or it is one of :data:`NULL_TOKENS`."""
+    return token_to_null(F.trim(c.cast("string")))
 
 
 def strict_long(c: Column) -> Column:
     """Integer text to bigint; under ANSI any other text (``"1.0"``, ``"x"``) fails the job."""
-    return c.cast("bigint")
+    return blank_to_null(c).cast("bigint")
 
 
 def lenient_int(c: Column) -> Column:
@@ -19,9 +31,23 @@ def lenient_int(c: Column) -> Column:
     ``"123.0"`` gives 123, ``"-1.7"`` gives -1. Unparseable text still fails (ANSI). The way
     goes through a decimal, so every integer of 64 bits keeps its digits.
     """
-    return _blank_to_null(c).cast("decimal(38,18)").cast("int")
+    return blank_to_null(c).cast("decimal(38,18)").cast("int")
 
 
 def lenient_long(c: Column) -> Column:
     """As :func:`lenient_int` with a bigint result (keys and ticket numbers)."""
-    return _blank_to_null(c).cast("decimal(38,18)").cast("bigint")
+    return blank_to_null(c).cast("decimal(38,18)").cast("bigint")
+
+
+def number_problem(c: Column, kind: str, whole: bool = False) -> Column:
+    """Why text can't be read as ``kind`` (int or bigint), or null; ``whole``: no fraction is allowed."""
+    text = blank_to_null(c)
+    number = text.try_cast("decimal(38,18)")
+    odd = F.lit(False) if not whole else text.try_cast("decimal(38,0)").isNotNull() & text.contains(".")
+    digits = text.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$")
+    return (
+        F.when(text.isNull(), F.lit(None))
+        .when(number.isNull() & ~digits, "not a number")
+        .when(odd, "not a whole number")
+        .when(number.try_cast(kind).isNull(), "out of range")
+    )

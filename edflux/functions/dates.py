@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from edflux.constants import DATE_TEXT_PATTERN, PURCHASE_TIME_PATTERN
+from edflux.functions.casts import blank_to_null
 
 
 def parse_purchase_time(c: Column) -> Column:
@@ -23,12 +24,12 @@ def parse_purchase_time(c: Column) -> Column:
 
 def parse_strict_timestamp(c: Column) -> Column:
     """Text to ``timestamp_ntz``, failing the job on malformed text; blank is null."""
-    return F.to_timestamp_ntz(F.nullif(F.trim(c), F.lit("")))
+    return F.to_timestamp_ntz(blank_to_null(c))
 
 
 def parse_day(c: Column, lenient: bool = False) -> Column:
     """``yyyy-MM-dd`` text to a date; other text fails the job, or is null if ``lenient``."""
-    return (F.try_to_date if lenient else F.to_date)(F.nullif(F.trim(c), F.lit("")), "yyyy-MM-dd")
+    return (F.try_to_date if lenient else F.to_date)(blank_to_null(c), "yyyy-MM-dd")
 
 
 def day_text(c: Column) -> Column:

@@ -27,6 +27,7 @@ of all purchases still spreads over every task.
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,16 +132,26 @@ def role_rows(flagged: DataFrame, lookup: DataFrame | None, span: WindowSpan | N
 
 def ticket_level(roles: DataFrame) -> DataFrame:
     """One row per (customer, role, type, number, code, ticket): rows and first purchase."""
-    # Rows without a purchase key rank last but still count as candidates for "first".
-    cdc = F.coalesce(F.col("clave_detalle_compra"), F.lit(2**63 - 1).cast("bigint"))
+    first = purchase_rank(F.col("clave_detalle_compra"), F.col("clave_edicion_producto"))
     return roles.groupBy(*TICKET).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min(cdc).alias("first_cdc"),
-        F.min_by("clave_edicion_producto", cdc).alias("first_cep"),
-        F.min_by("fecha_fin", cdc).alias("first_fin"),
+        F.min(first).alias("first_rank"),
+        F.min_by("clave_edicion_producto", first).alias("first_cep"),
+        F.min_by("fecha_fin", first).alias("first_fin"),
     )
 
 
+def purchase_rank(key: Column, edition: Column) -> Column:
+    """A total order of purchases for "the first": by purchase key (null last), then by edition key.
+
+    Both keys stand in one decimal of 38 digits, which (unlike a struct) hash aggregation can
+    update in place. Purchases with both keys equal have the same edition, so what is
+    taken from the first row doesn't depend on the order of rows.
+    """
+    key = F.coalesce(key, F.lit(2**63 - 1)).cast("decimal(38,0)")
+    return (key * F.lit(Decimal(10**19)) + edition).cast("decimal(38,0)")
+
+
 def _rows(code: int) -> Column:
     return F.coalesce(F.sum(F.when(F.col("code") == code, F.col("n_rows"))), F.lit(0).cast("bigint"))
 
@@ -172,8 +183,8 @@ def edition_level(tickets: DataFrame) -> DataFrame:
             _tickets(FLAG_CLOSING).alias("tickets2"),
             F.count(F.when((F.col("code") == FLAG_PRE) & is_new, F.lit(1))).alias("new1"),
             F.count(F.when((F.col("code") == FLAG_CLOSING) & is_new, F.lit(1))).alias("new2"),
-            F.min_by("first_cep", F.col("first_cdc")).alias("cep"),
-            F.min_by("first_fin", F.col("first_cdc")).alias("fin"),
+            F.min_by("first_cep", F.col("first_rank")).alias("cep"),
+            F.min_by("first_fin", F.col("first_rank")).alias("fin"),
         )
     )
     return agg.select(

@@ -6,7 +6,9 @@ and types match the DuckDB oracle in ``duck_oracle/duckdb_sql.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from edflux.operators.switching import OWN_ONLY
 from edflux.operators.flow import migration_flow
 from edflux.operators.prepare import clean_editions, clean_purchases, dedup_editions, edition_labels, purchases_recent
 from edflux.operators.quality import quality_counters, rollup_date_nulls
+from edflux.operators.rejects import tolerant_purchases
 from edflux.operators.windows import last_edition
 from edflux.plans.rollup import SingleWindowAnalysis, SwitchingAnalysis, SwitchingCore, recurrent
 from edflux.functions.tickets import ticket_count
@@ -28,11 +31,16 @@ from edflux.sources.fixtures import (
     fixture_editions_text,
     fixture_purchase_time_text,
     fixture_purchases,
+    fixture_purchases_dirty,
     fixture_purchases_text,
     irregular_editions,
     irregular_purchases,
 )
 
+from edflux.session import ensure_checkpoint_dir
+from edflux.sources.io import read_editions, read_purchases, read_rollup, read_snapshot, write
+from edflux.sources.publish import write_snapshot
+
 SPINE_KEYS = ["clave_persona", "tipo_producto", "ventana_numero"]
 
 
@@ -216,11 +224,52 @@ def q_rollup_date_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_migration_flow_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flow of a stored rollup: its 21 columns, the details as JSON text."""
+    """The flow of the rollup's 21 output columns, the details read from their JSON text."""
     a = _analysis(spark, sf_dir)
     return migration_flow(a.rollup, a.editions)
 
 
+def _shared(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_rollup_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two dated snapshots of the rollup are stored, a year apart; the later one is read by its day."""
+    place = _shared(spark, "snapshots")
+    for as_of in (FIXTURE_AS_OF - timedelta(days=365), FIXTURE_AS_OF):
+        a = SwitchingAnalysis(fixture_purchases(spark, sf_dir), fixture_editions(spark, sf_dir), as_of)
+        write_snapshot(a.rollup, place, as_of.date())
+    return read_snapshot(spark, place, FIXTURE_AS_OF.date())
+
+
+def q_rollup_recurrent_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup as a CSV file is read again, filtered, and replaces a Parquet result that is read in turn."""
+    file, place = _shared(spark, "rollup-csv"), _shared(spark, "rollup")
+    write(_analysis(spark, sf_dir).rollup, file, "csv")
+    stored = read_rollup(spark, file, "csv")
+    for least in (1, 2):
+        write(recurrent(stored, least), place)
+    return read_rollup(spark, place)
+
+
+def q_purchases_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both raw extracts are written as CSV and read again, then cut to the recent editions."""
+    bought, offered = _shared(spark, "detalle-csv"), _shared(spark, "sorteo-csv")
+    write(fixture_purchases(spark, sf_dir), bought, "csv")
+    write(fixture_editions(spark, sf_dir), offered, "csv")
+    a = SwitchingAnalysis(read_purchases(spark, bought, "csv"), read_editions(spark, offered, "csv"), FIXTURE_AS_OF)
+    return purchases_recent(a.purchases, a.recent)
+
+
+def q_purchases_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tolerant_purchases(fixture_purchases_dirty(spark, sf_dir))[0]
+
+
+def q_purchases_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tolerant_purchases(fixture_purchases_dirty(spark, sf_dir))[1].drop("fila")
+
+
 def q_purchases_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_purchases(fixture_purchases_text(spark, sf_dir))
 
@@ -278,6 +327,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_counters": q_quality_counters,
     "rollup_date_nulls": q_rollup_date_nulls,
     "migration_flow_stored": q_migration_flow_stored,
+    "rollup_snapshot": q_rollup_snapshot,
+    "rollup_recurrent_reloaded": q_rollup_recurrent_reloaded,
+    "purchases_reloaded": q_purchases_reloaded,
+    "purchases_tolerant": q_purchases_tolerant,
+    "purchases_rejected": q_purchases_rejected,
     "purchases_from_text": q_purchases_from_text,
     "editions_from_text": q_editions_from_text,
     "rollup_dates_from_text": q_rollup_dates_from_text,
