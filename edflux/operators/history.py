@@ -75,15 +75,22 @@ def pair_prefix(ed: Column, tipo: Column) -> dict[str, Column]:
     }
 
 
-def own_columns(window_number: Column) -> dict[str, Column]:
-    """Own-history columns of one spine row from its pair's prefix arrays.
+def own_positions(window_number: Column) -> dict[str, Column]:
+    """Where a window stands in its pair's editions: how many are numbered below it, and its own place (or 0)."""
+    return {
+        "ed_below": F.size(F.filter(F.col("ed_ns"), lambda x: x < window_number)),
+        "ed_at": F.array_position(F.col("ed_ns"), window_number).cast("int"),
+    }
+
+
+def own_columns() -> dict[str, Column]:
+    """Own-history columns of one spine row from its pair's prefix arrays and :func:`own_positions`.
 
     History is every edition numbered below the window's number (tickets distinct over
     all of them together); the last edition is the one with the window's number.
     """
-    k = F.size(F.filter(F.col("ed_ns"), lambda x: x < window_number))
+    k, pos = F.col("ed_below"), F.col("ed_at")
     cum = F.when(k > 0, F.element_at(F.col("ed_cum"), k))
-    pos = F.array_position(F.col("ed_ns"), window_number).cast("int")
     last = F.when(pos > 0, F.element_at(F.col("ed_last"), pos))
     last_pre = F.coalesce(last["pre"], _zero())
     last_closing = F.coalesce(last["closing"], _zero())

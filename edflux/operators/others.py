@@ -107,14 +107,32 @@ def other_record_json(tp2: Column, ns2: Column, cep2: Column, closing: Column, o
     )
 
 
-def other_columns(od: Column, window_number: Column) -> dict[str, Column]:
-    """Other-product columns of one spine row (``window_number`` is ``ventana_numero``).
+def run_index(od: Column) -> dict[str, Column]:
+    """Per pair, once: the windows in ``od`` (sorted by window) and where the run of each begins.
 
-    ``od`` is sorted by (window, type, number), so the window's entries come out in the
-    list order; their JSON records were written once per pair and are only joined here.
-    ``otros_detail`` is the same list typed, for consumers that read fields (the flow).
+    ``od_first`` has one entry more, behind the last run.
+    """
+    w = od["w"]
+    return {
+        "od_w": F.array_distinct(w),
+        "od_first": F.array_append(F.transform(F.array_distinct(w), lambda x: F.array_position(w, x).cast("int")), F.size(od) + 1),
+    }
+
+
+def window_run(window_number: Column) -> dict[str, Column]:
+    """``mine``: the entries of a window (``ventana_numero``), a slice of the pair's ``od``."""
+    at = F.array_position(F.col("od_w"), window_number).cast("int")
+    first = F.get(F.col("od_first"), at - 1)
+    return {"mine": F.when(at > 0, F.slice(F.col("od"), first, F.get(F.col("od_first"), at) - first)).otherwise(F.slice(F.col("od"), 1, 0))}
+
+
+def other_columns(mine: Column) -> dict[str, Column]:
+    """Other-product columns of one spine row from its :func:`window_run`.
+
+    The entries come out in the list order (type, number); their JSON records were written once
+    per pair and are only joined here. ``otros_detail`` is the same list typed, for
+    consumers that read fields (the flow).
     """
-    mine = F.filter(F.coalesce(od, F.array()), lambda x: x["w"] == window_number)
     closing = F.aggregate(mine, _zero(), lambda acc, x: acc + x["en_cierre"])
     outside = F.aggregate(mine, _zero(), lambda acc, x: acc + x["fuera_cierre"])
     detail = F.transform(
@@ -131,11 +149,7 @@ def other_columns(od: Column, window_number: Column) -> dict[str, Column]:
     return {
         "otros_boletos_en_semana_cierre_del_producto": closing,
         "otros_boletos_fuera_semana_cierre_del_producto": outside,
-        "otros_tipos_producto_distintos": F.size(
-            F.array_distinct(F.transform(mine, lambda x: x["tp2"]))
-        ).cast("bigint"),
-        "otros_detalle_en_ventana_ultima_json": F.concat(
-            F.lit("["), F.array_join(F.transform(mine, lambda x: x["json"]), ","), F.lit("]")
-        ),
+        "otros_tipos_producto_distintos": F.size(F.array_distinct(mine["tp2"])).cast("bigint"),
+        "otros_detalle_en_ventana_ultima_json": F.concat(F.lit("["), F.array_join(mine["json"], ","), F.lit("]")),
         "otros_detail": detail,
     }

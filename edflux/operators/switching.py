@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from edflux.constants import FLAG_CLOSING, FLAG_PRE
 from edflux.functions.tickets import ticket_count
 from edflux.operators.history import pair_prefix
-from edflux.operators.others import WindowSpan, bucket_of, other_record_json
+from edflux.operators.others import WindowSpan, bucket_of, other_record_json, run_index
 
 PAIR = ["clave_persona", "objetivo_tipo"]
 EDITION = PAIR + ["objetivo_ventana", "tipo_producto", "numero_sorteo"]
@@ -237,7 +237,8 @@ def pair_level(editions: DataFrame) -> DataFrame:
     """Per (customer, type) *that the customer bought*: own prefix arrays and ``od`` (others).
 
     The own editions are collected sorted by number and turned into the arrays of
-    ``history.pair_prefix`` once per pair, before the rows are multiplied by windows.
+    ``history.pair_prefix`` once per pair, before the rows are multiplied by windows; the
+    others into the runs of ``others.run_index``.
     """
     own = F.col("objetivo_ventana").isNull()
     ed = F.struct(
@@ -273,5 +274,5 @@ def pair_level(editions: DataFrame) -> DataFrame:
         .where(F.size("ed") > 0)
         .withColumnRenamed("objetivo_tipo", "tipo_producto")
     )
-    prefix = pair_prefix(F.col("ed"), F.col("tipo_producto"))
-    return pairs.select("clave_persona", "tipo_producto", *[c.alias(k) for k, c in prefix.items()], "od")
+    arrays = pair_prefix(F.col("ed"), F.col("tipo_producto")) | run_index(F.col("od"))
+    return pairs.select("clave_persona", "tipo_producto", *[c.alias(k) for k, c in arrays.items()], "od")

@@ -137,9 +137,8 @@ def q_window_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _own_rows(a: SwitchingAnalysis) -> DataFrame:
     """Own measures through the chain restricted to the own role (no lookup join)."""
     core = SwitchingCore(a.flagged, a.windows, a.closing_days, roles=OWN_ONLY)
-    spine = core.with_windows(core.pairs)
-    own = history.own_columns(F.col("numero_sorteo_ultima"))
-    return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in own.items()])
+    own = history.own_columns()
+    return core.located.select(*SPINE_KEYS, *[c.alias(k) for k, c in own.items()])
 
 
 def q_own_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,11 +154,10 @@ def q_history_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_other_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Other-product measures only, for every spine row (zero when nothing was bought)."""
     core = _analysis(spark, sf_dir).core
-    spine = core.with_windows(core.pairs)
-    oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
+    oth = others.other_columns(F.col("mine"))
     oth.pop("otros_detail")
     oth.pop("otros_detalle_en_ventana_ultima_json")
-    return spine.select(*SPINE_KEYS, *[c.alias(k) for k, c in oth.items()])
+    return core.located.select(*SPINE_KEYS, *[c.alias(k) for k, c in oth.items()])
 
 
 def q_other_detail(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,13 +115,18 @@ class SwitchingCore:
         """Per (customer, type) with purchases: own prefix arrays and others array ``od``."""
         return reliable_checkpoint(switching.pair_level(self.editions), self.checkpoint)
 
+    @cached_property
+    def located(self) -> DataFrame:
+        """Pairs with windows, and where each window stands in the pair's arrays (found once a row)."""
+        places = history.own_positions(F.col("numero_sorteo_ultima")) | others.window_run(F.col("ventana_numero"))
+        return self.with_windows(self.pairs).withColumns(places)
+
     @cached_property
     def rows(self) -> DataFrame:
         """One row per (pair, window of the pair's type) with typed measures and detail arrays."""
-        spine = self.with_windows(self.pairs)
-        w = F.col("numero_sorteo_ultima")
-        own = history.own_columns(w)
-        oth = others.other_columns(F.col("od"), F.col("ventana_numero"))
+        spine = self.located
+        own = history.own_columns()
+        oth = others.other_columns(F.col("mine"))
         fin = F.col("ultima_fecha_fin")
         measures = spine.select(
             "ventana_numero",
