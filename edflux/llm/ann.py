@@ -1,11 +1,13 @@
 """Nearest neighbours by cosine over robust-pruned directed graphs, one for each shard.
 
-Equal vectors are one node, with the smallest ids that can be among the nearest. Nodes are
-dealt to shards by a hash. In a shard, nodes are inserted in batches: a greedy beam search
+Vectors of one direction (multiples of each other) are one node, with the smallest ids that can
+be among the nearest. Nodes are dealt to shards by a hash. In a shard, nodes are inserted in batches: a greedy beam search
 from the medoid proposes neighbours, and relaxed distance pruning keeps an edge only if no kept
 neighbour is nearer to its end by the factor ``alpha``, so long diverse edges stay. Queries
-run a beam search in every shard; the scores of what they find are then computed from the
-original vectors in double precision, and each query's nearest are taken over all shards.
+run a beam search in every shard; the scores of all they find are then computed from the
+original vectors in double precision, and each query's nearest are taken over all shards. Where
+the whole beam is tied with the last of the nearest, the shard is searched exactly instead, so
+that ties go to the smallest ids. Distances are differences of unit vectors in double precision.
 
 A shard has ``shard_rows`` nodes on average and a task sees ``query_rows`` queries at a time, so
 memory doesn't grow with the table.
@@ -27,12 +29,18 @@ from pyspark.sql import functions as F
 
 from edflux.llm.common import stored
 
+#: Scores this near to each other are ties, as far as a graph of rounded distances can tell.
+TIED = 1e-14
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def _distances(x: np.ndarray, ids: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """1 - cosine between row i of ``q`` and nodes ``ids[i]``; missing nodes (-1) are infinitely far."""
-    d = 1.0 - np.einsum("brd,bd->br", x[ids], q)
+    """Squared distance between row i of ``q`` and nodes ``ids[i]``; missing nodes (-1) are infinitely far.
+
+    Of unit vectors, so twice 1 - cosine, but from differences: near neighbours keep all their digits.
+    """
+    d = x[ids] - q[:, None]
+    d = np.einsum("brd,brd->br", d, d)
     d[ids < 0] = np.inf
     return d
 
@@ -41,9 +49,9 @@ def beam_search(x: np.ndarray, graph: np.ndarray, start: int, q: np.ndarray, bea
     """The ``beam`` nearest nodes that a greedy search reaches, nearest first, and their distances."""
     n_q, n = len(q), len(x)
     ids = np.full((n_q, beam), -1)
-    dist = np.full((n_q, beam), np.inf, np.float32)
+    dist = np.full((n_q, beam), np.inf)
     ids[:, 0] = start
-    dist[:, 0] = 1.0 - q @ x[start]
+    dist[:, 0] = ((q - x[start]) ** 2).sum(axis=1)
     seen = np.zeros((n_q, n), bool)
     seen[:, start] = True
     done = np.zeros((n_q, beam), bool)
@@ -81,8 +89,9 @@ def robust_prune(x: np.ndarray, of: np.ndarray, ids: np.ndarray, degree: int, al
     d = _distances(x, ids, x[of])
     order = np.argsort(d, axis=1, kind="stable")
     ids, d = np.take_along_axis(ids, order, 1), np.take_along_axis(d, order, 1)
-    c = x[ids]
-    between = 1.0 - c @ c.transpose(0, 2, 1)
+    c = x[ids] - x[of][:, None]  # seen from the node, so that what is near keeps its digits
+    length = np.einsum("brd,brd->br", c, c)
+    between = length[:, :, None] + length[:, None] - 2 * (c @ c.transpose(0, 2, 1))
     alive, rows = np.isfinite(d), np.arange(len(of))
     out = np.full((len(of), degree), -1)
     for k in range(degree):
@@ -141,6 +150,13 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda v: v != 0)
 
 
+def _direction(vector: Column) -> Column:
+    """The unit vector, rounded: equal for multiples of one vector (but for a rounding step at the last place)."""
+    scaled = F.transform(vector, lambda x: x / F.array_max(F.transform(vector, F.abs)))
+    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
+    return F.transform(scaled, lambda x: F.round(x / length, 13))
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, shard_rows: int = 8192, query_rows: int = 4096, degree: int = 32, beam: int = 64) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of every row that ``queries`` selects.
 
@@ -149,11 +165,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, shard_rows: int = 8
     rows = vectors.where("vec_id is not null").where(_usable(F.col("embedding").cast("array<double>"))).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), queries.alias("asks")
     )
-    rows = stored(rows.dropDuplicates(["vec_id", "v"]), "vectors")
-    # the k + 1 smallest ids of equal vectors: one may be the query's own
-    by = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    few = rows.select("vec_id", "v").withColumn("n", by).where(F.col("n") <= k + 1)
-    nodes = stored(few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "nodes")
+    rows = stored(rows.dropDuplicates(["vec_id", "v"]).withColumn("way", _direction(F.col("v"))), "vectors")
+    # the k + 1 smallest ids of a direction: one may be the query's own
+    by = F.row_number().over(Window.partitionBy("way").orderBy("vec_id"))
+    few = rows.groupBy("way", "vec_id").agg(F.first("v").alias("v")).withColumn("n", by).where(F.col("n") <= k + 1)
+    few = few.groupBy("way").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.min_by("v", "vec_id").alias("v"))
+    nodes = stored(few, "nodes")
     shards = max(1, math.ceil(nodes.count() / shard_rows))
     asks = rows.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     groups = max(1, math.ceil(asks.count() / query_rows))
@@ -163,7 +180,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, shard_rows: int = 8
         part = part.assign(size=part["v"].map(len))
         for size, own in part.groupby("size"):
             v = np.stack(own["v"].to_list())
-            unit = _unit(v).astype(np.float32)
+            unit = _unit(v)
             graph, start = build(unit, degree, beam)
             ids = np.full((len(own), k + 1), -1, np.int64)
             for i, few_ids in enumerate(own["ids"]):
@@ -174,7 +191,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, shard_rows: int = 8
         return pd.DataFrame(out, columns=["shard", "length", "start", "v", "graph", "ids", "members"])
 
     graphs = stored(
-        nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+        nodes.withColumn("shard", F.pmod(F.xxhash64("way"), F.lit(shards)).cast("int"))
         .groupBy("shard")
         .applyInPandas(index, "shard int, length int, start int, v binary, graph binary, ids binary, members binary"),
         "graphs",
@@ -191,14 +208,18 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, shard_rows: int = 8
             edges = np.frombuffer(g.graph, np.int32).reshape(len(v), -1)
             ids = np.frombuffer(g.ids, np.int64).reshape(len(v), -1)
             count = np.frombuffer(g.members, np.int32)
-            unit = _unit(v).astype(np.float32)
+            unit = _unit(v)
             for lo in range(0, len(own), 512):
                 part = own.iloc[lo : lo + 512]
                 q = np.stack(part["q"].to_list())
-                found, _dist = beam_search(unit, edges, g.start, _unit(q).astype(np.float32), max(beam, k + 1))
+                found, _dist = beam_search(unit, edges, g.start, _unit(q), max(beam, k + 1))
                 for query, one, hits in zip(part["query_id"], q, found, strict=True):
-                    hits = hits[hits >= 0][: 4 * (k + 1)]
+                    hits = hits[hits >= 0]
                     score = _cosine(v[hits], one)
+                    if len(hits) > k and np.partition(score, -k - 1)[-k - 1] - score.min() <= TIED:
+                        score = _cosine(v, one)  # more ties than the beam holds: all of the shard is looked at
+                        hits = np.lexsort((ids[:, 0], -score))[: k + 1]
+                        score = score[hits]
                     best = [(-s, i) for s, h in zip(score, hits, strict=True) for i in ids[h, : count[h]] if i != query]
                     out += [(query, i, -s) for s, i in sorted(best)[:k]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from edflux.llm import decontaminate as leaks
-from edflux.llm.ann import nearest
+from edflux.llm.ann import _cosine, nearest
 from edflux.llm.components import components
 from edflux.llm.simhash import fingerprint, one_of_each, postings, simhash_dedup
 from pyspark.sql import functions as F
@@ -161,3 +161,29 @@ def test_nearest_of_few(spark):
     rows = nearest(df, F.col("vec_id") % 2 == 0).collect()
     assert [(r.query_id, r["rank"], r.vec_id) for r in rows] == [(0, 1, 1)]
     assert nearest(df.limit(0), F.col("vec_id") % 2 == 0).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["random", "cluster", "ties", "multiples"])
+def test_recall_with_a_third_of_special_vectors(spark, kind):
+    """1e-5 and 1e-9 apart (the latter tie in double precision), and power-of-two multiples."""
+    rng = np.random.default_rng(11)
+    n, third = 3000, 1000
+    v = rng.normal(size=(n, 64))
+    if kind in ("cluster", "ties"):
+        v[:third] = v[0] / np.linalg.norm(v[0]) + rng.normal(size=(third, 64)) * (1e-5 if kind == "cluster" else 1e-9)
+    elif kind == "multiples":
+        v[:third] = v[0] * 2.0 ** rng.integers(-8, 8, third)[:, None]
+    ids = rng.permutation(n)
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest(df, F.col("vec_id") % 50 == 0, k=5, shard_rows=1500).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    held = {"inside": [], "outside": []}
+    for at, (i, q) in enumerate(zip(ids, v, strict=True)):
+        if i % 50 == 0:
+            score = _cosine(v, q)
+            want = [int(ids[j]) for j in np.lexsort((ids, -score)) if j != at][:5]
+            own = [x for _, x in sorted(got[int(i)])]
+            assert len(own) == 5
+            held["inside" if at < third else "outside"].append(len(set(own) & set(want)) / 5)
+    assert all(np.mean(x) >= 0.9 for x in held.values()), {k: np.mean(x) for k, x in held.items()}
