@@ -1,10 +1,12 @@
 """Mix sources to target weights by hash thresholds, without sorting documents.
 
-Every document has a hash. For each source the words are summed by the leading bits of the
-hash; the prefix sums of this histogram show the bucket in which the source's budget ends.
-Only that bucket is split by its next bits, and so on, until all 60 bits are used. What lies
-below the threshold is taken. Targets above a source's size take every document once (or
-twice) and the threshold applies to the rest.
+Every document has a hash of its id. For each source the words are summed by the leading bits of
+the hash; the prefix sums of this histogram show the bucket in which the source's budget ends.
+Only that bucket is split by its next bits, and so on, until all 60 bits are used. Documents of
+the boundary hash (equal ids, or none) are split in the same way by a hash of their text, and
+those with an equal text by one of their row's number. What lies below the threshold is taken.
+Targets above a source's size take every document once (or twice) and the threshold applies
+to the rest.
 
 Targets share ``share`` times all words by weight; a source never gets more than ``most``
 times its own size, and what it leaves is shared by the others (water filling: one level
@@ -12,8 +14,9 @@ that each uncapped source gets times its weight, found from prefix sums over the
 
 The histograms have at most 2**``bits`` rows a source, the source table one row a source.
 
-Cases: a null text has size 0; a null source is a source of its own, ordered last; rows of a source
-with equal ids (or none) have equal hashes and are taken together or not at all; sources
+Cases: a null text has size 0; a null source is a source of its own, ordered last; rows with equal
+ids (or none) are told apart by their texts, and equal texts by row, so that each source still
+misses its target by half a row at most (which of equal rows are taken may differ between reruns); sources
 without words have target 0; an empty table gives no rows; other columns are kept.
 """
 
@@ -32,9 +35,9 @@ def size_of(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(SPACE)).cast("long")
 
 
-def hash_of(doc_id: Column) -> Column:
-    """60 bits of the MD5 of the id's text: the order in which documents are taken."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+def hash_of(value: Column) -> Column:
+    """60 bits of the MD5 of a value's text (null: of the empty text)."""
+    return F.conv(F.substring(F.md5(F.coalesce(value.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -64,45 +67,51 @@ def _budget(sized: DataFrame, weights, share, most) -> DataFrame:
     return table.withColumn("copies", copies).withColumn("open", F.col("target") - F.col("copies") * F.col("source_size"))
 
 
-def _refine(sized: DataFrame, state: DataFrame, at: int, bits: int) -> DataFrame:
-    """Split the boundary bucket (``below`` to the next multiple of 2**at) by its next ``bits`` bits.
+def _edge(rows: DataFrame, state: DataFrame, column: str, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The value of ``column`` (60 bits) at which the words of ``rows``, in its order, exceed each source's ``open``.
 
-    The last split leaves single hashes: the boundary hash is taken if that comes nearer to the target.
+    ``state`` has of (the source) and open. Split by the leading bits first, then only the bucket in which
+    the budget ends. Returns the rows with that value, and of, edge, open (what is left there) and words (of these rows).
+    """
+    inside, edges = rows, state.select("of", F.lit(0).cast("long").alias("edge"), "open")
+    for shift in range(HASH_BITS - bits, -1, -bits):
+        bucket = F.shiftright(F.col(column) - F.col("edge"), shift)
+        joined = inside.join(edges, F.col("source").eqNullSafe(F.col("of")))
+        hist = joined.groupBy("of", "edge", "open", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
+        before = F.sum("words").over(Window.partitionBy("of").orderBy("bucket")) - F.col("words")
+        hist = hist.withColumn("room", F.col("open") - before).where(F.col("words") > F.col("room"))
+        last = F.struct((F.col("edge") + F.shiftleft(F.col("bucket"), shift)).alias("edge"), F.col("room").alias("open"), "words")
+        edges = stored(hist.groupBy("of").agg(F.min_by(last, "bucket").alias("to")).select("of", "to.*"), "edges")
+        near = (F.col(column) >= F.col("edge")) & (F.col(column) < F.col("edge") + F.lit(2**shift))
+        inside = stored(inside.join(edges.drop("words"), F.col("source").eqNullSafe(F.col("of"))).where(near).drop("of", "edge", "open"), "boundary")
+    return inside, edges
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, bits: int = 20) -> DataFrame:
+    """``docs`` with size, source_size, target and taken (words the mix takes of each row).
+
+    ``bits`` (a divisor of 60) bounds a histogram to 2**bits rows a source. The rows are written once, with a
+    number each, to the shared folder.
     """
-    shift = at - bits
-    of, below, rest = F.col("of"), F.col("below"), F.col("open")
-    inside = sized.join(state, F.col("source").eqNullSafe(of)).where((F.col("hash") >= below) & (F.col("hash") < below + F.lit(2**at)))
-    bucket = F.shiftright(F.col("hash") - below, shift)
-    hist = inside.groupBy(of, below, rest, bucket.alias("bucket")).agg(F.sum("size").alias("words"))
-    before = F.sum("words").over(Window.partitionBy("of").orderBy("bucket")) - F.col("words")
-    hist = hist.withColumn("room", rest - before).where(F.col("words") > F.col("room"))
-    nearer = F.lit(0) if shift else (2 * F.col("room") > F.col("words")).cast("long")
-    edge = F.struct((below + F.shiftleft(F.col("bucket"), shift) + nearer).alias("below"), F.col("room").alias("open"))
-    first = hist.groupBy(of.alias("of2")).agg(F.min_by(edge, "bucket").alias("to"))
-    # a source that fits whole keeps a threshold above every hash
-    return state.join(first, of.eqNullSafe(F.col("of2")), "left").select(
-        of, F.coalesce("to.below", below + F.lit(2**at)).alias("below"), F.coalesce("to.open", rest).alias("open")
-    )
-
-
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, bits: int = 12) -> DataFrame:
-    """``docs`` with size, source_size, target and taken (words the mix takes of each row)."""
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    narrow = docs.select(
-        F.col("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text").cast("string")).alias("size"), hash_of(F.col("doc_id")).alias("hash")
-    )
-    sized = stored(narrow, "sizes")
+    rows = stored(docs.select(*(F.col(f"`{c}`") for c in own)).withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    text = F.col("text").cast("string")
+    hashes = {"__id": hash_of(F.col("doc_id")), "__text": hash_of(text), "__number": F.shiftrightunsigned(F.xxhash64("__row"), 64 - HASH_BITS)}
+    source = F.col("source").cast("string")
+    sized = stored(rows.select(source.alias("source"), size_of(text).alias("size"), *(h.alias(c) for c, h in hashes.items())), "sizes")
     budget = stored(_budget(sized, weights, share, most), "budget")
-    state = budget.select(F.col("source").alias("of"), F.lit(0).cast("long").alias("below"), "open")
-    for at in range(HASH_BITS, 0, -bits):
-        state = stored(_refine(sized, state, at, bits), "threshold")
-    limits = budget.join(state, budget["source"].eqNullSafe(state["of"])).select(
-        F.col("of").alias("__of"), "source_size", "target", F.col("copies").alias("__copies"), F.col("below").alias("__below")
-    )
+    state, limits = budget.select(F.col("source").alias("of"), "open"), budget.select(F.col("source").alias("__of"), "source_size", "target", "copies")
+    for column in hashes:
+        sized, state = _edge(sized, state, column, bits)
+        limits = limits.join(state.select(F.col("of"), F.col("edge").alias(f"{column}_edge"), F.col("open").alias("__open"), F.col("words").alias("__words")), F.col("__of").eqNullSafe(F.col("of")), "left").drop("of")
+        if column != "__number":
+            limits = limits.drop("__open", "__words")
     limits = stored(limits, "limits")  # of known size, so a few sources are broadcast and documents stay where they are
-    source, size, own_hash = F.col("source").cast("string"), size_of(F.col("text").cast("string")), hash_of(F.col("doc_id"))
-    base = docs.select(*own, source.alias("__source"), size.alias("size"), own_hash.alias("__hash"))
-    times = F.col("__copies") + (F.col("__hash") < F.col("__below")).cast("long")
+    below = 2 * F.col("__open") > F.col("__words")  # the last row is taken if that comes nearer to the target
+    for column, h in reversed(hashes.items()):
+        below = (h < F.col(f"{column}_edge")) | ((h == F.col(f"{column}_edge")) & below)
+    times = F.col("copies") + F.coalesce(below, F.lit(False)).cast("long")
+    base = rows.withColumns({"__source": source, "size": size_of(text)})
     return base.join(limits, F.col("__source").eqNullSafe(F.col("__of"))).select(
-        *own, "size", "source_size", "target", (F.col("size") * times).alias("taken")
+        *(F.col(f"`{c}`") for c in own), "size", "source_size", "target", (F.col("size") * times).alias("taken")
     )

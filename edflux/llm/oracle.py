@@ -49,7 +49,8 @@ FROM o GROUP BY conv_id
 
 _OP10 = r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h,
+                  ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS h2 FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS size FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
 o AS (SELECT *, coalesce(sum(size) OVER u, 0) AS size_before, coalesce(sum(weight) OVER u, 0) AS weight_before FROM w
@@ -57,12 +58,11 @@ o AS (SELECT *, coalesce(sum(size) OVER u, 0) AS size_before, coalesce(sum(weigh
 l AS (SELECT *, (1.5::DOUBLE * (SELECT sum(size) FROM s) - 2.0::DOUBLE * size_before) / ((SELECT sum(weight) FROM w) - weight_before) AS level FROM o),
 t AS (SELECT source, size, least((SELECT arg_min(level, size / weight) FROM l WHERE level * weight <= 2.0::DOUBLE * size) * weight, 2.0::DOUBLE * size) AS target FROM l),
 c AS (SELECT *, CASE WHEN size > 0 THEN least(floor(target / size), 2)::BIGINT ELSE 0 END AS copies FROM t),
-g AS (SELECT source, h, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) - sum(size) AS before FROM d GROUP BY source, h),
-e AS (SELECT g.source, arg_min(g.h + (2 * (c.target - c.copies * c.size - before) > words)::INT, g.h) AS below
-      FROM g JOIN c ON g.source IS NOT DISTINCT FROM c.source WHERE words > c.target - c.copies * c.size - before GROUP BY g.source)
-SELECT d.doc_id, d.size, c.size AS source_size, coalesce(c.target, 0) AS target,
-       (d.size * (c.copies + (h < coalesce(e.below, 1::BIGINT << 61))::INT))::BIGINT AS taken
-FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source LEFT JOIN e ON d.source IS NOT DISTINCT FROM e.source
+g AS (SELECT d.*, c.size AS source_size, c.target, c.copies, c.target - c.copies * c.size AS open,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY h, h2 ROWS UNBOUNDED PRECEDING) - d.size AS before
+      FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source)
+SELECT doc_id, size, source_size, coalesce(target, 0) AS target,
+       (size * (copies + (before + size <= open OR before <= open AND 2 * (open - before) > size)::INT))::BIGINT AS taken FROM g
 """
 
 

@@ -47,21 +47,28 @@ def test_mix_against_sorted_documents(spark, seed):
     target = plain_targets(sizes)
     assert len(got) == len(rows)
     for s in sizes:
-        own = sorted((r for r in got if r.source == s), key=lambda r: rank(r.doc_id))
+        own = sorted((r for r in got if r.source == s), key=lambda r: (rank(r.doc_id), rank(r.text)))
         assert all(abs(r.target - target[s]) < 1e-6 and r.source_size == sizes[s] for r in own)
         copies = int(target[s] // sizes[s]) if sizes[s] else 0
-        room, extra, at = target[s] - copies * sizes[s], set(), 0
-        hashes = sorted({rank(r.doc_id) for r in own})
-        for h in hashes:
-            n = sum(r.size for r in own if rank(r.doc_id) == h)
-            if at + n > room:
-                if 2 * (room - at) > n:
-                    extra.add(h)
-                break
-            extra.add(h)
-            at += n
-        assert [r.taken for r in own] == [r.size * (copies + (rank(r.doc_id) in extra)) for r in own]
+        room, want = target[s] - copies * sizes[s], []
+        for r in own:  # equal rows: their taken words are compared as a whole
+            extra = r.size <= room or (room >= 0 and 2 * room > r.size)
+            room -= r.size
+            want.append((rank(r.doc_id), rank(r.text), r.size * (copies + extra)))
+        assert sorted((rank(r.doc_id), rank(r.text), r.taken) for r in own) == sorted(want)
         assert all(r.taken <= 2 * r.size for r in own)
+        assert abs(sum(r.taken for r in own) - target[s]) <= max((r.size for r in own), default=0) / 2 + 1e-6
+
+
+@pytest.mark.parametrize("kind", ["equal rows", "one id", "no id"])
+def test_a_source_of_one_id_still_meets_its_target(spark, kind):
+    n = 100
+    texts = [" ".join(["w"] * 10) if kind == "equal rows" else " ".join([f"w{i}"] * 10) for i in range(n)]
+    texts += ["v " * 500 + str(i) for i in range(3)]
+    ids = [None if kind == "no id" else 7] * n + [1, 2, 3]
+    got = [r for r in mix(documents(spark, texts, ids, ["c"] * n + ["a", "b", "b"])).collect() if r.source == "c"]
+    assert len(got) == n and 0 < got[0].target % 1000 and abs(sum(r.taken for r in got) - got[0].target) <= 5
+    assert {r.taken for r in got} <= {0, 10, 20}
 
 
 def test_tables_without_words(spark):
