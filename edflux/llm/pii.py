@@ -345,12 +345,14 @@ def find_personal(docs: DataFrame, context: int | None = None, log2: int = 24, *
 def sanitise(docs: DataFrame, context: int | None = None, **thresholds) -> DataFrame:
     """``docs`` with entities and generalised terms replaced by ``[kind]`` and removed terms left out.
 
-    Rows are joined by doc_id; rows that repeat an id must repeat the text.
+    Rows are written once, with a number each, and masked by their own spans: equal or missing
+    ids don't matter.
     """
-    found = find_personal(docs, context, **thresholds).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    rows = docs.join(found, docs["doc_id"].eqNullSafe(F.col("__id")))
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    found = find_personal(rows.select(F.col("__row").alias("doc_id"), "text"), context, **thresholds)
+    rows = rows.join(found.select(F.col("doc_id").alias("__row"), F.col("spans").alias("__spans")), "__row")
     tag = mask(F.col("text"), F.col("__spans"), lambda s: F.when(s["kind"] == "remove", "").otherwise(F.concat(F.lit("["), s["kind"], F.lit("]"))))
-    return rows.select(*(tag.alias(c) if c == "text" else docs[c] for c in docs.columns))
+    return rows.select(*(tag.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -204,3 +204,10 @@ def test_a_text_full_of_secrets(spark):
     assert len(rows[0].base) == (1201 if rows[0].doc_id != 1 else 0)
     scanned = secrets.scan(documents(spark, [text])).first()
     assert [t.value for t in scanned.tokens] == [f"{KEY}Qq1"]
+
+
+def test_sanitise_rows_that_share_an_id(spark):
+    texts = ["write to jo@x.com now", "call +44 20 7946 0958 or al@y.org", None, "nothing here", "write to jo@x.com now"]
+    docs = documents(spark, texts, [1, 1, None, None, 1]).withColumnRenamed("fp", "spans_")
+    got = sorted(str(r.text) for r in pii.sanitise(docs).collect())
+    assert got == sorted(["write to [email] now"] * 2 + ["call [phone] or [email]", "None", "nothing here"])
