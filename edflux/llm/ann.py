@@ -151,10 +151,15 @@ def _usable(vector: Column) -> Column:
 
 
 def _direction(vector: Column) -> Column:
-    """The unit vector, rounded: equal for multiples of one vector (but for a rounding step at the last place)."""
-    scaled = F.transform(vector, lambda x: x / F.array_max(F.transform(vector, F.abs)))
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(scaled, lambda x: F.round(x / length, 13))
+    """The unit vector in whole 1e-13ths: equal for multiples of one vector (but for a rounding step at the last place)."""
+    scaled = _let(F.array_max(F.transform(vector, F.abs)), lambda most: F.transform(vector, lambda x: x / most))
+    length = lambda u: F.sqrt(F.aggregate(u, F.lit(0.0), lambda a, x: a + x * x))
+    return _let(scaled, lambda u: _let(length(u), lambda n: F.transform(u, lambda x: F.floor(x / n * 1e13 + 0.5))))
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, also where a function of each component needs it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, shard_rows: int = 8192, query_rows: int = 4096, degree: int = 32, beam: int = 64) -> DataFrame:
