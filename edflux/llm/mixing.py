@@ -87,7 +87,7 @@ def _edge(rows: DataFrame, state: DataFrame, column: str, bits: int) -> tuple[Da
     return inside, edges
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, bits: int = 20) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, bits: int = 12) -> DataFrame:
     """``docs`` with size, source_size, target and taken (words the mix takes of each row).
 
     ``bits`` (a divisor of 60) bounds a histogram to 2**bits rows a source. The rows are written once, with a
@@ -101,15 +101,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     sized = stored(rows.select(source.alias("source"), size_of(text).alias("size"), *(h.alias(c) for c, h in hashes.items())), "sizes")
     budget = stored(_budget(sized, weights, share, most), "budget")
     state, limits = budget.select(F.col("source").alias("of"), "open"), budget.select(F.col("source").alias("__of"), "source_size", "target", "copies")
+    used = []
     for column in hashes:
         sized, state = _edge(sized, state, column, bits)
-        limits = limits.join(state.select(F.col("of"), F.col("edge").alias(f"{column}_edge"), F.col("open").alias("__open"), F.col("words").alias("__words")), F.col("__of").eqNullSafe(F.col("of")), "left").drop("of")
-        if column != "__number":
-            limits = limits.drop("__open", "__words")
+        used.append(column)
+        edge = state.select("of", F.col("edge").alias(f"{column}_edge"), F.col("open").alias("__open"), F.col("words").alias("__words"))
+        limits = limits.drop("__open", "__words").join(edge, F.col("__of").eqNullSafe(F.col("of")), "left").drop("of")
+        if sized.groupBy("source").count().where("count > 1").isEmpty():
+            break  # a single row stands at each edge: nothing is left to tell apart
     limits = stored(limits, "limits")  # of known size, so a few sources are broadcast and documents stay where they are
     below = 2 * F.col("__open") > F.col("__words")  # the last row is taken if that comes nearer to the target
-    for column, h in reversed(hashes.items()):
-        below = (h < F.col(f"{column}_edge")) | ((h == F.col(f"{column}_edge")) & below)
+    for column in reversed(used):
+        below = (hashes[column] < F.col(f"{column}_edge")) | ((hashes[column] == F.col(f"{column}_edge")) & below)
     times = F.col("copies") + F.coalesce(below, F.lit(False)).cast("long")
     base = rows.withColumns({"__source": source, "size": size_of(text)})
     return base.join(limits, F.col("__source").eqNullSafe(F.col("__of"))).select(
