@@ -33,7 +33,8 @@ def _read(spark: SparkSession, location: str, fmt: str, options=None) -> DataFra
         # Spark split large files that have none.
         own = {"header": True, "mode": "FAILFAST", "multiLine": True, **CSV_QUOTING, **(options or {})}
         raw = spark.read.options(**own).csv(location)
-        return raw.select(*(token_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns))
+        text = {f.name for f in raw.schema if isinstance(f.dataType, T.StringType)}  # a partition's column is typed
+        return raw.select(*(token_to_null(F.col(f"`{c}`")).alias(c) if c in text else F.col(f"`{c}`") for c in raw.columns))
     if fmt == "table":
         return spark.table(location)
     raise ValueError(f"unknown format {fmt!r}; expected one of {FORMATS}")

@@ -133,12 +133,13 @@ def test_recent_keys_drop_row_groups_of_an_unpartitioned_table(spark, scratch_di
     facts = fixture_purchases(spark, SF).repartition(1).sortWithinPartitions("clave_edicion_producto")
     facts.write.option("parquet.block.size", 4096).option("parquet.page.row.count.limit", 200).parquet(path)
     a = SwitchingAnalysis(read_purchases(spark, path), fixture_editions(spark, SF), FIXTURE_AS_OF)
-    want = {r.clave_detalle_compra for r in fixture_purchases(spark, SF).join(a.recent.select("clave_edicion_producto"), "clave_edicion_producto").collect()}
+    recent = a.recent.select("clave_edicion_producto")
+    want = sorted(r.clave_detalle_compra for r in fixture_purchases(spark, SF).join(recent, "clave_edicion_producto").collect())
     df = purchases_recent(a.purchases, a.recent)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(clave_edicion_producto" in text.split("PushedFilters: ")[1]
     assert "GreaterThanOrEqual(clave_edicion_producto" in a.flagged._jdf.queryExecution().executedPlan().toString()
-    assert {r.clave_detalle_compra for r in df.collect()} == want
+    assert sorted(r.clave_detalle_compra for r in df.collect()) == want
     # without the ranges every row leaves the scan; with them only row groups that overlap
     ranges = pruning.key_ranges(a.recent, "clave_edicion_producto")
     assert ranges.exact and 1 < len(ranges.ranges) <= pruning.MAX_RANGES
@@ -147,7 +148,7 @@ def test_recent_keys_drop_row_groups_of_an_unpartitioned_table(spark, scratch_di
     plan = scan._jdf.queryExecution().executedPlan()
     leaf = plan.collectLeaves().head()
     read = leaf.metrics().apply("numOutputRows").value()
-    assert len(kept) == len(want) <= read < facts.count()
+    assert len(want) <= len(kept) <= read < facts.count()
 
 
 def test_pruning_beyond_the_key_bound_gives_the_same_rows(spark, monkeypatch):
