@@ -68,9 +68,10 @@ def read_rollup(
     """A stored rollup (e.g. a dated snapshot) with the 21 typed columns.
 
     CSV dates are ``yyyy-MM-dd`` text: a malformed one fails the read, or becomes null
-    with ``lenient_dates=True``.
+    with ``lenient_dates=True``. ``options={"multiLine": False}`` splits large CSV files, if no
+    column holds a line feed (ours hold none).
     """
-    return typed_rollup(_read(spark, location, fmt, {"multiLine": False, **(options or {})}), lenient_dates)
+    return typed_rollup(_read(spark, location, fmt, options), lenient_dates)
 
 
 def typed_rollup(raw: DataFrame, lenient_dates: bool = False) -> DataFrame:
