@@ -18,6 +18,7 @@ import sys
 
 from edflux.constants import CLOSING_DAYS, LOOKBACK_DAYS, MIN_EDITIONS, WINDOW_DAYS
 from edflux.operators.flow import migration_flow
+from edflux.operators.quality import JobCounters
 from edflux.plans.rollup import SwitchingAnalysis, recurrent, rollup_single_window
 from edflux.session import build_session
 from edflux.sources.io import FORMATS, read_editions, read_purchases, read_rollup
@@ -54,6 +55,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--recurrent-out", help="also write rows with >= --min-editions earlier editions")
     r.add_argument("--recurrent-out-format", default="parquet", choices=FORMATS)
     r.add_argument("--min-editions", type=int, default=MIN_EDITIONS)
+    r.add_argument("--metrics-out", help="also write the quality counters, gathered by the same job (reads all purchases)")
+    r.add_argument("--metrics-out-format", default="parquet", choices=FORMATS)
     r.add_argument("--partition-by", default="", help="comma-separated output partition columns, e.g. tipo_producto")
 
     c = sub.add_parser("recurrent", help="filter a stored rollup")
@@ -93,9 +96,13 @@ def main(argv: list[str] | None = None) -> int:
             args.closing_days,
             args.strict,
             args.checkpoint,
+            counters=JobCounters() if args.metrics_out else None,
         )
         parts = [c for c in args.partition_by.split(",") if c]
         write(a.rollup, args.out, args.out_format, **({"partitionBy": parts} if parts else {}))
+        if args.metrics_out:
+            table = a.counters.table(a.purchases, a.editions, a.recent, a.windows)
+            write(table, args.metrics_out, args.metrics_out_format)
         if args.recurrent_out:
             stored = read_rollup(spark, args.out, args.out_format)
             write(recurrent(stored, args.min_editions), args.recurrent_out, args.recurrent_out_format)

@@ -6,6 +6,7 @@ edition dimension broadcast it only after checking its size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -175,17 +176,24 @@ _EDITION_ATTRS = [
 ]
 
 
-def purchases_enriched(purchases: DataFrame, editions: DataFrame, prune_scan: bool = False) -> DataFrame:
+def purchases_enriched(
+    purchases: DataFrame,
+    editions: DataFrame,
+    prune_scan: bool = False,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Purchases with their edition's attributes; rows without time, type or number drop.
 
     ``editions`` must hold one row per key (see :func:`dedup_editions`); it is
     broadcast after a size check, so the fact side never shuffles here. ``prune_scan``
     says that they are the recent ones, all with an end (see :func:`_recent_side`): their keys
-    then bound the fact scan (see :mod:`edflux.plans.pruning`).
+    then bound the fact scan (see :mod:`edflux.plans.pruning`). ``watch`` is applied to the matched rows
+    before any drop.
     """
     dim = bounded_broadcast((_recent_side(editions) if prune_scan else editions).select(*_EDITION_ATTRS))
     facts = near_keys(purchases, editions, "clave_edicion_producto") if prune_scan else purchases
-    return facts.join(dim, "clave_edicion_producto", "inner").where(
+    matched = facts.join(dim, "clave_edicion_producto", "inner")
+    return (watch(matched) if watch else matched).where(
         F.col("fecha_rotulacion_finalizacion").isNotNull()
         & F.col("tipo_producto").isNotNull()
         & F.col("numero_sorteo").isNotNull()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -60,6 +61,10 @@ def quality_counters(
             F.when(valid & person, F.struct("clave_persona", "tipo_producto"))
         ),
     )
+    return _stack([facts, *_edition_counters(editions, recent, windows)])
+
+
+def _edition_counters(editions: DataFrame, recent: DataFrame, windows: DataFrame) -> list[DataFrame]:
     dims = _metrics(
         editions,
         sorteos=F.count(F.lit(1)),
@@ -68,7 +73,10 @@ def quality_counters(
         sorteos_sin_fecha_celebracion=F.count_if(F.col("fecha_celebracion").isNull()),
         sorteos_clave_duplicada=F.count(F.lit(1)) - F.count_distinct("clave_edicion_producto"),
     )
-    parts = [facts, dims, _metrics(recent, sorteos_recientes=F.count(F.lit(1))), _metrics(windows, ventanas=F.count(F.lit(1)))]
+    return [dims, _metrics(recent, sorteos_recientes=F.count(F.lit(1))), _metrics(windows, ventanas=F.count(F.lit(1)))]
+
+
+def _stack(parts: list[DataFrame]) -> DataFrame:
     out = reduce(DataFrame.unionByName, parts)
     return out.select("metric", F.coalesce(F.col("value"), F.lit(0).cast("bigint")).alias("value"))
 
@@ -96,3 +104,50 @@ def observe_flags(flagged: DataFrame, name: str = "flags") -> tuple[DataFrame, O
         F.count_if(F.col("en_pre_cierre")).alias("en_pre_cierre"),
     )
     return observed, obs
+
+
+class JobCounters:
+    """The purchase counters of :func:`quality_counters`, gathered while the rollup's own job runs.
+
+    Give one to :class:`edflux.plans.rollup.SwitchingAnalysis`, run its rollup once, then ask for
+    :meth:`table`: no further pass over the purchases is made. Counting all purchases means
+    reading all of them, so the run-time pruning of the fact scan is off. Tasks that are run
+    again because an executor was lost count their rows again; ``quality_counters`` is exact then too.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[Observation] = []
+
+    def _watch(self, df: DataFrame, **named: Column) -> DataFrame:
+        self._seen.append(Observation())
+        return df.observe(self._seen[-1], *(c.alias(k) for k, c in named.items()))
+
+    def purchases(self, df: DataFrame) -> DataFrame:
+        rows, without = F.count(F.lit(1)), {"fecha": "fecha_rotulacion_finalizacion", "persona": "clave_persona"}
+        return self._watch(df, compras=rows, **{f"compras_sin_{k}": F.count_if(F.col(c).isNull()) for k, c in without.items()})
+
+    def matched(self, df: DataFrame) -> DataFrame:
+        return self._watch(df, compras_recientes=F.count(F.lit(1)))
+
+    def flagged(self, df: DataFrame) -> DataFrame:
+        flags = {c: F.count_if(F.col(c)) for c in ("en_semana_cierre", "en_pre_cierre")}
+        return self._watch(df, compras_validas=F.count(F.lit(1)), **flags)
+
+    def pairs(self, df: DataFrame) -> DataFrame:
+        return self._watch(df, grupos_persona_producto=F.count_if(F.col("clave_persona").isNotNull()))
+
+    def table(self, purchases: DataFrame, editions: DataFrame, recent: DataFrame, windows: DataFrame) -> DataFrame:
+        """(metric, value) rows, as :func:`quality_counters`, after the job has run.
+
+        Where the optimiser left out a counted step (no recent edition: no purchase is read), the
+        counters come from their own pass.
+        """
+        try:
+            got = [o.get for o in self._seen]
+        except Py4JJavaError:  # pyspark cannot turn the metrics of a step that was left out into a row
+            got = []
+        if len(got) < 4 or not all(got):
+            return quality_counters(purchases, editions, recent, windows)
+        rows = [(k, int(v)) for part in got for k, v in part.items()]
+        facts = purchases.sparkSession.createDataFrame(rows, "metric string, value bigint")
+        return _stack([facts, *_edition_counters(editions, recent, windows)])

@@ -29,6 +29,7 @@ from edflux.operators.prepare import (
     purchases_enriched,
     purchases_flagged,
 )
+from edflux.operators.quality import JobCounters
 from edflux.operators.windows import edition_windows, last_edition, window_spine
 from edflux.plans.broadcast import DEFAULT_MAX_BROADCAST_ROWS
 from edflux.plans.lineage import materialize_small, reliable_checkpoint
@@ -52,6 +53,7 @@ class SwitchingCore:
     max_windows: int = DEFAULT_MAX_BROADCAST_ROWS
     roles: str = switching.BOTH
     max_bucket_rows: int = others.MAX_BUCKET_ROWS
+    counters: JobCounters | None = None
     _span: others.WindowSpan | None = field(default=None, repr=False)
 
     @property
@@ -113,7 +115,8 @@ class SwitchingCore:
     @cached_property
     def pairs(self) -> DataFrame:
         """Per (customer, type) with purchases: own prefix arrays and others array ``od``."""
-        return reliable_checkpoint(switching.pair_level(self.editions), self.checkpoint)
+        pairs = switching.pair_level(self.editions)
+        return reliable_checkpoint(self.counters.pairs(pairs) if self.counters else pairs, self.checkpoint)
 
     @cached_property
     def located(self) -> DataFrame:
@@ -158,7 +161,10 @@ class SwitchingCore:
 
 @dataclass
 class SwitchingAnalysis:
-    """Multi-window rollup over typed purchases and editions at a fixed reference instant."""
+    """Multi-window rollup over typed purchases and editions at a fixed reference instant.
+
+    ``counters`` collects the quality counters within the job that runs the rollup.
+    """
 
     purchases: DataFrame
     editions: DataFrame
@@ -171,6 +177,7 @@ class SwitchingAnalysis:
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     prune_scan: bool = True
     max_bucket_rows: int = others.MAX_BUCKET_ROWS
+    counters: JobCounters | None = None
 
     def __post_init__(self) -> None:
         self.as_of = normalize_as_of(self.as_of)
@@ -183,11 +190,14 @@ class SwitchingAnalysis:
 
     @cached_property
     def enriched(self) -> DataFrame:
+        if self.counters:
+            return purchases_enriched(self.counters.purchases(self.purchases), self.recent, watch=self.counters.matched)
         return purchases_enriched(self.purchases, self.recent, prune_scan=self.prune_scan)
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return purchases_flagged(self.enriched, self.closing_days)
+        flagged = purchases_flagged(self.enriched, self.closing_days)
+        return self.counters.flagged(flagged) if self.counters else flagged
 
     @cached_property
     def windows(self) -> DataFrame:
@@ -204,6 +214,7 @@ class SwitchingAnalysis:
             self.checkpoint,
             self.max_broadcast_rows,
             max_bucket_rows=self.max_bucket_rows,
+            counters=self.counters,
         )
 
     @property
