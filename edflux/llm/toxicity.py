@@ -1,7 +1,8 @@
 """Toxicity of texts whose words may be disguised: a noisy channel, then a word model.
 
-Channel: writers replace letters by look-alikes (1d1ot), repeat them (idiiiot) and space them
-out (i d i o t). A disguised token is a lattice with one column per observed run of a
+Channel: writers replace letters by look-alikes (1d1ot), repeat them (idiiiot, iiddiioott), space them
+out (i d ! o t), break words (id iot) and put characters without width or pictures between
+letters (these are taken out, or read as blanks). A disguised token is a lattice with one column per observed run of a
 character; its readings cost what the channel asks for the disguise plus the negative
 log-probability under a trigram language model of characters, counted over all documents.
 The Viterbi path is the restored token. Tokens without such signs have one reading and are
@@ -20,8 +21,9 @@ rows are scored alike; an empty table gives no rows; columns named like results
 from __future__ import annotations
 
 import functools
+import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,13 @@ from edflux.llm.text import LOWER, byte_class, flat, word_hashes, word_spans
 
 #: Letters that a character may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
-SWAP, REPEAT, GAP, STAY = 2.0, 1.0, 1.0, 10.0  # costs in nats: a look-alike, a repeated letter, a gap that is one, a sign that is none
+#: Costs in nats: a look-alike, a letter written three times or more, a letter written twice that is one, a gap between
+#: single characters that is one, a gap between longer pieces that is none, a sign that is none.
+SWAP, REPEAT, TWICE, GAP, JOIN, STAY = 2.0, 1.0, 5.0, 2.0, 7.0, 10.0
+#: UTF-8 bytes of characters without width (soft hyphen; U+200B to U+200D; U+2060; U+FE0F; U+FEFF; a third byte of 0 is none).
+UNSEEN = [(0xC2, 0xAD, 0), (0xE2, 0x80, 0x8B), (0xE2, 0x80, 0x8C), (0xE2, 0x80, 0x8D), (0xE2, 0x81, 0xA0), (0xEF, 0xB8, 0x8F), (0xEF, 0xBB, 0xBF)]
+#: First byte, range of the second, and length of characters that are pictures (U+2600 to U+27BF, U+1F000 to U+1FFFF).
+PICTURES = [(0xE2, 0x98, 0x9E, 3), (0xF0, 0x9F, 0x9F, 4)]
 CODES = 28  # 0: no letter, 1 to 26: a to z, 27: bytes of other letters
 
 _CODE = np.zeros(256, np.int64)
@@ -44,6 +52,7 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKALIKES]] = True
 _NOT_TOKEN = ~(_LETTER | _SIGN)
 _NOT_ALNUM = ~(_LETTER | byte_class((48, 57), (128, 255)))
+_NOT_SPACED = _NOT_ALNUM & ~_SIGN
 _NOT_LETTER = ~(_LETTER | byte_class((128, 255)))
 _BLOCK = 4 << 20
 
@@ -80,6 +89,8 @@ def language_model(counts: np.ndarray) -> np.ndarray:
 
 def _columns(token: str) -> list[list[tuple[str, float]]]:
     """Readings and channel costs of each run of one character."""
+    runs = [len(list(own)) for c, own in itertools.groupby(token) if c.isalpha()]
+    twice = REPEAT if 2 * runs.count(2) > len(runs) else TWICE  # a token of doubled letters was written so on purpose
     out, i = [], 0
     while i < len(token):
         j = i
@@ -87,10 +98,11 @@ def _columns(token: str) -> list[list[tuple[str, float]]]:
             j += 1
         n, c, i = j - i, token[i], j
         if c == " ":
-            out.append([("", 0.0), (" ", GAP)])
+            alone = token[i - 3 : i - 2] in ("", " ") and token[j + 1 : j + 2] in ("", " ")  # single characters on both sides
+            out.append([("", 0.0), (" ", GAP)] if alone else [("", JOIN), (" ", 0.0)])
             continue
         letters = [(c, 0.0)] if c.isalpha() else [(x, SWAP) for x in LOOKALIKES.get(c, "")]
-        times = [(n, 0.0)] if n < 3 else [(1, REPEAT), (2, REPEAT)]
+        times = [(1, 0.0)] if n == 1 else [(1, twice), (2, 0.0)] if n == 2 else [(1, REPEAT), (2, REPEAT)]
         column = [(x * k, cost * min(n, 2) + extra) for x, cost in letters for k, extra in times]
         out.append(column if c.isalpha() else [*column, (c * n, STAY * min(n, 2))])
     return out
@@ -122,61 +134,118 @@ def restore(token: str, model: np.ndarray) -> str:
     return "".join(reversed(said)).rstrip(" ")
 
 
-def suspects(buf: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
-    """(row, start, end) of tokens with look-alikes beside letters or a letter thrice, and of spaced-out letters."""
-    found: list[tuple[int, int, int]] = []
+def visible(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased bytes and row offsets without zero-width characters; pictures are blanks."""
+    buf, off = flat(column)
+    buf = LOWER[buf]
+    if len(buf) < 3 or not (buf >= 0xC2).any():
+        return buf, off
+    last = np.concatenate((buf[1:], [0])), np.concatenate((buf[2:], [0, 0]))
+    gone = np.zeros(len(buf) + 3, bool)
+    for first, second, third in UNSEEN:
+        at = np.flatnonzero((buf == first) & (last[0] == second) & ((last[1] == third) | (third == 0)))
+        for k in range(3 if third else 2):
+            gone[at + k] = True
+    for lead, low, high, size in PICTURES:
+        at = np.flatnonzero((buf == lead) & (last[0] >= low) & (last[0] <= high))
+        for k in range(size):
+            buf[np.minimum(at + k, len(buf) - 1)] = 32
+    gone = gone[: len(buf)]
+    return (buf[~gone], off - np.concatenate(([0], np.cumsum(gone)))[off]) if gone.any() else (buf, off)
+
+
+def suspects(buf: np.ndarray, off: np.ndarray, model: np.ndarray) -> list[tuple[int, int, int]]:
+    """(row, start, end) of what may be disguised, apart from each other and in order.
+
+    That is tokens with look-alikes beside letters or with a letter twice in a row; three or more single
+    characters (signs that stand alone among them) in a row; and neighbouring words where the language
+    model takes the gap between them for none.
+    """
     n = len(buf)
     if n < 3:
-        return found
+        return []
     letter, sign = _LETTER[buf], _SIGN[buf]
     odd = np.zeros(n, bool)
-    odd[:-1] = (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
-    odd[:-2] |= letter[:-2] & (buf[:-2] == buf[1:-1]) & (buf[:-2] == buf[2:])
+    odd[:-1] = (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:]) | (letter[:-1] & (buf[:-1] == buf[1:]))
+    starts, ends, row = word_spans(buf, off, _NOT_TOKEN)
     at = np.flatnonzero(odd)
-    if len(at):
-        starts, ends, row = word_spans(buf, off, _NOT_TOKEN)
-        of = np.searchsorted(starts, at, side="right") - 1
-        of = np.unique(of[(of >= 0) & (at < ends[of]) & (at + 1 < ends[of])])
-        found += zip(row[of].tolist(), starts[of].tolist(), ends[of].tolist(), strict=True)
-    starts, ends, row = word_spans(buf, off, _NOT_ALNUM)
-    single = ends - starts == 1
-    if single.any():
-        near = np.zeros(len(starts) + 1, bool)  # word i follows word i - 1 closely, both single
-        near[1:-1] = single[1:] & single[:-1] & (starts[1:] - ends[:-1] <= 2) & (row[1:] == row[:-1])
-        edge = np.diff(near.astype(np.int8))
-        for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
-            if b - a >= 3:
-                found.append((int(row[a]), int(starts[a]), int(ends[b])))
-    return found
-
-
-def restored(column: pa.Array, model: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    of = np.searchsorted(starts, at, side="right") - 1
+    of = np.unique(of[(of >= 0) & (at + 1 < ends[of])]) if len(at) and len(starts) else np.empty(0, np.int64)
+    spans = [(row[of], starts[of], ends[of])]
+    plain = ~_NOT_ALNUM[buf]
+    beside = np.zeros(n, bool)
+    beside[1:] |= plain[:-1] | sign[:-1]
+    beside[:-1] |= plain[1:] | sign[1:]
+    chars = np.where(sign & ~plain & beside, np.uint8(32), buf)  # signs stay where they stand alone
+    starts, ends, row = word_spans(chars, off, _NOT_SPACED)
+    if len(starts) > 1:
+        single, near = ends - starts == 1, row[1:] == row[:-1]
+        for size, linked in ((2, near & single[1:] & single[:-1]), (1, near & _unbroken(buf, starts, ends, model))):
+            edge = np.diff(np.concatenate(([False], linked, [False])).astype(np.int8))
+            first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            first, last = first[last - first >= size], last[last - first >= size]
+            spans.append((row[first], starts[first], ends[last]))
+    row, start, end = (np.concatenate(x) for x in zip(*spans, strict=True))
+    if not len(row):
+        return []
+    order = np.argsort(start, kind="stable")
+    row, start, end = row[order], start[order], np.maximum.accumulate(end[order])
+    head = np.concatenate(([True], start[1:] >= end[:-1]))  # overlapping ones are read as one
+    tail = np.concatenate((head[1:], [True]))
+    return list(zip(row[head].tolist(), start[head].tolist(), end[tail].tolist(), strict=True))
+
+
+def _unbroken(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Whether words of letters read better joined to the next one, by the trigrams across the gap."""
+    code = _CODE[buf]
+    whole = np.concatenate(([0], np.cumsum(~_LETTER[buf])))
+    whole = whole[starts] == whole[ends]
+    size = ends - starts
+    gap = starts[1:] - ends[:-1]
+    blanks = np.concatenate(([0], np.cumsum(buf == 32)))
+    close = (gap == 1) | (blanks[starts[1:]] - blanks[ends[:-1]] == gap)
+    close &= whole[1:] & whole[:-1] & ((size[1:] > 1) | (size[:-1] > 1))
+    i = np.flatnonzero(close)
+    e, s = ends[i] - 1, starts[i + 1]
+    x, y = np.where(size[i] > 1, code[e - 1], 0), code[e]
+    z, t = code[s], np.where(size[i + 1] > 1, code[np.minimum(s + 1, len(buf) - 1)], 0)
+    close[i] = model[x, y, z] + model[y, z, t] + JOIN < model[x, y, 0] + model[y, 0, z] + model[0, z, t]
+    return close
+
+
+def reader(model: np.ndarray) -> Callable[[bytes], bytes | None]:
+    """Reads the bytes of a suspect: the restored ones, or None if they say what they show. Keeps what it has read."""
+
+    @functools.lru_cache(1 << 16)
+    def read(old: bytes) -> bytes | None:
+        shown = "".join(c if c.isalnum() or c in LOOKALIKES else " " for c in old.decode("ascii", "ignore"))
+        token = " ".join(shown.split()).lstrip("!|+ ").rstrip("!$|+ ")
+        if not any(c.isalpha() for c in token):
+            return None
+        new = restore(token, model)
+        return None if new == token else new.encode()
+
+    return read
+
+
+def restored(column: pa.Array, model: np.ndarray, read: Callable[[bytes], bytes | None] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased texts with restored tokens: bytes, offsets, and restored tokens by row."""
-    buf, off = flat(column)
-    buf = LOWER[buf]
-    changes: dict[int, list[tuple[int, int, bytes]]] = {}
-    read = functools.lru_cache(1 << 14)(lambda t: restore(t, model))
-    for row, a, b in suspects(buf, off):
-        old = buf[a:b].tobytes()
-        token = "".join(c if c.isalnum() or c in LOOKALIKES else " " for c in old.decode("ascii", "ignore"))
-        token = " ".join(token.split()).strip("!$|+ ")
-        if any(c.isalpha() for c in token):
-            new = read(token).encode()
-            if new != old.strip(b"!$|+"):
-                changes.setdefault(row, []).append((a, b, b" " + new + b" "))
-    n = np.zeros(len(off) - 1, np.int64)
-    if not changes:
-        return buf, off, n
-    pieces, at, grown = [], 0, np.zeros(len(off) - 1, np.int64)
-    for row in sorted(changes):
-        for a, b, new in sorted(changes[row]):
-            if a < at:
-                continue
-            pieces += [buf[at:a], np.frombuffer(new, np.uint8)]
-            grown[row] += len(new) - (b - a)
-            n[row] += 1
+    buf, off = visible(column)
+    read = read or reader(model)
+    pieces, at, rows, grown = [], 0, [], []
+    for row, a, b in suspects(buf, off, model):
+        new = read(buf[a:b].tobytes())
+        if new is not None:
+            pieces += [buf[at:a], np.frombuffer(b" " + new + b" ", np.uint8)]
+            rows.append(row)
+            grown.append(len(new) + 2 - (b - a))
             at = b
-    return np.concatenate([*pieces, buf[at:]]), off + np.concatenate(([0], np.cumsum(grown))), n
+    n = np.bincount(np.array(rows, np.int64), minlength=len(off) - 1)
+    if not rows:
+        return buf, off, n
+    longer = np.zeros(len(off) - 1, np.int64)
+    np.add.at(longer, rows, grown)
+    return np.concatenate([*pieces, buf[at:]]), off + np.concatenate(([0], np.cumsum(longer))), n
 
 
 def _words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,9 +270,10 @@ def train(docs: DataFrame, labels: DataFrame, model: np.ndarray, sample_rows: in
     rows = rows.groupBy("__id", "toxic").agg(one).select("toxic", "one.text")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = reader(model)
         for batch in batches:
             for part in slices(iter([batch]), "text", _BLOCK):
-                buf, off, _ = restored(part.column("text"), model)
+                buf, off, _ = restored(part.column("text"), model, read)
                 row, own = _words(buf, off)
                 pairs = np.unique(np.stack((row, own), axis=1), axis=0) if len(row) else np.empty((0, 2), np.int64)
                 edges = np.searchsorted(pairs[:, 0], np.arange(part.num_rows + 1))
@@ -255,9 +325,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, feat
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, vocabulary, weights, intercept = known.value
+        read = reader(model)
         for batch in batches:
             for part in slices(iter([batch]), "__text", _BLOCK):
-                buf, off, n = restored(part.column("__text"), model)
+                buf, off, n = restored(part.column("__text"), model, read)
                 row, words = _words(buf, off)
                 logit = np.full(part.num_rows, intercept)
                 if len(vocabulary):

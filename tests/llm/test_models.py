@@ -1,10 +1,12 @@
 import hashlib
+import itertools
 import math
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -172,6 +174,55 @@ def test_restored_words_and_held_out_accuracy(spark):
     assert disguised_only.predicted == 1 and disguised_only.n_restored == 2
 
 
+def plain_readings(token, model):
+    """The least cost of every text that a token can say, reading by reading."""
+    costs = {}
+    for path in itertools.product(*toxicity._columns(token)):
+        said = "".join(r for r, _ in path) + " "
+        codes = [0, 0, *(int(toxicity._CODE[ord(c)]) for c in said)]
+        cost = sum(c for _, c in path) + sum(model[x] for x in zip(codes, codes[1:], codes[2:], strict=False))
+        costs[said.rstrip()] = min(cost, costs.get(said.rstrip(), np.inf))
+    return costs
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("aabt1!@ 0", min_size=1, max_size=6), st.integers(0, 5))
+def test_restored_tokens_against_all_readings(token, seed):
+    token = " ".join(token.split())
+    model = toxicity.language_model(np.random.default_rng(seed).integers(0, 50, (toxicity.CODES,) * 3).astype(float))
+    costs = plain_readings(token, model)
+    assert np.isclose(costs[toxicity.restore(token, model)], min(costs.values()))
+
+
+DISGUISES = [
+    "1d1ot", "i d ! o t", "i d i o t", "id iot", "iiddiioott", "1d1oott", "i.d.i.o.t!", "i\u200bd\u200bi\u200bo\u200bt", "id\u00adi\u2060ot",
+    "i\U0001f600d\U0001f600i\U0001f600o\U0001f600t", "i  d\n\ni - o t", "IDIOOOOT", "i\u2600\ufe0fd\u2600\ufe0fi\u2600\ufe0fo\u2600\ufe0ft",
+]
+
+
+def test_every_form_of_disguise_reaches_the_decoder(spark):
+    texts, _ = corpus()
+    model = toxicity.language_model(toxicity.character_counts(documents(spark, texts)))
+    rows = [f"the river {w} and road" for w in DISGUISES] + ["the river m 0 r o n and road", "the $cumbag!", *awkward(), None]
+    column = pa.array([t if t is None else t.encode() for t in rows], pa.binary())
+    buf, off, n = toxicity.restored(column, model)
+    said = [bytes(buf[a:b]).decode() for a, b in zip(off, off[1:], strict=False)]
+    assert [t.split() for t in said[: len(DISGUISES)]] == [["the", "river", "idiot", "and", "road"]] * len(DISGUISES)
+    assert said[len(DISGUISES)].split() == ["the", "river", "moron", "and", "road"] and "scumbag" in said[len(DISGUISES) + 1]
+    assert len(said) == len(rows) == len(n) and off[-1] == len(buf) and said[-1] == ""
+    for k, row in enumerate(rows):  # a text is read alike beside others and alone
+        alone = toxicity.restored(column.slice(k, 1), model)
+        assert bytes(alone[0]).decode() == said[k] and alone[2][0] == n[k]
+
+
+def test_clean_words_stay_as_they_are(spark):
+    texts, _ = corpus()
+    model = toxicity.language_model(toxicity.character_counts(documents(spark, texts)))
+    clean = " ".join(WORDS) + ". " + ", ".join(WORDS) + "!"
+    buf, _, n = toxicity.restored(pa.array([clean]), model)
+    assert bytes(buf).decode() == clean and n.tolist() == [0]
+
+
 def test_a_labelled_id_with_many_rows_counts_once(spark):
     texts, toxic = corpus(60)
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
