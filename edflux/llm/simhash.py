@@ -1,13 +1,13 @@
 """SimHash near-duplicates: 64-bit fingerprints of word shingles, linked at a few differing bits.
 
 Fingerprints differing in at most ``bits`` of 64 bits agree in at least 8 - ``bits`` of their
-8 bytes. The inverted index posts every distinct fingerprint under joint values of byte
-positions: the positions are dealt into ``blocks`` blocks, some block then holds at least
-ceil((8 - bits) / blocks) of the shared positions, and the postings are all choices of that
-many positions within a block. Candidates under one posting are tallied (shared positional
-bytes), kept from 8 - ``bits`` upwards, verified by their differing bits, and reported under
-their first common posting only. More bytes in a posting (fewer blocks) mean shorter lists:
-2 blocks give 24-bit postings, 1 block 40-bit ones, for corpora of billions.
+8 bytes. The inverted index posts every distinct fingerprint under the joint values of ``width``
+byte positions, for a fixed choice of position sets (:func:`postings`). Any 8 - ``bits`` positions
+contain a known least number of those sets, so linked fingerprints share at least that many postings:
+the shared postings of every pair are counted, pairs below the guaranteed minimum are dropped,
+the others are verified by their differing bits. By the default sets, two fingerprints that agree in
+three bytes by chance share one posting, and two are asked for. Wider postings have shorter lists:
+3 bytes give 24-bit values, 4 bytes 32-bit ones, for corpora of billions.
 
 Copies share a fingerprint, and only distinct fingerprints are posted, so a group of copies
 is one entry however large it is.
@@ -19,7 +19,6 @@ shingle; repeated rows share a component; a component whose ids are all null is
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edflux.llm.common import stored
+from edflux.llm.common import stored, total
 from edflux.llm.components import components
 
 SEED = 42
 _RUN = 1 << 16
+HOT = 100_000  # at most so many fingerprints have more than this part of all rows
 
 
 def fingerprint(text: str | bytes | None, shingle: int = 3) -> bytes:
@@ -63,69 +63,84 @@ def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("do
     return rows.mapInArrow(run, f"{schema}, {name} long")
 
 
-def postings(bits: int, blocks: int) -> list[tuple[int, ...]]:
-    """Byte positions of the joint postings; any 8 - ``bits`` shared positions contain one."""
-    own = [range(b, 8, blocks) for b in range(blocks)]
-    take = math.ceil((8 - bits) / blocks)
-    return [c for block in own for c in itertools.combinations(block, take)]
+def postings(width: int = 3, splits: int = 2) -> list[tuple[int, ...]]:
+    """Sets of ``width`` byte positions under which fingerprints are posted.
 
+    For 3 positions, each of ``splits`` (1 to 7) deals the eight positions into two blocks of four by
+    the parity of some bits of their numbers, and every three of a block are a set. Any three positions
+    lie in one block only of all seven splits, so no set comes twice. Else all sets of the width.
+    """
+    if width != 3:
+        return list(itertools.combinations(range(8), width))
+    blocks = [[p for p in range(8) if (p & m).bit_count() % 2 == odd] for m in range(1, splits + 1) for odd in (0, 1)]
+    return [c for block in blocks for c in itertools.combinations(block, 3)]
 
-def links(fps: DataFrame, bits: int = 3, blocks: int = 2) -> DataFrame:
-    """Distinct ``fp`` values -> pairs (x, y), x < y, with at most ``bits`` differing bits."""
-    where = postings(bits, blocks)
+
+def least_shared(where: list[tuple[int, ...]], bits: int) -> int:
+    """How many postings fingerprints share at least if they differ in at most ``bits`` bits."""
+    least = min(sum(set(c) <= set(same) for c in where) for same in itertools.combinations(range(8), 8 - bits))
+    if least < 1:
+        raise ValueError(f"fingerprints at {bits} bits may share none of these postings: take narrower ones or more splits")
+    return least
+
+
+def tallied(fps: DataFrame, where: list[tuple[int, ...]]) -> DataFrame:
+    """Pairs (x, y), x < y, of distinct ``fp`` values under a common posting, and how many they ``share``."""
     masks = [sum(0xFF << (56 - 8 * p) for p in c) for c in where]
     masks = [m - 2**64 if m >= 2**63 else m for m in masks]
     post = F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("posting", "value")
     index = fps.select("fp", post)
-    a, b = index.alias("a"), index.alias("b")
-    diff = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    same = [diff.bitwiseAND(F.lit(v if v < 2**63 else v - 2**64)) == 0 for v in (0xFF << (56 - 8 * p) for p in range(8))]
-    tally = sum((s.cast("int") for s in same[1:]), same[0].cast("int"))
-    first = F.lit(len(masks))
-    for i in reversed(range(len(masks))):
-        first = F.when(diff.bitwiseAND(F.lit(masks[i])) == 0, F.lit(i)).otherwise(first)
-    pairs = a.join(
-        b,
-        (F.col("a.posting") == F.col("b.posting"))
-        & (F.col("a.value") == F.col("b.value"))
-        & (F.col("a.fp") < F.col("b.fp"))
-        & (F.bit_count(diff) <= bits)
-        & (tally >= 8 - bits)
-        & (first == F.col("a.posting")),
-    )
-    return pairs.select(F.col("a.fp").alias("x"), F.col("b.fp").alias("y"))
-
-
-def _roots(heads: DataFrame, bits: int, blocks: int) -> DataFrame:
-    """fp, head and root of every row of ``heads``; a node is a fingerprint, ordered by its smallest id (no id is last)."""
+    pairs = index.withColumnRenamed("fp", "x").join(index.withColumnRenamed("fp", "y"), ["posting", "value"]).where("x < y")
+    return pairs.groupBy("x", "y").agg(F.count("*").alias("share"))
+
+
+def links(fps: DataFrame, bits: int = 3, width: int = 3, splits: int = 2) -> DataFrame:
+    """Distinct ``fp`` values -> pairs (x, y), x < y, with at most ``bits`` differing bits."""
+    where = postings(width, splits)
+    likely = tallied(fps, where).where(F.col("share") >= least_shared(where, bits))
+    return likely.where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits).select("x", "y")
+
+
+def _roots(heads: DataFrame, bits: int, width: int) -> DataFrame:
+    """fp, head, n and root of every row of ``heads``; the root is the fingerprint of the smallest id (no id is last)."""
     node = F.struct(F.col("head").isNull().alias("none"), F.coalesce("head", F.lit(0)).alias("head"), "fp")
-    nodes = heads.select("fp", "head", node.alias("own"))
-    near = stored(links(heads.select("fp"), bits, blocks), "near")
-    x, y = nodes.select(F.col("fp").alias("x"), F.col("own").alias("a")), nodes.select(F.col("fp").alias("y"), F.col("own").alias("b"))
-    roots = components(near.join(x, "x").join(y, "y").select("a", "b"))
-    return nodes.join(roots.select(F.col("node.fp").alias("fp"), "root"), "fp", "left").select("fp", "head", F.coalesce("root", "own").alias("root"))
+    near = stored(links(heads.select("fp"), bits, width), "near")
+    linked = components(near.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnsRenamed({"node": "fp", "root": "group"})
+    members = linked.join(heads, "fp")
+    first = members.groupBy("group").agg(F.min(node).alias("root"))
+    roots = members.join(first, "group").select("fp", "root")
+    return heads.join(roots, "fp", "left").select("fp", "head", "n", F.coalesce("root", node).alias("root"))
 
 
 def _heads(marks: DataFrame) -> DataFrame:
-    """Every fingerprint and its smallest id."""
-    return stored(marks.groupBy("fp").agg(F.min("doc_id").cast("long").alias("head")), "heads")
+    """Every fingerprint, its smallest id and its number of rows."""
+    return stored(marks.groupBy("fp").agg(F.min("doc_id").cast("long").alias("head"), F.count("*").alias("n")), "heads")
+
 
+def simhash_dedup(docs: DataFrame, shingle: int = 3, bits: int = 3, width: int = 3) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable), a row per document.
 
-def simhash_dedup(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable), a row per document."""
+    A fingerprint with more than 1/100,000 of all rows meets its root by a broadcast (there are fewer than
+    100,000 of those), the others by a shuffle in which no key has more rows than that.
+    """
     own = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     marks = stored(fingerprints(docs, shingle), "fingerprints")
-    roots = _roots(_heads(marks), bits, blocks).select("fp", F.when(~F.col("root.none"), F.col("root.head")).alias("component_id"))
-    return marks.join(roots, "fp").select("doc_id", own, "component_id")
+    heads = _heads(marks)
+    label = F.when(~F.col("root.none"), F.col("root.head")).alias("component_id")
+    roots = stored(_roots(heads, bits, width).select("fp", "n", label), "roots")
+    hot = F.col("n") * HOT > total(heads, F.col("n"))
+    many, few = roots.where(hot).select("fp", "component_id"), roots.where(~hot).select("fp", "component_id")
+    rest = marks.join(F.broadcast(many.select("fp")), "fp", "left_anti").join(few, "fp")
+    return marks.join(F.broadcast(many), "fp").unionByName(rest).select("doc_id", own, "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3, blocks: int = 2) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3, width: int = 3) -> DataFrame:
     """One row of ``docs`` for each component: that of the smallest id, then of the smallest fingerprint.
 
     Components are of fingerprints: rows that only share an id stay apart. A row without an id
     is kept only if no row of its component has one.
     """
-    roots = _roots(_heads(fingerprints(docs, shingle)), bits, blocks)
+    roots = _roots(_heads(fingerprints(docs, shingle)), bits, width)
     first = stored(roots.where(F.col("fp") == F.col("root.fp")).select(F.col("fp").alias("__fp"), F.col("head").alias("__id")), "first")
     rows = fingerprints(docs, shingle, tuple(docs.columns), "__mark")
     rows = rows.join(first, (rows["__mark"] == first["__fp"]) & rows["doc_id"].eqNullSafe(first["__id"]), "left_semi")

@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import numpy as np
@@ -6,7 +7,7 @@ import pytest
 from edflux.llm import decontaminate as leaks
 from edflux.llm.ann import _cosine, nearest
 from edflux.llm.components import components
-from edflux.llm.simhash import fingerprint, one_of_each, postings, simhash_dedup
+from edflux.llm.simhash import fingerprint, least_shared, links, one_of_each, postings, simhash_dedup, tallied
 from pyspark.sql import functions as F
 from tests.llm.helpers import awkward, documents, words
 
@@ -53,12 +54,39 @@ def test_decontamination_of_empty_tables(spark):
     assert leaks.decontaminate(docs.limit(0), items).collect() == []
 
 
-def test_every_close_pair_shares_a_posting():
-    for blocks in (1, 2, 4):
-        own = postings(3, blocks)
-        for same in range(256):
-            if bin(same).count("1") == 5:
-                assert any(all(same >> p & 1 for p in c) for c in own)
+@pytest.mark.parametrize("width, splits, least", [(3, 1, 1), (3, 2, 2), (3, 7, 10), (2, 1, 10), (4, 1, 5), (5, 1, 1)])
+def test_linked_fingerprints_share_a_least_number_of_postings(width, splits, least):
+    where = postings(width, splits)
+    assert len(where) == len(set(where)) and least_shared(where, 3) == least
+    for same in itertools.combinations(range(8), 5):
+        assert sum(set(c) <= set(same) for c in where) >= least
+    if width == 3:  # three bytes that agree by chance are one posting at most
+        assert max(sum(set(c) <= set(same) for c in where) for same in itertools.combinations(range(8), 3)) == 1
+    with pytest.raises(ValueError):
+        least_shared(where, 8 - width + 1)
+
+
+def test_the_count_filter_removes_candidates_and_no_link(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(-(2**63), 2**63, 40, dtype=np.int64)
+    fps = {int(b) for b in base}
+    for b in base.tolist():  # some of three flipped bits, some that share just three or four bytes
+        for k in range(12):
+            flips = rng.choice(64, 3, replace=False)
+            fps.add(b ^ int(np.bitwise_xor.reduce([np.int64(np.uint64(1) << np.uint64(f)) for f in flips])))
+            kept = sum(0xFF << (8 * int(p)) for p in rng.choice(8, 3 + k % 2, replace=False))
+            other = int(rng.integers(-(2**63), 2**63, dtype=np.int64))
+            mixed = ((b & kept) | (other & ~kept)) & (2**64 - 1)
+            fps.add(mixed - 2**64 if mixed >= 2**63 else mixed)
+    table = spark.createDataFrame([(f,) for f in sorted(fps)], "fp long")
+    where = postings()
+    found = {(r.x, r.y): r.share for r in tallied(table, where).collect()}
+    kept = {k for k, share in found.items() if share >= least_shared(where, 3)}
+    ordered = sorted(fps)
+    near = {(x, y) for i, x in enumerate(ordered) for y in ordered[i + 1 :] if ((x ^ y) & (2**64 - 1)).bit_count() <= 3}
+    assert near <= kept and len(found) - len(kept) > 50 and len(near) >= 400
+    got = {(r.x, r.y) for r in links(table).collect()}
+    assert got == near == {(r.x, r.y) for r in links(table, width=4).collect()}
 
 
 def plain_groups(ids, fps, bits=3):
@@ -76,14 +104,14 @@ def plain_groups(ids, fps, bits=3):
     return [min(ids[j] for j in range(len(ids)) if find(j) == find(i)) for i in range(len(ids))]
 
 
-@pytest.mark.parametrize("blocks", [1, 2, 4])
-def test_simhash_groups_against_all_pairs(spark, blocks):
+@pytest.mark.parametrize("width", [2, 3, 4])
+def test_simhash_groups_against_all_pairs(spark, width):
     rng = np.random.default_rng(3)
     base = " ".join(f"t{rng.integers(500)}" for _ in range(300))
     near = [" ".join(w if rng.random() > 0.01 else "new" for w in base.split()) for _ in range(60)]
     texts = [*awkward(), base, *near]
     ids = [int(i) for i in rng.permutation(len(texts)) + 5]
-    rows = simhash_dedup(documents(spark, texts, ids), blocks=blocks).collect()
+    rows = simhash_dedup(documents(spark, texts, ids), width=width).collect()
     got = {r.doc_id: r for r in rows}
     fps = [int(got[i].fingerprint, 16) for i in ids]
     assert [got[i].component_id for i in ids] == plain_groups(ids, fps)
