@@ -1,14 +1,16 @@
 """Find benchmark passages in documents with one Aho-Corasick automaton.
 
-Items (test questions and answers) are normalised to words joined by single spaces. A window
-is ``window`` consecutive words of an item, or the whole item if it has fewer. The automaton
-holds every distinct window between two spaces; each document is normalised the same way and
-scanned once. Hits are mapped from normalised bytes to words, and words to code points of
-the original text.
-
-The patterns go to every task, so their size is bounded: beyond ``automaton_bytes`` the items
-are dealt to several automata, and the documents run through one after another, row by row,
-without a shuffle.
+Items (test questions and answers) are normalised to words; a window is ``window`` consecutive
+words of an item, or the whole item if it has fewer. The words of all items are numbered, and the
+automaton holds every distinct window as a sequence of numbers: a node for each word of a window,
+not for each of its bytes. Each document is normalised the same way, its words get their numbers
+(0: of no item) and are scanned once. Hits are word places, mapped to code points of the original
+text.
+
+Memory: ``window`` nodes for each word of the items at most, about 60 bytes a node. Beyond
+``most_nodes`` the items are dealt to several automata, and the documents run through one after
+another, row by row, without a shuffle. Items pass through the driver one such part at a time, and
+a worker process builds an automaton once, whatever number of tasks it runs.
 
 Cases: null and empty texts and items have no words; an item without an id counts under the
 id null, written as "null"; equal windows of several items count for each of them; repeated
@@ -30,6 +32,8 @@ from edflux.llm.common import total
 from edflux.llm.text import LOWER, NOT_WORD, word_spans
 
 _TO_NORMAL = bytes(32 if NOT_WORD[LOWER[b]] else int(LOWER[b]) for b in range(256))
+#: A word before A-Z are lower-cased.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RESULT = "n_words long, hit_words binary, items array<string>, spans array<struct<start:int,end:int>>"
 
 
@@ -38,40 +42,33 @@ def normal_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TO_NORMAL).split()
 
 
-def item_windows(words: list[bytes], window: int) -> set[bytes]:
-    if not words:
-        return set()
-    k = min(window, len(words))
-    return {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
-
-
-def build(items: list[tuple[str, str]], window: int) -> ahocorasick.Automaton | None:
+class Windows:
     """Automaton over the windows of (id, text) items; each yields its word count and item ids."""
-    owners: dict[bytes, set[str]] = {}
-    for item, text in items:
-        for w in item_windows(normal_words(text), window):
-            owners.setdefault(w, set()).add(item)
-    if not owners:
-        return None
-    out = ahocorasick.Automaton()
-    for w, ids in owners.items():
-        out.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, frozenset(ids)))
-    out.make_automaton()
-    return out
 
-
-def _scan(automaton, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
-    """Flags of the words inside hits, and the items hit. Each byte is one latin-1 character."""
-    hits = [] if automaton is None else list(automaton.iter(f" {b' '.join(words).decode('latin-1')} "))
-    flags = np.zeros(len(words), bool)
-    items: set[str] = set()
-    if hits:
-        ends = np.cumsum([len(w) + 1 for w in words])  # of the space after each word
-        for at, (k, ids) in hits:
-            last = int(np.searchsorted(ends, at))
-            flags[last - k + 1 : last + 1] = True
-            items |= ids
-    return flags, items
+    def __init__(self, items: list[tuple[str, str]], window: int) -> None:
+        self.number: dict[bytes, int] = {}
+        owners: dict[tuple[int, ...], set[str]] = {}
+        for item, text in items:
+            words = [self.number.setdefault(w, len(self.number) + 1) for w in normal_words(text)]
+            k = min(window, len(words))
+            for i in range(len(words) - k + 1) if k else ():
+                owners.setdefault(tuple(words[i : i + k]), set()).add(item)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for w, ids in owners.items():
+            self.automaton.add_word(w, (len(w), frozenset(ids)))
+        if owners:
+            self.automaton.make_automaton()
+
+    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
+        """Flags of the words inside hits, and the items hit."""
+        flags = np.zeros(len(words), bool)
+        items: set[str] = set()
+        numbers = tuple([self.number.get(w, 0) for w in words])
+        if any(numbers):
+            for last, (k, ids) in self.automaton.iter(numbers):
+                flags[last - k + 1 : last + 1] = True
+                items |= ids
+        return flags, items
 
 
 def _spans(text: str, flags: np.ndarray) -> list[dict[str, int]]:
@@ -85,25 +82,33 @@ def _spans(text: str, flags: np.ndarray) -> list[dict[str, int]]:
     return [{"start": int(point[starts[a]]), "end": int(point[ends[b]])} for a, b in pairs]
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, automaton_bytes: int = 32 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, most_nodes: int = 4 << 20) -> DataFrame:
     """``docs`` with n_words, hit_words (one byte a word), items and spans of hits in code points.
 
-    ``items`` has item_id and text. ``automaton_bytes`` bounds the item text in one automaton (its
-    windows take about ``window`` times that).
+    ``items`` has item_id and text. ``most_nodes`` bounds the nodes of one automaton.
     """
     spark = docs.sparkSession
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").where("text is not null")
-    shards = max(1, math.ceil(total(items, F.octet_length("text")) / automaton_bytes))
+    words = total(items, F.regexp_count("text", F.lit(WORD)))
+    shards = max(1, math.ceil(words * window / most_nodes))
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
     own = [c for c in docs.columns if c not in ("n_words", "hit_words", "items", "spans")]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
     out = docs.select(*(F.col(f"`{c}`") for c in own))
     for k in range(shards):
-        part = [(r.item_id, r.text) for r in items.where(shard == k).toLocalIterator()]  # automaton_bytes, on average
-        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(part), window, own, k > 0), f"{schema}, {RESULT}")
+        part = [(r.item_id, r.text) for r in items.where(shard == k).toLocalIterator()]  # most_nodes, on average
+        held = spark.sparkContext.broadcast({"items": part})
+        out = out.mapInArrow(_scanner(held, window, own, k > 0), f"{schema}, {RESULT}")
     return out
 
 
+def _windows(held, window: int) -> Windows:
+    """Built by the first task of a worker process, which keeps what was broadcast to it."""
+    if "windows" not in held.value:
+        held.value["windows"] = Windows(held.value.pop("items"), window)
+    return held.value["windows"]
+
+
 def _scanner(held, window: int, own: list[str], again: bool):
     """Scan with the automaton of ``held``; ``again``: add to the results of another."""
     types = {
@@ -114,13 +119,13 @@ def _scanner(held, window: int, own: list[str], again: bool):
     }
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = build(held.value, window)
+        windows = _windows(held, window)
         for batch in batches:
             out: dict[str, list] = {k: [] for k in types}
             old = batch.select(["hit_words", "items"]).to_pylist() if again else [None] * batch.num_rows
             for text, prior in zip(batch.column("text").to_pylist(), old, strict=True):
                 words = normal_words(text)
-                flags, ids = _scan(automaton, words)
+                flags, ids = windows.scan(words)
                 if prior:
                     flags |= np.frombuffer(prior["hit_words"], bool)
                     ids |= set(prior["items"])

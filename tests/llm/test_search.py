@@ -32,12 +32,12 @@ def plain_hits(text, items, k):
     return len(w), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("shard", [32 << 20, 60])
-def test_decontamination_against_plain_windows(spark, shard):
+@pytest.mark.parametrize("most_nodes", [4 << 20, 12])
+def test_decontamination_against_plain_windows(spark, most_nodes):
     items = [(1, "The quick, brown fox jumps over"), (2, "fox JUMPS over the lazy dog"), (10, "é ß"), (3, None), (4, "..."), (5, "one")]
     texts = [*awkward(), "x The quick brown FOX jumps over the lazy dog!", "quick brown fox", "the-quick_brown fox jumps", "É ß. é ß"]
     docs = documents(spark, texts)
-    found = leaks.decontaminate(docs, spark.createDataFrame([(i, t, 0) for i, t in items], ITEM), window=4, automaton_bytes=shard)
+    found = leaks.decontaminate(docs, spark.createDataFrame([(i, t, 0) for i, t in items], ITEM), window=4, most_nodes=most_nodes)
     got = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in leaks.digest(found).collect()}
     spans = {r.doc_id: (r["items"], r.spans) for r in found.select("doc_id", "items", "spans").collect()}
     for i, t in enumerate(texts):
@@ -48,6 +48,15 @@ def test_decontamination_against_plain_windows(spark, shard):
     assert text[a:b] == "The quick brown FOX jumps over the lazy dog"
 
 
+def test_windows_have_a_node_for_each_word_at_most():
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 100_000, 80_000))  # more words than 16 bits number
+    held = leaks.Windows([("a", text)], 10)
+    assert held.automaton.get_stats()["nodes_count"] <= 10 * 80_000 + 1
+    flags, ids = held.scan(leaks.normal_words(f"x y {' '.join(text.split()[70_000:70_012])} z"))
+    assert flags.tolist() == [False] * 2 + [True] * 12 + [False] and ids == {"a"}
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, items = documents(spark, ["a b"]), spark.createDataFrame([], ITEM)
     assert leaks.digest(leaks.decontaminate(docs, items)).first().n_hit == 0
