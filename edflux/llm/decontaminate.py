@@ -1,13 +1,14 @@
 """Find benchmark passages in documents with one Aho-Corasick automaton.
 
 Items (test questions and answers) are normalised to words; a window is ``window`` consecutive
-words of an item, or the whole item if it has fewer. The words of all items are numbered, and the
-automaton holds every distinct window as a sequence of numbers: a node for each word of a window,
-not for each of its bytes. Each document is normalised the same way, its words get their numbers
-(0: of no item) and are scanned once. Hits are word places, mapped to code points of the original
-text.
-
-Memory: ``window`` nodes for each word of the items at most, about 60 bytes a node. Beyond
+words of an item, or the whole item if it has fewer. The words of all items are numbered and
+written as two characters each, a leading and a trailing one from alphabets that share none and
+have about as many characters as the root of the number of words. The automaton holds every distinct
+window of such pairs, so it has two nodes a word at most, and no node has many branches. Each document is
+normalised the same way, written in these pairs and scanned once. Hits start at leading characters,
+so they are whole words; their places are mapped to code points of the original text.
+
+Memory: twice ``window`` nodes for each word of the items at most, about 70 bytes a node. Beyond
 ``most_nodes`` the items are dealt to several automata, and the documents run through one after
 another, row by row, without a shuffle. Items pass through the driver one such part at a time, and
 a worker process builds an automaton once, whatever number of tasks it runs.
@@ -46,16 +47,19 @@ class Windows:
     """Automaton over the windows of (id, text) items; each yields its word count and item ids."""
 
     def __init__(self, items: list[tuple[str, str]], window: int) -> None:
-        self.number: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            words = [self.number.setdefault(w, len(self.number) + 1) for w in normal_words(text)]
+        number: dict[bytes, int] = {}
+        texts = [(item, [number.setdefault(w, len(number)) for w in normal_words(text)]) for item, text in items]
+        base = math.isqrt(len(number)) + 1
+        pairs = [chr(base + n // base) + chr(n % base) for n in range(len(number))]
+        self.pair, self.other = dict(zip(number, pairs, strict=True)), chr(2 * base + 1) * 2
+        owners: dict[str, set[str]] = {}
+        for item, words in texts:
             k = min(window, len(words))
             for i in range(len(words) - k + 1) if k else ():
-                owners.setdefault(tuple(words[i : i + k]), set()).add(item)
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+                owners.setdefault("".join([pairs[n] for n in words[i : i + k]]), set()).add(item)
+        self.automaton = ahocorasick.Automaton()
         for w, ids in owners.items():
-            self.automaton.add_word(w, (len(w), frozenset(ids)))
+            self.automaton.add_word(w, (len(w) // 2, frozenset(ids)))
         if owners:
             self.automaton.make_automaton()
 
@@ -63,9 +67,9 @@ class Windows:
         """Flags of the words inside hits, and the items hit."""
         flags = np.zeros(len(words), bool)
         items: set[str] = set()
-        numbers = tuple([self.number.get(w, 0) for w in words])
-        if any(numbers):
-            for last, (k, ids) in self.automaton.iter(numbers):
+        if self.pair:
+            for at, (k, ids) in self.automaton.iter("".join([self.pair.get(w, self.other) for w in words])):
+                last = at // 2
                 flags[last - k + 1 : last + 1] = True
                 items |= ids
         return flags, items
@@ -90,7 +94,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, most_node
     spark = docs.sparkSession
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").where("text is not null")
     words = total(items, F.regexp_count("text", F.lit(WORD)))
-    shards = max(1, math.ceil(words * window / most_nodes))
+    shards = max(1, math.ceil(2 * words * window / most_nodes))
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
     own = [c for c in docs.columns if c not in ("n_words", "hit_words", "items", "spans")]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)

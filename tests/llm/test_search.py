@@ -32,7 +32,7 @@ def plain_hits(text, items, k):
     return len(w), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("most_nodes", [4 << 20, 12])
+@pytest.mark.parametrize("most_nodes", [4 << 20, 24])
 def test_decontamination_against_plain_windows(spark, most_nodes):
     items = [(1, "The quick, brown fox jumps over"), (2, "fox JUMPS over the lazy dog"), (10, "é ß"), (3, None), (4, "..."), (5, "one")]
     texts = [*awkward(), "x The quick brown FOX jumps over the lazy dog!", "quick brown fox", "the-quick_brown fox jumps", "É ß. é ß"]
@@ -48,11 +48,11 @@ def test_decontamination_against_plain_windows(spark, most_nodes):
     assert text[a:b] == "The quick brown FOX jumps over the lazy dog"
 
 
-def test_windows_have_a_node_for_each_word_at_most():
+def test_windows_have_two_nodes_for_each_word_at_most():
     rng = np.random.default_rng(3)
-    text = " ".join(f"w{i}" for i in rng.integers(0, 100_000, 80_000))  # more words than 16 bits number
+    text = " ".join(f"w{i}" for i in rng.integers(0, 100_000, 80_000))
     held = leaks.Windows([("a", text)], 10)
-    assert held.automaton.get_stats()["nodes_count"] <= 10 * 80_000 + 1
+    assert held.automaton.get_stats()["nodes_count"] <= 2 * 10 * 80_000 + 1
     flags, ids = held.scan(leaks.normal_words(f"x y {' '.join(text.split()[70_000:70_012])} z"))
     assert flags.tolist() == [False] * 2 + [True] * 12 + [False] and ids == {"a"}
 
