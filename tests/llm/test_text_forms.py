@@ -112,3 +112,49 @@ def test_pages_table(spark):
     assert out.columns == ["page_id", "html", "text"]
     assert sorted((r.page_id, r.text) for r in out.collect()) == [(1, "a"), (1, "a"), (2, "")]
     assert html_text(df.limit(0)).collect() == []
+
+
+TABLES = [
+    ("<table><tr><td>x<td rowspan=2>R<td>z1<tr><td>y<td>z2</table>", "x  R  z1\ny     z2"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+    ("<table><tbody><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>", "a  b\nc  d"),
+    ("<table><tr><td rowspan=2 colspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>", "ab    c\n      d\ne  f  g"),
+    ("<table><tr><td rowspan=2>a<td><table><tr><td rowspan=2>i<td>j<tr><td>k</table><tr><td>l</table>", "a  i  j k\n   l"),
+    ("<table><tr><td colspan=3>long title<tr><td>a<td>b<td>c</table>", "long title\na  b  c"),
+    (f"<table><tr><td>{'w' * 101}<td>x<tr><td>a<td>b</table>", f"{'w' * 101}  x\na  b"),
+]
+LISTS = [
+    ("<ol start=3><li>a<li value=7>b<li>c</ol>", "3. a\n7. b\n8. c"),
+    ("<ol reversed><li>a<li>b</ol>", "2. a\n1. b"),
+    ("<ol type=a start=26><li>a<li>b</ol>", "z. a\naa. b"),
+    ("<ol type=I start=8><li>a<li>b<li value=1994>c<li value=4000>d<li value=-1>e</ol>", "VIII. a\nIX. b\nMCMXCIV. c\n4000. d\n-1. e"),
+    ("<ul><li>a<ol><li type=i value=4>b</ol><li>c</ul>", "- a\n  iv. b\n- c"),
+]
+FORMS = [
+    ("<input type=submit value=Go><input type=hidden value=no><input type=password value=no>", "Go"),
+    ("Name<input value=Bo><input type=submit>", "Name Bo Submit"),
+    ("<input type=search placeholder='Find it'>", "Find it"),
+    ("<ruby>k<rp>(</rp><rt>r</rt><rp>)</rp></ruby>", "kr"),
+]
+SHEETS = [
+    ("<style>.off{display:none}</style>a<p class='on off'>b</p>c", "ac"),  # no box, no break
+    ("<style>p.off, #x{visibility:hidden}</style><p class=off>a</p><p id=x>b</p><div class=off>c</div>", "c"),
+    ("<style>@media print{p{display:none}} @import 'x'; .a{display:none}</style><p>a<p class=a>b", "a"),
+    ("<style>.a{display:none} #i{display:block}</style><p class=a id=i>a<p class=a style='display:block'>b", "a\n\nb"),
+    ("<style>.a{display:none !important}</style><p class=a style='display:block'>a<p class=a style='display:block!important'>b", "b"),
+    ("<style>div p{display:none} p:hover{display:none} /* p{display:none} */</style><div><p>a</div>", "a"),
+    ("<template><style>p{display:none}</style></template><style media=print>p{display:none}</style><p>a", "a"),
+    ("<style>p{display:none", ""),
+]
+
+
+@pytest.mark.parametrize("page, text", TABLES + LISTS + FORMS + SHEETS)
+def test_grids_numbers_forms_and_sheets(page, text):
+    assert page_text(page) == text
+
+
+def test_wide_tables_stay_linear():
+    rows = "<tr><td>y" * 20_000
+    assert len(page_text(f"<table><tr>{'<td rowspan=60000>x' * 20_000}{rows}</table>")) < 100_000_000
+    assert page_text(f"<table><tr>{'<td colspan=1000>x' * 20_000}</table>") == "x  " * 19_999 + "x"
+    assert len(page_text(f"<table><tr><td>{'w ' * 100_000}<td>x{'<tr><td>a<td>b' * 20_000}</table>")) < 1_000_000
