@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from edflux.llm import pii, secrets, toxicity
 from tests.llm.helpers import awkward, documents, words
@@ -262,3 +263,108 @@ def test_sanitise_rows_that_share_an_id(spark):
     docs = documents(spark, texts, [1, 1, None, None, 1]).withColumnRenamed("fp", "spans_")
     got = sorted(str(r.text) for r in pii.sanitise(docs).collect())
     assert got == sorted(["write to [email] now"] * 2 + ["call [phone] or [email]", "None", "nothing here"])
+
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_entities(text):
+    """Every pattern searched on its own, with the checks of its matches."""
+    out = []
+    for rank, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and not all(int(x) <= 255 for x in m[0].split(".")):
+                continue
+            if kind == "card":
+                total = sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits)))
+                if not 12 <= len(digits) <= 19 or total % 10:
+                    continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            value = m[0].lower() if kind == "email" else m[0] if kind == "ip" else digits
+            out.append((m.start(), rank, m.end(), kind, value))
+    return sorted(out)
+
+
+def plain_told(texts, support, bits, generalise, remove):
+    """term -> general or remove, from counts of documents held in full."""
+    holds, beside, named = {}, {}, {}
+    for i, text in enumerate(texts):
+        found = plain_entities(text)
+        terms = [(m.start(), m.end(), plain_lower(m[0])) for m in re.finditer("[A-Za-z\x80-\U0010ffff]+", text or "")]
+        for t in {t for _, _, t in terms}:
+            holds.setdefault(t, set()).add(i)
+        free = {t for a, b, t in terms if not any(a < e and b > s for s, _, e, _, _ in found)}
+        for e in {(kind, value) for _, _, _, kind, value in found} if free else ():
+            named.setdefault(e, set()).add(i)
+            for t in free:
+                beside.setdefault((e, t), set()).add(i)
+    out = {}
+    for (e, t), rows in beside.items():
+        share = len(rows) / len(holds[t])
+        if len(rows) >= support and share >= generalise and np.log2(share * len(texts) / len(named[e])) >= bits:
+            out[t] = "remove" if share >= remove or out.get(t) == "remove" else "general"
+    return out
+
+
+def plain_lower(t):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), t)
+
+
+def plain_spans(texts, **thresholds):
+    told = plain_told(texts, **thresholds)
+    for text in texts:
+        base = [(a, rank, b, kind) for a, rank, b, kind, _ in plain_entities(text)]
+        more = [
+            (m.start(), 4 + (told[t] == "remove"), m.end(), told[t])
+            for m in re.finditer("[A-Za-z\x80-\U0010ffff]+", text or "")
+            if (t := plain_lower(m[0])) in told and not any(m.start() < e and m.end() > s for s, _, e, _ in base)
+        ]
+        yield base, sorted(base + more)
+
+
+def joined(spans):
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in spans)
+
+
+def held_against_plain(docs, texts, **thresholds):
+    want = []
+    for (base, spans), i in zip(plain_spans(texts, **thresholds), range(len(texts)), strict=True):
+        n = [sum(kind == k for _, _, _, kind in base) for k in PLAIN]
+        want.append((i, *n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans)))
+    assert sorted(map(tuple, pii.digest(pii.find_personal(docs, **thresholds)).collect())) == want
+    return want
+
+
+def test_personal_data_by_default_against_plain_counts(spark):
+    """The path of the query (whole documents), over rows with copies, clashing columns and all kinds of entities."""
+    rng = np.random.default_rng(11)
+    who = [f"jo{i}@x{i}.com" for i in range(12)] + [f"10.0.{i}.7" for i in range(6)] + ["4111 1111 1111 1111", "+49 (30) 1234567", "300.1.1.1", "4111111111111112"]
+    texts = []
+    for i in range(400):
+        words = [f"w{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}" for k in rng.integers(0, 100, 12)]
+        for k in rng.integers(0, len(who), rng.integers(0, 3)):
+            words[int(rng.integers(12))] = who[k]
+            words += [w for w, p in ((f"Known{chr(97 + k)}", 0.9), (f"half{chr(97 + k)}é", 0.6)) if rng.random() < p]
+        if rng.random() < 0.1:
+            words.append(f"half{chr(97 + int(rng.integers(len(who))))}é")
+        texts.append(" ".join(words))
+    texts += [*awkward(), *texts[:40]]
+    docs = documents(spark, texts).withColumn("row", F.lit("r")).withColumn("base", F.lit(1)).withColumn("t", F.lit(2))
+    want = held_against_plain(docs, texts, support=2, bits=4.0, generalise=0.5, remove=0.9)
+    kinds = {s.split(":")[0] for w in want for s in w[6].split(",")}
+    assert kinds >= {*PLAIN, "general", "remove"}
+
+
+def test_personal_data_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    texts = [r.text for r in rows]
+    numbered = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held_against_plain(numbered, texts, support=2, bits=4.0, generalise=0.5, remove=0.9)
