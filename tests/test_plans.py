@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -97,3 +99,21 @@ def test_checkpointed_pairs_give_the_same_rollup(spark):
         return sorted(tuple(r) for r in a.rollup.orderBy(F.col("clave_persona")).collect())
 
     assert run(True) == run(False)
+
+
+def test_stages_of_the_rollup_are_short_enough_to_be_compiled(spark, capsys):
+    # The JVM interprets methods of more than 8,000 bytes.
+    df = QUERIES["rollup_full"](spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert len(sizes) > 10 and max(sizes) < 8000
+
+
+def test_role_rows_are_shuffled_three_times_and_not_aggregated_in_the_scan(rollup_plan):
+    assert rollup_plan.count("Exchange hashpartitioning(clave_persona") == 3
+    scan = rollup_plan[rollup_plan.rindex("Exchange hashpartitioning(clave_persona") :]
+    assert "HashAggregate(keys=[clave_persona" not in scan
