@@ -131,3 +131,15 @@ def test_command_line_strict_and_checkpoint(spark, scratch_dir):
     assert sorted(read_rollup(spark, f"{scratch_dir}/ok").collect()) == sorted(want.collect())
     with pytest.raises(Exception):
         main(base + ["--out", f"{scratch_dir}/strict", "--strict"])
+
+
+def test_reloaded_rollup_is_stored_compressed(spark):
+    from pathlib import Path
+
+    from edflux.plans.queries import QUERIES
+    from edflux.session import ensure_checkpoint_dir
+
+    assert QUERIES["rollup_recurrent_reloaded"](spark, "/root/testdata/sf0.001").count() > 0
+    kept = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    newest = max(kept.glob("rollup-csv-*"), key=lambda p: p.stat().st_mtime)
+    assert [*newest.glob("part-*.csv.gz")] and not [*newest.glob("part-*.csv")]
