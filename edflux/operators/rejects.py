@@ -8,6 +8,8 @@ projections of one scan, without a shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,13 +34,16 @@ EDITION_RULES = {
 }
 
 
+def _reasons(raw: DataFrame, rules: dict) -> dict[str, Column]:
+    """For each text column with a rule: why its value can't be read, or null."""
+    return {name: rule(F.col(name)) for name, rule in rules.items() if name in raw.columns and isinstance(raw.schema[name].dataType, T.StringType)}
+
+
 def problems(raw: DataFrame, rules: dict) -> Column:
     """columna, valor and motivo of each text value of a row that its rule can't read."""
     each = []
-    for name, rule in rules.items():
-        if name in raw.columns and isinstance(raw.schema[name].dataType, T.StringType):
-            why = rule(F.col(name))
-            each.append(F.when(why.isNotNull(), F.struct(F.lit(name).alias("columna"), F.col(name).alias("valor"), why.alias("motivo"))))
+    for name, why in _reasons(raw, rules).items():
+        each.append(F.when(why.isNotNull(), F.struct(F.lit(name).alias("columna"), F.col(name).alias("valor"), why.alias("motivo"))))
     none = F.array().cast("array<struct<columna:string,valor:string,motivo:string>>")
     return F.filter(F.array(*each), lambda x: x.isNotNull()) if each else none
 
@@ -46,7 +51,8 @@ def problems(raw: DataFrame, rules: dict) -> Column:
 def _parted(raw: DataFrame, rules: dict, key: str) -> tuple[DataFrame, DataFrame]:
     found = problems(raw, rules)
     told = raw.select(F.col(key).cast("string").alias(key), F.to_json(F.struct(*(F.col(f"`{c}`") for c in raw.columns))).alias("fila"), F.explode(found).alias("x"))
-    return raw.where(F.size(found) == 0), told.select(key, "x.*", "fila")
+    readable = reduce(lambda a, b: a & b, (why.isNull() for why in _reasons(raw, rules).values()), F.lit(True))
+    return raw.where(readable), told.select(key, "x.*", "fila")
 
 
 def tolerant_purchases(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

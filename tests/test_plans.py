@@ -117,3 +117,8 @@ def test_role_rows_are_shuffled_three_times_and_not_aggregated_in_the_scan(rollu
     assert rollup_plan.count("Exchange hashpartitioning(clave_persona") == 3
     scan = rollup_plan[rollup_plan.rindex("Exchange hashpartitioning(clave_persona") :]
     assert "HashAggregate(keys=[clave_persona" not in scan
+
+
+def test_tolerant_rules_read_each_text_once_made(spark):
+    # A rule that repeats the expression of its column makes a method too long to be compiled.
+    assert plan(QUERIES["purchases_tolerant"](spark, SF)).count("99999999999999999999") == 1

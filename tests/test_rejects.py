@@ -8,7 +8,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from edflux.functions.casts import NULL_TOKENS, lenient_int, strict_long
+from edflux.constants import PURCHASE_TIME_PATTERN
+from edflux.functions.casts import NULL_TOKENS, lenient_int, lenient_long, number_problem, strict_long
+from edflux.functions.dates import parse_purchase_time
 from edflux.operators.prepare import dedup_editions
 from edflux.operators.rejects import tolerant_editions, tolerant_purchases
 from edflux.plans.rollup import rollup
@@ -95,3 +97,26 @@ def test_repeated_editions_are_resolved_in_any_order(spark):
     for rows in itertools.permutations([a, b, c]):
         got = dedup_editions(editions_df(spark, list(rows)).coalesce(1)).collect()
         assert [(r.desc_corta_sorteo, r.fecha_celebracion) for r in got] == [("A", datetime(2024, 5, 1))]
+
+
+def test_number_rules_at_their_bounds(spark):
+    cases = {
+        "9223372036854775807": None, "9223372036854775807.9": None, "9223372036854775808": "out of range",
+        "-9223372036854775808": None, "-9223372036854775808.5": None, "-9223372036854775809": "out of range",
+        "99999999999999999999": "out of range", "9" * 40: "out of range", "1e3": None, ".5": None, "+7.": None, "\t7": None,
+        " 12 ": None, "abc": "not a number", "1.x": "not a number", "-": "not a number", "1\nx": "not a number", "NA": None, "": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert {r.t: r.why for r in rows.select("t", number_problem(F.col("t"), "bigint").alias("why")).collect()} == cases
+    good = {"9223372036854775807.9": 2**63 - 1, "-1.7": -1, "-0.5": 0, "1." + "9" * 17: 1, "1." + "9" * 19: 2, "1e3": 1000, " 12 ": 12, "00123": 123, "+7.": 7}
+    rows = spark.createDataFrame([(t,) for t in good], "t string")
+    assert {r.t: r.n for r in rows.select("t", lenient_long(F.col("t")).alias("n")).collect()} == good
+
+
+def test_usual_times_are_read_as_the_pattern_reads_them(spark):
+    texts = ["2024-02-29 23:59:59", "2023-02-29 00:00:00", "0000-01-01 00:00:00", "2024-01-01 24:00:00", "2024-01-01 00:00:00\n", "2024-01-01 00:00:00.5", "2024-1-1 0:0:0"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    fmt = F.lit(PURCHASE_TIME_PATTERN)
+    want = F.when(F.try_to_timestamp("t", fmt).isNotNull(), F.to_timestamp_ntz("t", fmt))
+    pairs = rows.select(parse_purchase_time(F.col("t")).cast("string").alias("got"), want.cast("string").alias("want")).collect()
+    assert [r.got for r in pairs] == [r.want for r in pairs] and pairs[0].got == "2024-02-29 23:59:59"
