@@ -122,3 +122,16 @@ def test_role_rows_are_shuffled_three_times_and_not_aggregated_in_the_scan(rollu
 def test_tolerant_rules_read_each_text_once_made(spark):
     # A rule that repeats the expression of its column makes a method too long to be compiled.
     assert plan(QUERIES["purchases_tolerant"](spark, SF)).count("99999999999999999999") == 1
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["class_summary", "migration_flow", "migration_flow_stored", "other_purchases"]
+    + ["rollup_date_nulls", "rollup_full", "rollup_recurrent", "rollup_recurrent_min1"],
+)
+def test_tickets_need_no_map_in_the_scan_of_any_query(spark, name):
+    # A map of tickets there grows with a scan's split, which adaptive execution doesn't bound.
+    p = plan(QUERIES[name](spark, SF))
+    scan = p[p.rindex("Exchange hashpartitioning(clave_persona") :]
+    assert "numero_boleto" in scan and "lineitem" in scan
+    assert "HashAggregate(keys=[clave_persona" not in scan
