@@ -16,7 +16,7 @@ from edflux.functions.casts import lenient_int, lenient_long, token_to_null
 from edflux.functions.dates import parse_day
 from edflux.operators.prepare import clean_editions, clean_purchases
 from edflux.schemas import EDITION_COLUMNS, PURCHASE_COLUMNS, ROLLUP
-from edflux.sources.publish import SNAPSHOT_DAY, pick_day, replace_path, replace_table, snapshot_days
+from edflux.sources.publish import SNAPSHOT_DAY, pick_day, replace_path, replace_table, shuffles_released, snapshot_days
 
 FORMATS = ("parquet", "csv", "table")
 
@@ -141,9 +141,10 @@ def write(df: DataFrame, location: str, fmt: str = "parquet", mode: str = "overw
         else:
             writer.parquet(place)
 
-    if mode != "overwrite":
-        save(location)
-    elif fmt == "table":
-        replace_table(df.sparkSession, location, save)
-    else:
-        replace_path(df.sparkSession, location, save)
+    with shuffles_released(df.sparkSession):
+        if mode != "overwrite":
+            save(location)
+        elif fmt == "table":
+            replace_table(df.sparkSession, location, save)
+        else:
+            replace_path(df.sparkSession, location, save)
